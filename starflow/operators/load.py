@@ -56,7 +56,8 @@ def _stage_and_swap(spark: SparkSession, result: DataFrame, target_path: str,
     """
     stage = workspace(spark, "stage")
     write_table(result, stage, "overwrite", partition_by)
-    staged = spark.read.parquet(stage)
+    # explicit schema: an empty partitioned result leaves no data file to infer from
+    staged = spark.read.schema(result.schema).parquet(stage)
     if partition_by:
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

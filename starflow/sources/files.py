@@ -46,3 +46,36 @@ def snapshot_folder(root: str, scope: str, stamp: str) -> str:
     """``{root}/{scope}/{stamp}`` — one folder per extraction run."""
     scope = check_scope(scope)
     return f"{root.rstrip('/')}/{scope}/{stamp}"
+
+
+def archive_load(spark: SparkSession, landing: str, archive: str, checkpoint: str, schema,
+                 target_path: str, mode: str = "overwrite", fmt: str = "csv",
+                 options: dict | None = None) -> int:
+    """Load the files that arrived in ``landing`` and move them to ``archive``.
+
+    A file stream drained with ``availableNow``: every new file is read once
+    (the checkpoint remembers which), written to ``target_path`` — ``overwrite``
+    empties the table first (truncate-then-load), ``append`` adds — and Spark
+    moves each processed file under ``archive``. A second run sees only files
+    that arrived since. Returns the number of micro-batches written.
+    """
+    from .csv import CSV_READ_OPTIONS
+
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    opts = dict(CSV_READ_OPTIONS) if fmt == "csv" else {}
+    opts.update(options or {})
+    src = (spark.readStream.format(fmt).schema(schema).options(**opts)
+           .option("cleanSource", "archive").option("sourceArchiveDir", archive)
+           .load(landing))
+    batches: list[int] = []
+
+    def write_batch(df, epoch_id):
+        # the run's first batch truncates (in overwrite mode); later ones add
+        df.write.mode(mode if not batches else "append").parquet(target_path)
+        batches.append(epoch_id)
+
+    q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return len(batches)
