@@ -32,8 +32,13 @@ def split_pair(c: ColumnOrName, delimiter: str) -> tuple[Column, Column]:
 
 
 def parse_mon_date(c: ColumnOrName, fmt: str = "MMM d, yyyy") -> Column:
-    """``TO_DATE(s, 'Mon DD, YYYY')``; ``''`` and unparsable text give null instead of an error."""
-    return F.try_to_date(_c(c), fmt)
+    """``TO_DATE(s, 'Mon DD, YYYY')``; ``''`` and unparsable text give null instead of an error.
+
+    ``''`` (a range with one date) is answered without calling the parser:
+    a failed parse is far slower than the comparison.
+    """
+    s = _c(c)
+    return F.when(s != F.lit(""), F.try_to_date(s, fmt))
 
 
 def date_range(c: ColumnOrName, delimiter: str = "-") -> tuple[Column, Column]:

@@ -37,30 +37,57 @@ def lookup(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
     return left.join(d, left[left_key] == d["__lk"], "left").drop("__lk")
 
 
+# Upper bound on time slices for the skew-safe lead (the cut list lives in the plan).
+MAX_SLICES = 4096
+
+
 def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
-                skew_safe: bool = True) -> DataFrame:
+                skew_safe: bool = True, slices: int | None = None) -> DataFrame:
     """``LEAD(order_col, 1) OVER (PARTITION BY key ORDER BY order_col)``.
 
-    A plain window sends each key to one task. With ``skew_safe`` the rows are
-    range-partitioned on ``(key, order_col)`` so a hot key spans several
-    slices; the lead is taken inside each slice, and the last row of a slice
-    takes the first value of the key's next slice (a small per-slice table).
+    A plain window sends each key to one task, so a key holding a third of
+    the rows would be one task. With ``skew_safe`` rows are cut into time
+    slices at global quantiles of ``order_col`` (one sampling pass; only the
+    cut points reach the driver). The lead is taken inside each
+    ``(key, slice)``; the last row of a slice takes the first value of the
+    key's next slice from a small per-(key, slice) table. Slice numbers are a
+    function of the row's value, so every branch of the plan agrees on them.
     """
     if not skew_safe:
         w = Window.partitionBy(key).orderBy(order_col)
         return df.withColumn(out_col, F.lead(order_col, 1).over(w))
-    sl = (df.repartitionByRange(key, order_col)
-            .withColumn("__slice", F.spark_partition_id()))
+    from pyspark.ml.feature import Bucketizer
+
+    spark = df.sparkSession
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(2, min(n, MAX_SLICES))
+    dtype = df.schema[order_col].dataType.simpleString()
+    oc = F.col(order_col)
+    if dtype.startswith("timestamp"):
+        num = F.unix_micros(oc.cast("timestamp")).cast("double")
+    elif dtype == "date":
+        num = F.unix_date(oc).cast("double")
+    else:
+        num = oc.cast("double")
+    num = F.coalesce(num, F.lit(float("-inf")))  # nulls order first → first slice
+    probe = df.select(num.alias("__o"))
+    cuts = probe.approxQuantile("__o", [i / n for i in range(1, n)], 1.0 / (4 * n))
+    cuts = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
+    splits = [float("-inf"), *cuts, float("inf")]
+    sliced = Bucketizer(splits=splits, inputCol="__o", outputCol="__sl").transform(
+        df.withColumn("__o", num))
+    sliced = sliced.withColumn("__slice", F.col("__sl").cast("int")).drop("__o", "__sl")
     w_in = Window.partitionBy(key, "__slice").orderBy(order_col)
-    inner = sl.withColumn(out_col, F.lead(order_col, 1).over(w_in))
-    firsts = sl.groupBy(key, "__slice").agg(F.min(order_col).alias("__first"))
+    inner = sliced.withColumn(out_col, F.lead(order_col, 1).over(w_in))
+    firsts = sliced.groupBy(key, "__slice").agg(F.min(order_col).alias("__first"))
     nxt = (firsts.withColumn("__next",
                              F.lead("__first", 1).over(Window.partitionBy(key).orderBy("__slice")))
                  .filter(F.col("__next").isNotNull())
-                 .select(key, "__slice", "__next"))
-    return (inner.join(nxt, [key, "__slice"], "left")
+                 .select(F.col(key).alias("__nk"), F.col("__slice").alias("__ns"), "__next"))
+    cond = inner[key].eqNullSafe(nxt["__nk"]) & (inner["__slice"] == nxt["__ns"])
+    return (inner.join(nxt, cond, "left")
                  .withColumn(out_col, F.coalesce(F.col(out_col), F.col("__next")))
-                 .drop("__slice", "__next"))
+                 .drop("__slice", "__nk", "__ns", "__next"))
 
 
 def employee_intervals(weekly: DataFrame, companies: DataFrame, companies_bounded: int | None = None,
