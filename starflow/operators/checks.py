@@ -39,31 +39,48 @@ def duplicate_keys(df: DataFrame, key: list[str] | tuple[str, ...],
               .filter(F.col(count_col) > 1))
 
 
+def _key_summary_row(df: DataFrame, key, not_null=()) -> DataFrame:
+    """One row: a column per violation kind, from a single aggregation.
+
+    Rows are grouped by the key (map-side partial counts, one shuffle); the
+    per-key counts and null counts then fold into one result row.
+    """
+    key = list(key)
+    extra = [c for c in dict.fromkeys(not_null) if c not in key]
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(F.col(c).isNull().cast(T.LongType())).alias(f"__null_{c}") for c in extra])
+    zero = F.lit(0).cast(T.LongType())
+    cols = [F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("__n"))), zero).alias(f"null:{c}")
+            for c in key]
+    cols += [F.coalesce(F.sum(f"__null_{c}"), zero).alias(f"null:{c}") for c in extra]
+    cols += [F.count(F.when(F.col("__n") > 1, 1)).cast(T.LongType()).alias("duplicate_keys"),
+             F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), zero).alias("duplicate_rows")]
+    return per_key.agg(*cols)
+
+
 def key_violations(df: DataFrame, key: list[str] | tuple[str, ...],
                    not_null: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """(check, violations) rows: nulls per not-null/key column, duplicated key groups
-    and rows in them. All zeros means the key holds."""
-    cols = list(dict.fromkeys(list(key) + list(not_null)))
-    nulls = null_counts(df, cols).select(
-        F.concat(F.lit("null:"), F.col("column_name")).alias("check"),
-        F.col("null_count").alias("violations"))
-    dups = duplicate_keys(df, key, "__n").agg(
-        F.count(F.lit(1)).cast(T.LongType()).alias("duplicate_keys"),
-        F.coalesce(F.sum("__n"), F.lit(0)).cast(T.LongType()).alias("duplicate_rows"))
-    dups = dups.unpivot([], ["duplicate_keys", "duplicate_rows"], "check", "violations")
-    return nulls.unionByName(dups)
+    """(check, violations) rows: nulls per key/not-null column, duplicated key
+    groups and the rows in them. All zeros means the key holds."""
+    row = _key_summary_row(df, key, not_null)
+    return row.unpivot([], row.columns, "check", "violations")
 
 
 def spec_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     return key_violations(df, spec.key, spec.not_null)
 
 
+def key_summary(df: DataFrame, key, not_null=()) -> dict[str, int]:
+    """Violation counts as a dict (one small row reaches the driver)."""
+    return {k: int(v or 0) for k, v in _key_summary_row(df, key, not_null).first().asDict().items()}
+
+
 def assert_keys(df: DataFrame, key, not_null=()) -> None:
     """Raise :class:`KeyViolation` if ``df`` breaks the key or a NOT NULL column."""
-    bad = (key_violations(df, key, not_null).filter(F.col("violations") > 0)
-           .collect())  # at most len(columns) + 2 rows
+    bad = {k: v for k, v in key_summary(df, key, not_null).items() if v > 0}
     if bad:
-        detail = ", ".join(f"{r['check']}={r['violations']}" for r in bad)
+        detail = ", ".join(f"{k}={v}" for k, v in bad.items())
         raise KeyViolation(f"key {list(key)} violated: {detail}")
 
 

@@ -90,6 +90,15 @@ def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
     ts = "transaction_timestamp_utc"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        # the batch feeds several writes; keep it instead of re-reading the source
+        # (lost blocks are recomputed from the source files)
+        batch = batch.persist()
+        try:
+            _merge(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def _merge(batch: DataFrame, epoch_id: int) -> None:
         bad_frames = batch.filter(F.col(FRAME_ERROR).isNotNull())
         good = batch.filter(F.col(FRAME_ERROR).isNull())
         cast = schema_cast(good, spec, "lenient", keep_extra=("partition", "offset"))
