@@ -156,3 +156,36 @@ def incremental_append(spark: SparkSession, source: DataFrame, target_path: str,
     write_table(inc, stage, "overwrite")
     write_table(spark.read.parquet(stage), target_path, "append", partition_by)
     return target_path
+
+
+MATERIALIZATIONS = ("table", "view", "incremental")
+
+
+def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None = None,
+                ts_col: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
+    """Materialise a model as a rebuilt table, a view, or an incremental table.
+
+    ``table`` rebuilds (parquet at ``path``, or a catalog table ``name``);
+    ``view`` registers a temporary view and copies nothing; ``incremental``
+    appends only rows past the stored maximum of ``ts_col`` (all rows on the
+    first run). Returns the materialised result.
+    """
+    spark = df.sparkSession
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
+    if kind == "table":
+        if path:
+            write_table(df, path, "overwrite", partition_by)
+            return spark.read.parquet(path)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(name)
+        return spark.table(name)
+    if kind == "incremental":
+        if not path or not ts_col:
+            raise ValueError("incremental materialisation needs path and ts_col")
+        incremental_append(spark, df, path, ts_col, partition_by=partition_by)
+        return spark.read.parquet(path)
+    raise ValueError(f"kind must be one of {MATERIALIZATIONS}, got {kind!r}")

@@ -316,6 +316,11 @@ HTML_ATTR_EXTRACT = f"SELECT page_id, {_AD} AS ad_text FROM pages"
 HTML_LABEL_EXTRACT = f"SELECT page_id, {_THE} AS the_link FROM pages"
 HTML_RECORD_EXTRACT = f"SELECT page_id, {_TITLE} AS title, {_AD} AS ad_text, {_THE} AS the_link FROM pages"
 
+PAGE_INGEST = f"""SELECT CAST(page_id AS VARCHAR) AS symbol,
+  TIMESTAMP '2024-01-07 00:00:00' AS load_timestamp_utc,
+  left({_TITLE}, 64) AS title, left({_AD}, 256) AS ad_text, left({_THE}, 8) AS the_link
+FROM pages"""
+
 _PAYLOAD = """'{"transaction_id":"T' || CAST(event_id AS VARCHAR)
   || '","customer_id":' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)
   || ',"company_id":' || CAST(CAST(floor(value) AS INTEGER) AS VARCHAR)
@@ -377,6 +382,8 @@ ORACLE: dict[str, str] = {
     "html_attr_extract": HTML_ATTR_EXTRACT,
     "html_label_extract": HTML_LABEL_EXTRACT,
     "html_record_extract": HTML_RECORD_EXTRACT,
+    "page_ingest": PAGE_INGEST,
+    "scd_refresh": SCD_INTERVALS,
     "frame_split": FRAME_SPLIT,
     "stream_decode": STREAM_DECODE,
     "stream_upsert": STREAM_UPSERT,

@@ -18,8 +18,8 @@ from .functions import text as X
 from .functions.casts import load_day, load_day_text, schema_cast
 from .functions.frames import encode_frame, split_frames
 from .operators import checks, load, star
-from .plans import marts, staging
-from .schemas import SEED_SECTORS, SEED_STATES
+from .plans import ingest, marts, staging
+from .schemas import SEED_SECTORS, SEED_STATES, Column, TableSpec
 from .session import apply_defaults, workspace
 from .sources import pages as P
 from .sources.csv import read_positional_csv, read_seed, write_csv_snapshot
@@ -338,6 +338,56 @@ def html_rejects(spark, sf):
     return bad.select("page_id", "error")
 
 
+PAGE_SPEC = TableSpec(
+    "pages_ods",
+    (
+        Column("symbol", "varchar", length=16, nullable=False),
+        Column("load_timestamp_utc", "timestamp", nullable=False),
+        Column("title", "varchar", length=64),
+        Column("ad_text", "varchar", length=256),
+        Column("the_link", "varchar", length=8),
+    ),
+    key=("symbol", "load_timestamp_utc"),
+)
+INGEST_RUN_TS = "2024-01-07 19:00:00"
+
+
+def page_ingest(spark, sf):
+    """Pages → extracted records → CSV snapshot → ingress → typed, keyed ODS (run twice:
+    the second run updates in place)."""
+    apply_defaults(spark)
+    root = workspace(spark, "snapshots")
+    ingress, ods = workspace(spark, "ingress-pages"), workspace(spark, "ods-pages")
+    pg = fx.table(spark, sf, "pages")
+    rules = [TITLE_RULE, AD_RULE, THE_RULE]
+    for run in (INGEST_RUN_TS, "2024-01-07 21:30:00"):
+        ingest.ingest_pages(spark, pg, rules, PAGE_SPEC, root, "daily", run, ingress, ods)
+    return spark.read.parquet(ods)
+
+
+REFRESH_CUTOFF = "2024-01-20 00:00:00"
+
+
+def scd_refresh(spark, sf):
+    """Intervals built from events before a cutoff, then refreshed with the later
+    events: must equal a full rebuild (open intervals get closed)."""
+    apply_defaults(spark)
+    ev = fx.table(spark, sf, "events")
+    weekly = ev.select(F.col("user_id").cast("string").alias("symbol"),
+                       F.col("ts").alias("load_timestamp_utc"),
+                       X.digits_only("props").alias("company_full_time_employees"))
+    cut = F.lit(REFRESH_CUTOFF).cast(T.TimestampNTZType())
+    comp = fx.companies_dim(spark, sf)
+    path = workspace(spark, "intervals")
+    load.write_table(marts.trf_employee_intervals(weekly.filter(F.col("load_timestamp_utc") < cut),
+                                                  comp), path)
+    new = star.lookup(weekly.filter(F.col("load_timestamp_utc") >= cut), comp, "symbol",
+                      "company_symbol", ["company_id"])
+    new = new.select("company_id", "company_full_time_employees",
+                     F.col("load_timestamp_utc").alias("load_timestamp_utc_from"))
+    return star.refresh_intervals(spark.read.parquet(path), new, "company_id")
+
+
 # ------------------------------------------------------------------ stream
 
 
@@ -419,6 +469,8 @@ QUERIES: dict[str, Query] = {
     "html_label_extract": html_label_extract,
     "html_record_extract": html_record_extract,
     "html_rejects": html_rejects,
+    "page_ingest": page_ingest,
+    "scd_refresh": scd_refresh,
     "frame_split": frame_split,
     "stream_decode": stream_decode,
     "stream_upsert": stream_upsert,

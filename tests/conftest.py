@@ -13,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", app="starflow-tests", shuffle_partitions=8)
+    wh = tempfile.mkdtemp(prefix="starflow-test-wh-")
+    s = get_session("local[4]", app="starflow-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": wh})
     # tests name their own shared folder; a cluster names it in spark.checkpoint.dir
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="starflow-test-ckpt-")

@@ -100,3 +100,18 @@ def test_upsert_derived_partition(spark, tmp_path):
                 partition_by=["d"], derive=derive)
     load.upsert(spark, src(spark, [("A", D1, "9")]), path, SPEC, partition_by=["d"], derive=derive)
     assert read(spark, path) == [("A", T1, Decimal("9.00")), ("B", T2, Decimal("2.00"))]
+
+
+def test_materialize_kinds(spark, tmp_path):
+    df = spark.createDataFrame([(1, T1), (2, T2)], "id int, ts timestamp_ntz")
+    assert load.materialize(df, "mat_view_t", "view").count() == 2
+    assert spark.sql("select count(*) from mat_view_t").first()[0] == 2
+    assert load.materialize(df, "mat_tab_t", "table").count() == 2
+    assert load.materialize(df.filter("id = 1"), "mat_tab_t", "table").count() == 1   # rebuild
+    p = str(tmp_path / "m")
+    assert load.materialize(df, "x", "table", path=p).count() == 2
+    inc = str(tmp_path / "inc")
+    load.materialize(df.filter("id = 1"), "i", "incremental", path=inc, ts_col="ts")
+    assert load.materialize(df, "i", "incremental", path=inc, ts_col="ts").count() == 2
+    with pytest.raises(ValueError):
+        load.materialize(df, "x", "ephemeral")
