@@ -118,10 +118,16 @@ def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
                        F.lit("null key or required column").alias("reason")))
                    .withColumn("epoch_id", F.lit(epoch_id).cast(T.LongType())))
         rejects.write.mode("append").parquet(rejects_path)
-        latest = newest_per_key(ok, key[0]) if len(key) == 1 else ok
-        derive = {partition_col: F.to_date(F.col(ts))} if partition_col else None
-        upsert(spark, latest.drop("partition", "offset"), target_path, spec,
-               partition_by=[partition_col] if partition_col else None, derive=derive)
+        # newest copy per key: keys are unique and non-null by construction, so the
+        # upsert's own key check is skipped
+        latest = (newest_per_key(ok, key[0]) if len(key) == 1 else ok).persist()
+        try:
+            derive = {partition_col: F.to_date(F.col(ts))} if partition_col else None
+            upsert(spark, latest.drop("partition", "offset"), target_path, spec,
+                   partition_by=[partition_col] if partition_col else None, derive=derive,
+                   check=len(key) != 1)
+        finally:
+            latest.unpersist()
 
     return run
 
