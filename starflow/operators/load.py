@@ -146,16 +146,18 @@ def high_water_filter(source: DataFrame, target: DataFrame, ts_col: str,
 def incremental_append(spark: SparkSession, source: DataFrame, target_path: str, ts_col: str,
                        target_ts_col: str | None = None,
                        partition_by: list[str] | None = None) -> str:
-    """First run materialises everything; later runs append rows past the stored maximum."""
+    """First run materialises everything; later runs append rows past the stored maximum.
+
+    The stored maximum is resolved first (one aggregate; a single value
+    reaches the driver), so the append plan no longer reads the folder it
+    writes and needs no staging copy. An empty target gives a null maximum
+    and, as with the scalar-subquery form, no row passes.
+    """
     if not _exists(spark, target_path):
         return write_table(source, target_path, "overwrite", partition_by)
-    # Stage the increment first: the filter reads the target the append writes to.
-    target = spark.read.parquet(target_path)
-    inc = high_water_filter(source, target, ts_col, target_ts_col)
-    stage = workspace(spark, "increment")
-    write_table(inc, stage, "overwrite")
-    write_table(spark.read.parquet(stage), target_path, "append", partition_by)
-    return target_path
+    mx = spark.read.parquet(target_path).agg(F.max(target_ts_col or ts_col)).first()[0]
+    inc = source.filter(F.col(ts_col) > F.lit(mx).cast(source.schema[ts_col].dataType))
+    return write_table(inc, target_path, "append", partition_by)
 
 
 MATERIALIZATIONS = ("table", "view", "incremental")

@@ -341,6 +341,7 @@ STREAM_DECODE = f"""SELECT
   CASE WHEN {_OK} THEN CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) END AS company_id,
   CASE WHEN {_OK} THEN CAST(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS INTEGER) AS VARCHAR) END AS volume_traded,
   CASE WHEN {_OK} THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS transaction_timestamp_utc,
+  CASE WHEN {_OK} THEN {_PAYLOAD} END AS record_json,
   CASE WHEN {_OK} THEN NULL ELSE 'unknown schema id' END AS frame_error
 FROM events"""
 

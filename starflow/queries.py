@@ -421,7 +421,7 @@ def stream_decode(spark, sf):
     q = (dec.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink).select(*trades.TEXT_COLUMNS, "frame_error")
+    return spark.read.parquet(sink).select(*trades.TEXT_COLUMNS, "record_json", "frame_error")
 
 
 def stream_upsert(spark, sf):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import schema_cast, split_rejects
-from ..functions.frames import FRAME_ERROR, PayloadSchema, decode_frames
+from ..functions.frames import FRAME_ERROR, PayloadSchema, decode_frames, record_json
 from ..operators.load import upsert
 from ..schemas import TRADE_VALUE_SCHEMA, TRANSACTIONS, TableSpec
 
@@ -69,6 +69,7 @@ def decode_trades(records: DataFrame, registry: dict[int, PayloadSchema]) -> Dat
         all_null, F.lit("undecodable payload"))
     return d.select(
         *[F.col(f"record.{c}").cast(T.StringType()).alias(c) for c in TEXT_COLUMNS],
+        F.when(err.isNull(), record_json("record")).alias("record_json"),
         "partition", "offset", err.alias(FRAME_ERROR))
 
 
