@@ -303,7 +303,9 @@ FROM g"""
 
 
 def _decoded(expr: str) -> str:
-    return f"trim(replace(replace({expr}, '&quot;', '\"'), '&amp;', '&'))"
+    # HTML decodes the legacy entities with or without their closing ';'
+    return (f"trim(regexp_replace(regexp_replace({expr}, '&quot;?', '\"', 'g'), "
+            f"'&amp;?', '&', 'g'))")
 
 
 _AD = ("CASE WHEN regexp_matches(html, '<div class=\"ad\">[^<]*</div>') THEN "
