@@ -436,7 +436,17 @@ def stream_upsert(spark, sf):
     return trades.read_trades(spark, table_path)
 
 
-QUERIES: dict[str, Query] = {
+def _with_defaults(fn: Query) -> Query:
+    """Apply the session settings the queries rely on (UTC etc.), whatever session calls."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        apply_defaults(spark)
+        return fn(spark, sf)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "star_fact": star_fact,
     "latest_snapshot": latest_snapshot,
     "surrogate_lookup": surrogate_lookup,
@@ -475,3 +485,5 @@ QUERIES: dict[str, Query] = {
     "stream_decode": stream_decode,
     "stream_upsert": stream_upsert,
 }
+
+QUERIES: dict[str, Query] = {k: _with_defaults(v) for k, v in _QUERIES.items()}

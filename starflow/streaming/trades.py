@@ -41,6 +41,9 @@ def trade_source(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     opts = dict(options or {})
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")
+        # producers key by company: one hot company fills one topic partition.
+        # minPartitions lets Spark read a large topic partition with several tasks.
+        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
         return spark.readStream.format("kafka").options(**opts).load()
     r = spark.readStream.format(fmt).schema(TOPIC_RECORD_SCHEMA).options(**opts)
     if max_files_per_trigger:
