@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import load_day
+from ..session import ship_package
 from .files import check_scope
 
 ERROR_COL = "error"
@@ -282,6 +283,7 @@ def extract_records(pages: DataFrame, rules: Sequence[Rule | dict], html_col: st
             out[ERROR_COL] = pd.Series(errs, index=pdf.index, dtype=object)
             yield out
 
+    ship_package(pages.sparkSession)
     res = in_df.mapInPandas(run, out_schema)
     if load_ts is not None:
         ts = load_ts if not isinstance(load_ts, str) else F.lit(load_ts).cast(T.TimestampNTZType())
