@@ -17,6 +17,7 @@ from ..operators.load import truncate_load, upsert
 from ..schemas import TableSpec
 from ..sources.csv import write_csv_snapshot
 from ..sources.files import snapshot_folder
+from ..sources.tables import subset
 from ..sources.pages import Rule, extract_records, split_rejects
 
 
@@ -44,15 +45,32 @@ def extract_to_snapshot(pages: DataFrame, rules: Sequence[Rule], spec: TableSpec
     return folder, bad.select(F.col("__symbol").alias("symbol"), "error")
 
 
+LOAD_DATE = "load_date"
+
+
 def ingest_pages(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule], spec: TableSpec,
                  root: str, scope: str, run_ts: str, ingress_path: str, ods_path: str,
-                 partition_by: list[str] | None = None, symbol: F.Column | None = None
-                 ) -> tuple[str, DataFrame]:
+                 symbol: F.Column | None = None, symbols=None,
+                 by_load_day: bool = True) -> tuple[str, DataFrame]:
     """The daily/weekly load: snapshot, truncate-load the ingress table, upsert the ODS.
 
+    ``symbols`` (comma-separated text, list or DataFrame) restricts the run to
+    those symbols, as a backfill does. With ``by_load_day`` the ODS is
+    partitioned by the load date, so a run rewrites only the day it loads.
     Returns the ODS path and the rejected pages.
     """
-    folder, rejects = extract_to_snapshot(pages, rules, spec, root, scope, run_ts, symbol)
+    sym = symbol if symbol is not None else F.col("page_id").cast("string")
+    pages = pages.withColumn("__sym", sym)
+    if symbols is not None:
+        pages = subset(pages, "__sym", symbols)
+    folder, rejects = extract_to_snapshot(pages, rules, spec, root, scope, run_ts, F.col("__sym"))
     truncate_load(spark, folder, spec, ingress_path)
-    upsert(spark, spark.read.parquet(ingress_path), ods_path, spec, partition_by=partition_by)
+    derive = {LOAD_DATE: F.to_date(F.col(spec.names[1]))} if by_load_day else None
+    upsert(spark, spark.read.parquet(ingress_path), ods_path, spec,
+           partition_by=[LOAD_DATE] if by_load_day else None, derive=derive)
     return ods_path, rejects
+
+
+def read_ods(spark: SparkSession, ods_path: str, spec: TableSpec) -> DataFrame:
+    """The ODS table in its declared column order (the load-date partition column dropped)."""
+    return spark.read.parquet(ods_path).select(*spec.names)

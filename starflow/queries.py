@@ -362,7 +362,7 @@ def page_ingest(spark, sf):
     rules = [TITLE_RULE, AD_RULE, THE_RULE]
     for run in (INGEST_RUN_TS, "2024-01-07 21:30:00"):
         ingest.ingest_pages(spark, pg, rules, PAGE_SPEC, root, "daily", run, ingress, ods)
-    return spark.read.parquet(ods)
+    return ingest.read_ods(spark, ods, PAGE_SPEC)
 
 
 REFRESH_CUTOFF = "2024-01-20 00:00:00"

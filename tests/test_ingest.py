@@ -25,7 +25,7 @@ def test_ingest_pages_end_to_end(spark, tmp_path):
                                      "2025-04-01 19:00:00", ingress, ods,
                                      symbol=good_pages["symbol"])
     assert [r.symbol for r in rejects.collect()] == ["BAD"]
-    out = spark.read.parquet(ods).collect()
+    out = ingest.read_ods(spark, ods, COMPANIES_DAILY).collect()
     assert len(out) == 1
     r = out[0]
     assert (r.symbol, r.previous_close, r.open_price) == ("AAPL", Decimal("222.13"), Decimal("221.32"))
@@ -36,5 +36,14 @@ def test_ingest_pages_end_to_end(spark, tmp_path):
                                   "symbol string, html string")
     ingest.ingest_pages(spark, again, DAILY_RULES, COMPANIES_DAILY, root, "daily",
                         "2025-04-01 21:00:00", ingress, ods, symbol=again["symbol"])
-    out = spark.read.parquet(ods).collect()
+    out = ingest.read_ods(spark, ods, COMPANIES_DAILY).collect()
     assert len(out) == 1 and out[0].previous_close == Decimal("230.00")
+    # a backfill restricted to one symbol on another day adds only that symbol
+    both = spark.createDataFrame([("AAPL", QUOTE.format(prev="1", open="1")),
+                                  ("MSFT", QUOTE.format(prev="2", open="2"))],
+                                 "symbol string, html string")
+    ingest.ingest_pages(spark, both, DAILY_RULES, COMPANIES_DAILY, root, "daily",
+                        "2025-04-02 19:00:00", ingress, ods, symbol=both["symbol"], symbols="MSFT")
+    got = sorted((r.symbol, str(r.load_timestamp_utc)) for r in
+                 ingest.read_ods(spark, ods, COMPANIES_DAILY).collect())
+    assert got == [("AAPL", "2025-04-01 00:00:00"), ("MSFT", "2025-04-02 00:00:00")]
