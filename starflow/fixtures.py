@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from .functions.casts import load_day
 from .functions.frames import encode_frame
 from .schemas import Column, TableSpec
+from .sources.tables import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -24,8 +25,14 @@ NATION_ROWS = 25
 REGION_ROWS = 5
 
 
+FIXED_SIZE_TABLES = {"nation", "region"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Tables that grow with the scale factor are spread over the
+    task slots when stored as too few files (see ``spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in FIXED_SIZE_TABLES else spread(df)
 
 
 def _dec(c, p=12, s=2):

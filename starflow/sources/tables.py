@@ -20,6 +20,20 @@ def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer files than the cluster has task slots.
+
+    Parquet splits at row groups, so a small table written as one file with
+    one row group is read by a single task, and every map-only step after it
+    runs on one core. Such an input is redistributed round-robin. A large
+    table has at least as many files as slots, and nothing is added.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df
+
+
 def parse_keys(keys: str | Iterable[str] | None) -> list[str]:
     """``'A,B, C'`` → ``['A', 'B', 'C']``; empty/None → ``[]`` (meaning all)."""
     if keys is None:
