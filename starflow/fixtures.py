@@ -25,14 +25,17 @@ NATION_ROWS = 25
 REGION_ROWS = 5
 
 
-FIXED_SIZE_TABLES = {"nation", "region"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Tables that grow with the scale factor are spread over the
-    task slots when stored as too few files (see ``spread``)."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table.
+
+    ``spread_rows`` is for inputs that feed heavy row-wise work (text
+    formatting and parsing, HTML parsing) with no exchange in between: a
+    table stored as fewer files than task slots is spread over the slots
+    (see ``sources.tables.spread``). Aggregations and joins get their
+    parallelism at their own exchange and read the table as it is.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in FIXED_SIZE_TABLES else spread(df)
+    return spread(df) if spread_rows else df
 
 
 def _dec(c, p=12, s=2):
@@ -46,7 +49,7 @@ def _s(c):
 # --------------------------------------------------------------------------- daily
 def daily_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed daily-quote rows (companies_daily layout) from lineitem."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread_rows=True)
     ship = F.col("l_shipdate")
     d_pad = F.date_format(ship, "MMM dd, yyyy")
     d_plus5 = F.date_format(F.date_add(ship.cast(T.DateType()), 5), "MMM d, yyyy")

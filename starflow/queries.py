@@ -314,24 +314,28 @@ TITLE_RULE = P.AttrRule("title", "h1")
 THE_RULE = P.LabelRule("the_link", "a", None, "the")
 
 
+def _pages(spark, sf):
+    # HTML parsing is the heavy row-wise step: spread a single-file table first
+    return fx.table(spark, sf, "pages", spread_rows=True)
+
+
 def html_attr_extract(spark, sf):
-    good, _ = P.split_rejects(P.extract_records(fx.table(spark, sf, "pages"), [AD_RULE]))
+    good, _ = P.split_rejects(P.extract_records(_pages(spark, sf), [AD_RULE]))
     return good
 
 
 def html_label_extract(spark, sf):
-    good, _ = P.split_rejects(P.extract_records(fx.table(spark, sf, "pages"), [THE_RULE]))
+    good, _ = P.split_rejects(P.extract_records(_pages(spark, sf), [THE_RULE]))
     return good
 
 
 def html_record_extract(spark, sf):
-    good, _ = P.split_rejects(P.extract_records(fx.table(spark, sf, "pages"),
-                                                [TITLE_RULE, AD_RULE, THE_RULE]))
+    good, _ = P.split_rejects(P.extract_records(_pages(spark, sf), [TITLE_RULE, AD_RULE, THE_RULE]))
     return good
 
 
 def html_rejects(spark, sf):
-    pg = fx.table(spark, sf, "pages").select("page_id", "html")
+    pg = _pages(spark, sf).select("page_id", "html")
     blank = spark.createDataFrame([(-1, "")], "page_id long, html string")
     _, bad = P.split_rejects(P.extract_records(pg.unionByName(blank),
                                                [TITLE_RULE, AD_RULE, THE_RULE]))
@@ -358,7 +362,7 @@ def page_ingest(spark, sf):
     apply_defaults(spark)
     root = workspace(spark, "snapshots")
     ingress, ods = workspace(spark, "ingress-pages"), workspace(spark, "ods-pages")
-    pg = fx.table(spark, sf, "pages")
+    pg = _pages(spark, sf)
     rules = [TITLE_RULE, AD_RULE, THE_RULE]
     for run in (INGEST_RUN_TS, "2024-01-07 21:30:00"):
         ingest.ingest_pages(spark, pg, rules, PAGE_SPEC, root, "daily", run, ingress, ods)
