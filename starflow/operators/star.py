@@ -73,12 +73,19 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
     probe = df.select(num.alias("__o"))
     cuts = probe.approxQuantile("__o", [i / n for i in range(1, n)], 1.0 / (4 * n))
     cuts = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
-    splits = [float("-inf"), *cuts, float("inf")]
-    sliced = Bucketizer(splits=splits, inputCol="__o", outputCol="__sl").transform(
-        df.withColumn("__o", num))
-    sliced = sliced.withColumn("__slice", F.col("__sl").cast("int")).drop("__o", "__sl")
+    if cuts:
+        splits = [float("-inf"), *cuts, float("inf")]
+        sliced = Bucketizer(splits=splits, inputCol="__o", outputCol="__sl").transform(
+            df.withColumn("__o", num))
+        sliced = sliced.withColumn("__slice", F.col("__sl").cast("int")).drop("__o", "__sl")
+    else:  # every value equal or null: one slice
+        sliced = df.withColumn("__slice", F.lit(0))
     w_in = Window.partitionBy(key, "__slice").orderBy(order_col)
-    inner = sliced.withColumn(out_col, F.lead(order_col, 1).over(w_in))
+    # the last row of a slice is marked explicitly: a null lead may also be a null value
+    inner = sliced.withColumns({
+        out_col: F.lead(order_col, 1).over(w_in),
+        "__last": F.lead(F.lit(1), 1).over(w_in).isNull(),
+    })
     firsts = sliced.groupBy(key, "__slice").agg(F.min(order_col).alias("__first"))
     nxt = (firsts.withColumn("__next",
                              F.lead("__first", 1).over(Window.partitionBy(key).orderBy("__slice")))
@@ -86,8 +93,9 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
                  .select(F.col(key).alias("__nk"), F.col("__slice").alias("__ns"), "__next"))
     cond = inner[key].eqNullSafe(nxt["__nk"]) & (inner["__slice"] == nxt["__ns"])
     return (inner.join(nxt, cond, "left")
-                 .withColumn(out_col, F.coalesce(F.col(out_col), F.col("__next")))
-                 .drop("__slice", "__nk", "__ns", "__next"))
+                 .withColumn(out_col, F.when(F.col("__last"), F.col("__next"))
+                                       .otherwise(F.col(out_col)))
+                 .drop("__slice", "__last", "__nk", "__ns", "__next"))
 
 
 def employee_intervals(weekly: DataFrame, companies: DataFrame, companies_bounded: int | None = None,
