@@ -31,11 +31,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> str:
-    """Materialise ``df`` as a parquet table (``overwrite`` = rebuild, ``append``)."""
+                partition_by: list[str] | None = None, only_present_partitions: bool = False) -> str:
+    """Materialise ``df`` as a parquet table (``overwrite`` = rebuild, ``append``).
+
+    ``only_present_partitions`` turns an overwrite into a replacement of just
+    the partitions ``df`` holds (dynamic partition overwrite, set on this write
+    only); otherwise an overwrite empties the whole table first.
+    """
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic" if only_present_partitions else "static")
     w.parquet(path)
     return path
 
@@ -59,12 +65,8 @@ def _stage_and_swap(spark: SparkSession, result: DataFrame, target_path: str,
     # explicit schema: an empty partitioned result leaves no data file to infer from
     staged = spark.read.schema(result.schema).parquet(stage)
     if partition_by:
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            write_table(staged.select(*result.columns), target_path, "overwrite", partition_by)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        write_table(staged.select(*result.columns), target_path, "overwrite", partition_by,
+                    only_present_partitions=True)
     else:
         write_table(staged, target_path, "overwrite")
 

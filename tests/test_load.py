@@ -115,3 +115,12 @@ def test_materialize_kinds(spark, tmp_path):
     assert load.materialize(df, "i", "incremental", path=inc, ts_col="ts").count() == 2
     with pytest.raises(ValueError):
         load.materialize(df, "x", "ephemeral")
+
+
+def test_partitioned_replace_empties_table(spark, tmp_path):
+    path = str(tmp_path / "r")
+    derive_src = src(spark, [("A", D1, "1"), ("B", D2, "2")])
+    load.load(spark, "replace", derive_src, path, SPEC, partition_by=["day"])
+    load.load(spark, "replace", src(spark, [("C", D2, "3")]), path, SPEC, partition_by=["day"])
+    # replace deletes every row first, including the untouched day
+    assert read(spark, path) == [("C", T2, Decimal("3.00"))]
