@@ -38,6 +38,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     the partitions ``df`` holds (dynamic partition overwrite, set on this write
     only); otherwise an overwrite empties the whole table first.
     """
+    if partition_by:
+        # Without this every task writes a file into every partition it holds
+        # (tasks x partitions small files). The rebalance hint lets AQE size the
+        # write tasks per partition: a hot partition is split over several
+        # tasks, small ones are merged.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -71,19 +77,30 @@ def _stage_and_swap(spark: SparkSession, result: DataFrame, target_path: str,
         write_table(staged, target_path, "overwrite")
 
 
-# Up to this many touched partition values are folded into the target scan as
-# a partition filter (static pruning); beyond it a semi join selects them.
+# Up to this many partition values are folded into a scan as a partition
+# filter (static pruning); beyond it a semi join selects them.
 PRUNE_LIST_MAX = 10_000
 
 
-def _touched_partitions(target: DataFrame, src: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Restrict ``target`` to the partitions whose values occur in ``src``."""
-    touched = src.select(*partition_by).distinct()
-    vals = touched.limit(PRUNE_LIST_MAX + 1).collect()
-    if len(vals) <= PRUNE_LIST_MAX and len(partition_by) == 1:
-        c = partition_by[0]
-        return target.filter(F.col(c).isin([r[0] for r in vals]))
-    return target.join(touched, partition_by, "left_semi")
+def _in_values(df: DataFrame, cols: list[str], values: list[tuple]) -> DataFrame:
+    """Rows of ``df`` whose ``cols`` take one of ``values`` (a short, collected list)."""
+    if len(cols) == 1:
+        return df.filter(F.col(cols[0]).isin([v[0] for v in values]))
+    vals = df.sparkSession.createDataFrame(values, df.select(*cols).schema)
+    return df.join(F.broadcast(vals), cols, "left_semi")  # at most PRUNE_LIST_MAX rows
+
+
+def _not_in_values(df: DataFrame, cols: list[str], values: list[tuple]) -> DataFrame:
+    if len(cols) == 1:
+        return df.filter(~F.col(cols[0]).isin([v[0] for v in values]))
+    vals = df.sparkSession.createDataFrame(values, df.select(*cols).schema)
+    return df.join(F.broadcast(vals), cols, "left_anti")
+
+
+def _distinct_values(df: DataFrame, cols: list[str]) -> list[tuple] | None:
+    """Distinct values of ``cols`` (None when more than ``PRUNE_LIST_MAX``)."""
+    vals = [tuple(r) for r in df.select(*cols).distinct().limit(PRUNE_LIST_MAX + 1).collect()]
+    return None if len(vals) > PRUNE_LIST_MAX else vals
 
 
 def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: TableSpec,
@@ -94,12 +111,17 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: Table
 
     1. cast the source to the target layout (key columns compared after the cast);
     2. refuse null or duplicated source keys (a MERGE could not pick a row);
-    3. read only the target partitions the source touches;
-    4. ``left_anti`` the target on the key, ``unionByName`` the source;
-    5. stage, then replace the touched partitions (or the whole table).
-
-    ``derive`` adds computed columns after the cast (e.g. a partition column
-    from a timestamp); they are stored with the table.
+    3. look for the source keys in the target — only in the partitions the
+       source touches, reading only key and partition columns;
+    4. partitions holding a matched key are rebuilt (``left_anti`` on the key
+       plus the source rows), staged and swapped in; every other source row is
+       appended. A batch of new keys is a plain append.
+
+    With ``partition_by`` the partition value of a key must not change between
+    versions (derive it from the key or from an immutable column such as the
+    event time). ``derive`` adds computed columns after the cast (e.g. a
+    partition column from a timestamp); they are stored with the table.
+    Without partitions a matched key rebuilds the whole table.
     """
     key = list(key or spec.key)
     if not key:
@@ -113,11 +135,35 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: Table
         write_table(src, target_path, "overwrite", partition_by)
         return target_path
     target = spark.read.parquet(target_path).select(*src.columns)
-    if partition_by:
-        target = _touched_partitions(target, src, partition_by)
-    kept = target.join(src.select(*key), key, "left_anti")
-    result = kept.unionByName(src)
-    _stage_and_swap(spark, result, target_path, partition_by)
+    parts = list(partition_by or [])
+    scope = target
+    if parts:
+        touched = _distinct_values(src, parts)
+        if touched is not None:
+            scope = _in_values(target, parts, touched)
+        else:
+            scope = target.join(src.select(*parts).distinct(), parts, "left_semi")
+    hits = scope.select(*key, *parts).join(src.select(*key), key, "left_semi")
+    if not parts:
+        if hits.isEmpty():
+            write_table(src, target_path, "append")
+        else:
+            result = target.join(src.select(*key), key, "left_anti").unionByName(src)
+            _stage_and_swap(spark, result, target_path, None)
+        return target_path
+    hit_parts = _distinct_values(hits, parts)
+    if hit_parts is None:  # matches spread over very many partitions: rebuild all touched
+        result = scope.join(src.select(*key), key, "left_anti").unionByName(src)
+        _stage_and_swap(spark, result, target_path, parts)
+        return target_path
+    if hit_parts:
+        rebuilt = (_in_values(scope, parts, hit_parts).join(src.select(*key), key, "left_anti")
+                   .unionByName(_in_values(src, parts, hit_parts)))
+        _stage_and_swap(spark, rebuilt, target_path, parts)
+        fresh = _not_in_values(src, parts, hit_parts)
+    else:
+        fresh = src
+    write_table(fresh, target_path, "append", parts)
     return target_path
 
 

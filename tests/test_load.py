@@ -124,3 +124,25 @@ def test_partitioned_replace_empties_table(spark, tmp_path):
     load.load(spark, "replace", src(spark, [("C", D2, "3")]), path, SPEC, partition_by=["day"])
     # replace deletes every row first, including the untouched day
     assert read(spark, path) == [("C", T2, Decimal("3.00"))]
+
+
+def _files(root):
+    import os
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs
+                  if f.endswith(".parquet"))
+
+
+def test_upsert_insert_only_appends(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load.upsert(spark, src(spark, [("A", D1, "1")]), path, SPEC, partition_by=["day"])
+    before = _files(path)
+    load.upsert(spark, src(spark, [("B", D1, "2"), ("C", D2, "3")]), path, SPEC,
+                partition_by=["day"])
+    after = _files(path)
+    assert set(before) <= set(after)          # nothing rewritten, new files added
+    load.upsert(spark, src(spark, [("A", D1, "9")]), path, SPEC, partition_by=["day"])
+    final = _files(path)
+    d2_files = [f for f in after if "day=2025-01-02" in f]
+    assert set(d2_files) <= set(final)        # the day without a match is left alone
+    assert read(spark, path) == [("A", T1, Decimal("9.00")), ("B", T1, Decimal("2.00")),
+                                 ("C", T2, Decimal("3.00"))]

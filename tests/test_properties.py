@@ -110,3 +110,23 @@ def test_date_range_round_trip(spark, days):
     got = {r.i: (r.lo, r.hi) for r in df.select("i", lo.alias("lo"), hi.alias("hi")).collect()}
     for i, (d, _) in enumerate(days):
         assert got[i] == (d, d if i % 2 else None)
+
+
+@SETTINGS
+@given(batches=batches)
+def test_partitioned_upsert_matches_dict_merge(spark, tmp_path_factory, batches):
+    from pyspark.sql import functions as F
+    path = str(tmp_path_factory.mktemp("pups") / "t")
+    model = {}
+    derive = {"p": F.substring("k", 1, 1)}  # partition derived from the key
+    for b in batches:
+        cut = {k[:4]: v for k, v in b.items()}
+        if len(cut) != len(b):
+            continue
+        src = spark.createDataFrame([(k, str(v)) for k, v in b.items()], "k string, v string")
+        load.upsert(spark, src, path, SPEC, partition_by=["p"], derive=derive)
+        model.update(cut)
+    if not model:
+        return
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {k: Decimal(v).quantize(Decimal("0.01")) for k, v in model.items()}
