@@ -105,21 +105,24 @@ def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
     def _merge(batch: DataFrame, epoch_id: int) -> None:
         bad_frames = batch.filter(F.col(FRAME_ERROR).isNotNull())
         good = batch.filter(F.col(FRAME_ERROR).isNull())
-        cast = schema_cast(good, spec, "lenient", keep_extra=("partition", "offset"))
+        # keep the text next to the typed value, so a reject shows what arrived
+        raw = [f"__raw_{c}" for c in TEXT_COLUMNS]
+        good = good.withColumns({r: F.col(c) for r, c in zip(raw, TEXT_COLUMNS)})
+        cast = schema_cast(good, spec, "lenient", keep_extra=("partition", "offset", *raw))
         ok, bad_cast = split_rejects(cast)
         null_key = F.lit(False)
         for c in spec.not_null:
             null_key = null_key | F.col(c).isNull()
         bad_null = ok.filter(null_key)
-        ok = ok.filter(~null_key)
+        ok = ok.filter(~null_key).drop(*raw)
+        as_text = [F.col(r).alias(c) for r, c in zip(raw, TEXT_COLUMNS)]
         rejects = (bad_frames.select(*TEXT_COLUMNS, F.col(FRAME_ERROR).alias("reason"))
                    .unionByName(bad_cast.select(
-                       *[F.col(c).cast("string") for c in TEXT_COLUMNS],
+                       *as_text,
                        F.concat(F.lit("cast failed: "),
                                 F.array_join(F.col("_cast_errors"), ",")).alias("reason")))
                    .unionByName(bad_null.select(
-                       *[F.col(c).cast("string") for c in TEXT_COLUMNS],
-                       F.lit("null key or required column").alias("reason")))
+                       *as_text, F.lit("null key or required column").alias("reason")))
                    .withColumn("epoch_id", F.lit(epoch_id).cast(T.LongType())))
         rejects.write.mode("append").parquet(rejects_path)
         # newest copy per key: keys are unique and non-null by construction, so the

@@ -67,3 +67,15 @@ def test_kafka_source_requires_connector(spark):
         trades.trade_source(spark, "kafka", options={"kafka.bootstrap.servers": "localhost:1",
                                                      "subscribe": "x"}).writeStream
     assert F is not None
+
+
+def test_cast_reject_keeps_text(spark, tmp_path):
+    topic, table, rej, ck = (str(tmp_path / x) for x in ("topic", "table", "rej", "ck"))
+    bad = dict(REC, transaction_id="tb", transaction_timestamp_utc="not a time")
+    nokey = dict(REC, transaction_id=None)
+    _write_topic(spark, topic, [REC, bad, nokey])
+    trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table, rej, ck)
+    assert [r.transaction_id for r in trades.read_trades(spark, table).collect()] == ["t1"]
+    got = {r.reason: r.transaction_timestamp_utc for r in spark.read.parquet(rej).collect()}
+    assert got["cast failed: transaction_timestamp_utc"] == "not a time"
+    assert "null key or required column" in got
