@@ -227,7 +227,8 @@ def materialize(df: DataFrame, name: str, kind: str = "table", path: str | None
     if kind == "table":
         if path:
             write_table(df, path, "overwrite", partition_by)
-            return spark.read.parquet(path)
+            # declared schema: partition columns keep their type and the model its column order
+            return spark.read.schema(df.schema).parquet(path).select(*df.columns)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
