@@ -59,17 +59,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; when the cluster names none (tests, local runs),
     create a private one and register it as the checkpoint dir.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="starflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    # keep RDD checkpoints (DataFrame.checkpoint) in the same place
-    cur = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not cur.isDefined():
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        # keep DataFrame.checkpoint() data in the same place
+        sc.setCheckpointDir(d)
     return d
 
 
