@@ -144,21 +144,21 @@ def weekly_keys(latest_weekly: DataFrame, industries: DataFrame, sectors: DataFr
     """Resolve the latest weekly attributes to surrogate ids: (symbol, industry_id, sector_id, state_id).
 
     Done on the weekly side (one row per symbol) before it meets the fact, so
-    the lookups touch companies, not fact rows.
+    the lookups touch companies, not fact rows. ``name_or_symbol`` matches the
+    state name first and the two-letter symbol for the rest.
     """
     if state_match not in STATE_MATCH:
         raise ValueError(f"state_match must be one of {STATE_MATCH}")
     w = latest_weekly.select("symbol", "company_industry", "company_sector", "company_state")
     w = lookup(w, industries, "company_industry", "industry_name", ["industry_id"], dims_bounded)
     w = lookup(w, sectors, "company_sector", "sector_name", ["sector_id"], dims_bounded)
-    if state_match == "name":
-        w = lookup(w, states, "company_state", "state_name", ["state_id"], dims_bounded)
-    else:
-        st = states.select("state_id", "state_name", "state_symbol")
-        if dims_bounded is not None and dims_bounded <= BROADCAST_ROWS_MAX:
-            st = F.broadcast(st)
-        cond = (w["company_state"] == st["state_name"]) | (w["company_state"] == st["state_symbol"])
-        w = w.join(st, cond, "left").drop("state_name", "state_symbol")
+    w = lookup(w, states, "company_state", "state_name", ["state_id"], dims_bounded)
+    if state_match == "name_or_symbol":
+        # a second equi lookup on the symbol for rows the name missed (an OR
+        # join condition would force a nested-loop join)
+        by_symbol = states.select("state_symbol", F.col("state_id").alias("__sid"))
+        w = lookup(w, by_symbol, "company_state", "state_symbol", ["__sid"], dims_bounded)
+        w = w.withColumn("state_id", F.coalesce("state_id", "__sid")).drop("__sid")
     return w.select("symbol", "industry_id", "sector_id", "state_id")
 
 
