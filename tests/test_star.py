@@ -99,3 +99,39 @@ def test_fact_view(spark):
     v = marts.fact_stocks_view(trf, "fact_stocks_test")
     assert spark.sql("select count(*) from fact_stocks_test").first()[0] == 1
     assert v.columns == star.FACT_COLUMNS
+
+
+def test_incremental_staging_and_fact(spark):
+    from starflow.plans import staging
+    from starflow.schemas import COMPANIES_DAILY
+    from starflow.functions.casts import schema_cast
+    base = {c: None for c in COMPANIES_DAILY.names}
+    rows = [dict(base, symbol="A", load_timestamp_utc=f"2025-01-0{d} 00:00:00", bid=f"{d} x 1")
+            for d in (1, 2, 3)]
+    ods = schema_cast(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in COMPANIES_DAILY.names)),
+                      COMPANIES_DAILY)
+    built = staging.stg_daily(ods.filter(F.col("load_timestamp_utc") < day(1)))
+    assert built.count() == 1
+    new = staging.stg_daily(ods, built=built)          # only rows past the built maximum
+    assert sorted(r.bid_price for r in new.collect()) == ["2", "3"]
+    comp, ind, sec, st = _dims(spark)
+    weekly = spark.createDataFrame([("A", day(0), "Software", "Technology", "California")],
+                                   "symbol string, load_timestamp_utc timestamp_ntz, "
+                                   "company_industry string, company_sector string, company_state string")
+    full = marts.trf_fact_stocks(staging.stg_daily(ods), weekly, comp, ind, sec, st)
+    inc = marts.trf_fact_stocks(staging.stg_daily(ods), weekly, comp, ind, sec, st,
+                                built=full.filter(F.col("load_timestamp_utc") < day(2)))
+    assert [str(r.load_timestamp_utc) for r in inc.collect()] == ["2025-01-03 00:00:00"]
+
+
+def test_spread_only_small_inputs(spark, tmp_path):
+    from starflow.sources.tables import spread
+    df = spark.range(100)
+    p = str(tmp_path / "one")
+    df.coalesce(1).write.parquet(p)
+    one = spark.read.parquet(p)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = str(tmp_path / "many")
+    df.repartition(spark.sparkContext.defaultParallelism * 2).write.parquet(many)
+    big = spark.read.parquet(many)
+    assert spread(big) is big          # enough files: nothing added
