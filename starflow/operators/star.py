@@ -41,21 +41,15 @@ def lookup(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
 MAX_SLICES = 4096
 
 
-def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
-                skew_safe: bool = True, slices: int | None = None) -> DataFrame:
-    """``LEAD(order_col, 1) OVER (PARTITION BY key ORDER BY order_col)``.
-
-    A plain window sends each key to one task, so a key holding a third of
-    the rows would be one task. With ``skew_safe`` rows are cut into time
-    slices at global quantiles of ``order_col`` (one sampling pass; only the
-    cut points reach the driver). The lead is taken inside each
-    ``(key, slice)``; the last row of a slice takes the first value of the
-    key's next slice from a small per-(key, slice) table. Slice numbers are a
-    function of the row's value, so every branch of the plan agrees on them.
+def time_slices(df: DataFrame, order_col: str, slices: int | None = None,
+                slice_col: str = "__slice") -> DataFrame:
+    """Add ``slice_col``: the row's slice of ``order_col`` at global quantiles.
+
+    One sampling pass (``approxQuantile``) finds up to ``slices - 1`` cut
+    points; only those reach the driver. The slice is a function of the row's
+    own value, so it is the same in every branch of a plan and on every retry.
+    Nulls fall in the first slice (they order first).
     """
-    if not skew_safe:
-        w = Window.partitionBy(key).orderBy(order_col)
-        return df.withColumn(out_col, F.lead(order_col, 1).over(w))
     from pyspark.ml.feature import Bucketizer
 
     spark = df.sparkSession
@@ -69,17 +63,32 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
         num = F.unix_date(oc).cast("double")
     else:
         num = oc.cast("double")
-    num = F.coalesce(num, F.lit(float("-inf")))  # nulls order first → first slice
+    num = F.coalesce(num, F.lit(float("-inf")))
     probe = df.select(num.alias("__o"))
     cuts = probe.approxQuantile("__o", [i / n for i in range(1, n)], 1.0 / (4 * n))
     cuts = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        sliced = Bucketizer(splits=splits, inputCol="__o", outputCol="__sl").transform(
-            df.withColumn("__o", num))
-        sliced = sliced.withColumn("__slice", F.col("__sl").cast("int")).drop("__o", "__sl")
-    else:  # every value equal or null: one slice
-        sliced = df.withColumn("__slice", F.lit(0))
+    if not cuts:  # every value equal or null: one slice
+        return df.withColumn(slice_col, F.lit(0))
+    splits = [float("-inf"), *cuts, float("inf")]
+    out = Bucketizer(splits=splits, inputCol="__o", outputCol="__sl").transform(
+        df.withColumn("__o", num))
+    return out.withColumn(slice_col, F.col("__sl").cast("int")).drop("__o", "__sl")
+
+
+def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
+                skew_safe: bool = True, slices: int | None = None) -> DataFrame:
+    """``LEAD(order_col, 1) OVER (PARTITION BY key ORDER BY order_col)``.
+
+    A plain window sends each key to one task, so a key holding a third of
+    the rows would be one task. With ``skew_safe`` rows are cut into time
+    slices (:func:`time_slices`). The lead is taken inside each
+    ``(key, slice)``; the last row of a slice takes the first value of the
+    key's next slice from a small per-(key, slice) table.
+    """
+    if not skew_safe:
+        w = Window.partitionBy(key).orderBy(order_col)
+        return df.withColumn(out_col, F.lead(order_col, 1).over(w))
+    sliced = time_slices(df, order_col, slices)
     w_in = Window.partitionBy(key, "__slice").orderBy(order_col)
     # the last row of a slice is marked explicitly: a null lead may also be a null value
     inner = sliced.withColumns({

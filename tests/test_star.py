@@ -24,6 +24,10 @@ def test_next_in_key_matches_window_under_skew(spark):
     # many slices: the hot key is cut into 16 time slices and stitched back
     got16 = star.next_in_key(df, "symbol", "ts", "nxt", slices=16)
     assert sorted(rows(got16.select("symbol", "ts", "nxt"))) == sorted(rows(want))
+    # no window group holds more than a slice's share of the hot key
+    groups = star.time_slices(df, "ts", 16).groupBy("symbol", "__slice").count()
+    biggest = groups.agg(F.max("count")).first()[0]
+    assert biggest <= 4000 / 16 * 1.5
 
 
 def test_next_in_key_nulls_and_ties(spark):
