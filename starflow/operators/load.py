@@ -1,11 +1,11 @@
 """Load operations: truncate-load, append, replace, keyed upsert, incremental.
 
-Targets are parquet folders (optionally partitioned). Parquet has no MERGE,
-so the upsert is an anti join plus union written to a staging folder, then
-swapped in: only the partitions the source touches are rewritten when the
-target is partitioned (dynamic partition overwrite). This replacement is not
-atomic across partitions; a failed job leaves untouched partitions intact and
-can be rerun (the result is idempotent).
+Targets are parquet folders (optionally partitioned). Parquet has no MERGE:
+the upsert finds which partitions hold a source key, rebuilds only those
+(anti join on the key plus the source rows, staged, then swapped in by
+dynamic partition overwrite) and appends every other source row. The swap is
+not atomic across partitions; a failed job leaves untouched partitions
+intact, and rerunning it gives the same table.
 """
 
 from __future__ import annotations
@@ -31,14 +31,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None, only_present_partitions: bool = False) -> str:
+                partition_by: list[str] | None = None, only_present_partitions: bool = False,
+                rebalance: bool = True) -> str:
     """Materialise ``df`` as a parquet table (``overwrite`` = rebuild, ``append``).
 
     ``only_present_partitions`` turns an overwrite into a replacement of just
     the partitions ``df`` holds (dynamic partition overwrite, set on this write
-    only); otherwise an overwrite empties the whole table first.
+    only); otherwise an overwrite empties the whole table first. ``rebalance``
+    may be turned off when ``df`` is read from files already laid out one
+    partition per file.
     """
-    if partition_by:
+    if partition_by and rebalance:
         # Without this every task writes a file into every partition it holds
         # (tasks x partitions small files). The rebalance hint lets AQE size the
         # write tasks per partition: a hot partition is split over several
@@ -71,8 +74,9 @@ def _stage_and_swap(spark: SparkSession, result: DataFrame, target_path: str,
     # explicit schema: an empty partitioned result leaves no data file to infer from
     staged = spark.read.schema(result.schema).parquet(stage)
     if partition_by:
+        # staged files each hold one partition: copy them without another shuffle
         write_table(staged.select(*result.columns), target_path, "overwrite", partition_by,
-                    only_present_partitions=True)
+                    only_present_partitions=True, rebalance=False)
     else:
         write_table(staged, target_path, "overwrite")
 
