@@ -89,22 +89,42 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
         w = Window.partitionBy(key).orderBy(order_col)
         return df.withColumn(out_col, F.lead(order_col, 1).over(w))
     sliced = time_slices(df, order_col, slices)
-    w_in = Window.partitionBy(key, "__slice").orderBy(order_col)
+    # Null-safe key as plain columns, used alike by the window, the aggregate and
+    # the join, so the join finds the rows already partitioned (a `<=>` join
+    # would re-key and re-shuffle the large side).
+    kdef = _type_default(df.schema[key].dataType)
+    sliced = sliced.withColumns({"__kv": F.coalesce(F.col(key), kdef),
+                                 "__kn": F.col(key).isNull()})
+    part = ["__kv", "__kn", "__slice"]
+    w_in = Window.partitionBy(*part).orderBy(order_col)
     # the last row of a slice is marked explicitly: a null lead may also be a null value
     inner = sliced.withColumns({
         out_col: F.lead(order_col, 1).over(w_in),
         "__last": F.lead(F.lit(1), 1).over(w_in).isNull(),
     })
-    firsts = sliced.groupBy(key, "__slice").agg(F.min(order_col).alias("__first"))
-    nxt = (firsts.withColumn("__next",
-                             F.lead("__first", 1).over(Window.partitionBy(key).orderBy("__slice")))
+    firsts = sliced.groupBy(*part).agg(F.min(order_col).alias("__first"))
+    nxt = (firsts.withColumn("__next", F.lead("__first", 1).over(
+                Window.partitionBy("__kv", "__kn").orderBy("__slice")))
                  .filter(F.col("__next").isNotNull())
-                 .select(F.col(key).alias("__nk"), F.col("__slice").alias("__ns"), "__next"))
-    cond = inner[key].eqNullSafe(nxt["__nk"]) & (inner["__slice"] == nxt["__ns"])
-    return (inner.join(nxt, cond, "left")
+                 .select(*part, "__next"))
+    return (inner.join(nxt, part, "left")
                  .withColumn(out_col, F.when(F.col("__last"), F.col("__next"))
                                        .otherwise(F.col(out_col)))
-                 .drop("__slice", "__last", "__nk", "__ns", "__next"))
+                 .drop(*part, "__last", "__next"))
+
+
+def _type_default(dtype):
+    """A non-null stand-in of the key's type (paired with an is-null flag)."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit(0).cast("timestamp").cast(dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit(b"")
+    return F.lit(0).cast(dtype)
 
 
 def employee_intervals(weekly: DataFrame, companies: DataFrame, companies_bounded: int | None = None,
