@@ -107,10 +107,17 @@ def _distinct_values(df: DataFrame, cols: list[str]) -> list[tuple] | None:
     return None if len(vals) > PRUNE_LIST_MAX else vals
 
 
+def _all(conds: list):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
 def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: TableSpec,
            key: list[str] | tuple[str, ...] | None = None, partition_by: list[str] | None = None,
            check: bool = True, cast_mode: str = "strict",
-           derive: dict | None = None) -> str:
+           derive: dict | None = None, skip_unchanged: bool = True) -> str:
     """Keyed merge: matched keys take every column from the cast source, new keys are inserted.
 
     1. cast the source to the target layout (key columns compared after the cast);
@@ -121,6 +128,10 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: Table
        plus the source rows), staged and swapped in; every other source row is
        appended. A batch of new keys is a plain append.
 
+    With ``skip_unchanged`` a matched row whose every column already equals
+    the source (a replayed message) counts as no change: its partition is not
+    rebuilt and the row is not appended again.
+
     With ``partition_by`` the partition value of a key must not change between
     versions (derive it from the key or from an immutable column such as the
     event time). ``derive`` adds computed columns after the cast (e.g. a
@@ -147,6 +158,25 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: Table
             scope = _in_values(target, parts, touched)
         else:
             scope = target.join(src.select(*parts).distinct(), parts, "left_semi")
+    if skip_unchanged:
+        # rows already present with identical values change nothing: drop them
+        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in src.columns if c not in key]
+        unchanged = (src.alias("s").join(scope.alias("t"), key, "left_semi") if not same else
+                     src.alias("s").join(scope.alias("t"), [*key], "inner")
+                     .filter(_all(same)).select(*[F.col(f"s.{c}") for c in src.columns]))
+        src = src.join(unchanged.select(*key), key, "left_anti")
+    # src (a batch-sized result) feeds every step below: keep it. Lost blocks are
+    # recomputed from the target files, which are only replaced by the last step.
+    src = src.persist()
+    try:
+        _merge_into(spark, src, scope, target, target_path, key, parts)
+    finally:
+        src.unpersist()
+    return target_path
+
+
+def _merge_into(spark: SparkSession, src: DataFrame, scope: DataFrame, target: DataFrame,
+                target_path: str, key: list[str], parts: list[str]) -> None:
     hits = scope.select(*key, *parts).join(src.select(*key), key, "left_semi")
     if not parts:
         if hits.isEmpty():
@@ -154,21 +184,21 @@ def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: Table
         else:
             result = target.join(src.select(*key), key, "left_anti").unionByName(src)
             _stage_and_swap(spark, result, target_path, None)
-        return target_path
+        return
     hit_parts = _distinct_values(hits, parts)
     if hit_parts is None:  # matches spread over very many partitions: rebuild all touched
         result = scope.join(src.select(*key), key, "left_anti").unionByName(src)
         _stage_and_swap(spark, result, target_path, parts)
-        return target_path
+        return
+    # The source plan reads the target: append first, swap last, so nothing reads
+    # files the swap has replaced. A rerun after a failure in between finds the
+    # appended rows unchanged and skips them.
+    fresh = _not_in_values(src, parts, hit_parts) if hit_parts else src
+    write_table(fresh, target_path, "append", parts)
     if hit_parts:
         rebuilt = (_in_values(scope, parts, hit_parts).join(src.select(*key), key, "left_anti")
                    .unionByName(_in_values(src, parts, hit_parts)))
         _stage_and_swap(spark, rebuilt, target_path, parts)
-        fresh = _not_in_values(src, parts, hit_parts)
-    else:
-        fresh = src
-    write_table(fresh, target_path, "append", parts)
-    return target_path
 
 
 def load(spark: SparkSession, operation: str, source: DataFrame, target_path: str,

@@ -146,3 +146,17 @@ def test_upsert_insert_only_appends(spark, tmp_path):
     assert set(d2_files) <= set(final)        # the day without a match is left alone
     assert read(spark, path) == [("A", T1, Decimal("9.00")), ("B", T1, Decimal("2.00")),
                                  ("C", T2, Decimal("3.00"))]
+
+
+def test_upsert_identical_replay_rewrites_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    data = [("A", D1, "1"), ("B", D2, "2")]
+    load.upsert(spark, src(spark, data), path, SPEC, partition_by=["day"])
+    before = _files(path)
+    load.upsert(spark, src(spark, data), path, SPEC, partition_by=["day"])   # replay
+    assert _files(path) == before
+    load.upsert(spark, src(spark, [("A", D1, "1"), ("B", D2, "5")]), path, SPEC,
+                partition_by=["day"])
+    after = _files(path)
+    assert [f for f in after if "day=2025-01-01" in f] == [f for f in before if "day=2025-01-01" in f]
+    assert read(spark, path) == [("A", T1, Decimal("1.00")), ("B", T2, Decimal("5.00"))]
