@@ -59,28 +59,34 @@ class Element:
         self.children = []
         self.parent = parent
 
-    # single text child (recursively), like a parser's ``.string``
+    # single text child (down a chain of single children), like a parser's ``.string``
     @property
     def string(self):
-        if len(self.children) != 1:
-            return None
-        ch = self.children[0]
-        return ch if isinstance(ch, str) else ch.string
+        el = self
+        while True:
+            if len(el.children) != 1:
+                return None
+            ch = el.children[0]
+            if isinstance(ch, str):
+                return ch
+            el = ch
 
     def text(self) -> str:
+        """Concatenated descendant text in document order (iterative: deep pages are fine)."""
         out: list[str] = []
         opaque_self = self.tag in OPAQUE_TEXT_TAGS
-
-        def walk(el):
-            for ch in el.children:
-                if isinstance(ch, str):
-                    if not isinstance(ch, _Comment):
-                        out.append(ch)
-                elif ch.tag in OPAQUE_TEXT_TAGS and not opaque_self:
-                    continue
-                else:
-                    walk(ch)
-        walk(self)
+        stack = [iter(self.children)]
+        while stack:
+            ch = next(stack[-1], None)
+            if ch is None:
+                stack.pop()
+            elif isinstance(ch, str):
+                if not isinstance(ch, _Comment):
+                    out.append(ch)
+            elif ch.tag in OPAQUE_TEXT_TAGS and not opaque_self:
+                continue
+            else:
+                stack.append(iter(ch.children))
         return "".join(out)
 
     def iter(self):

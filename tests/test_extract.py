@@ -82,3 +82,12 @@ def test_load_timestamp_column(spark):
     df = spark.createDataFrame([(1, QUOTE)], "page_id long, html string")
     out = P.extract_records(df, DAILY_RULES[:1], load_ts="2025-04-01 19:00:05").first()
     assert str(out.load_timestamp_utc) == "2025-04-01 00:00:00"
+
+
+def test_deeply_nested_page():
+    deep = '<div class="ad">' + "<b>" * 5000 + "deep text" + "</b>" * 5000 + "</div>"
+    r = P.AttrRule("ad", "div", "class", "ad")
+    vals, err = P.extract_fields(deep, [r])
+    assert err is None and vals == ["deep text"]
+    lab = P.LabelRule("x", "b", None, "deep text")
+    assert P.extract_fields(deep, [lab])[0] == ["deep text"]
