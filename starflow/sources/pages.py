@@ -107,11 +107,24 @@ class Element:
                 yield c
 
 
+class Document:
+    """A parsed page: the element tree and its elements by tag, in document order."""
+    __slots__ = ("root", "by_tag")
+
+    def __init__(self, root: Element, by_tag: dict):
+        self.root = root
+        self.by_tag = by_tag
+
+    def elements(self, tag: str) -> list[Element]:
+        return self.by_tag.get(tag, [])
+
+
 class _TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element(None, {}, None)
         self.cur = self.root
+        self.by_tag: dict[str, list[Element]] = {}
 
     def _add_text(self, s: str, comment: bool = False):
         kids = self.cur.children
@@ -120,15 +133,19 @@ class _TreeBuilder(HTMLParser):
         else:
             kids.append(_Comment(s) if comment else s)
 
-    def handle_starttag(self, tag, attrs):
+    def _open(self, tag, attrs) -> Element:
         el = Element(tag, {k: ("" if v is None else v) for k, v in attrs}, self.cur)
         self.cur.children.append(el)
+        self.by_tag.setdefault(tag, []).append(el)  # start tags arrive in document order
+        return el
+
+    def handle_starttag(self, tag, attrs):
+        el = self._open(tag, attrs)
         if tag not in VOID_TAGS:
             self.cur = el
 
     def handle_startendtag(self, tag, attrs):
-        el = Element(tag, {k: ("" if v is None else v) for k, v in attrs}, self.cur)
-        self.cur.children.append(el)
+        self._open(tag, attrs)
 
     def handle_endtag(self, tag):
         el = self.cur
@@ -144,11 +161,15 @@ class _TreeBuilder(HTMLParser):
         self._add_text(data, comment=True)
 
 
-def parse_html(html: str) -> Element:
+def parse_document(html: str) -> Document:
     b = _TreeBuilder()
     b.feed(html)
     b.close()
-    return b.root
+    return Document(b.root, b.by_tag)
+
+
+def parse_html(html: str) -> Element:
+    return parse_document(html).root
 
 
 def _class_matches(value: str | None, want: str) -> bool:
@@ -177,10 +198,9 @@ class AttrRule:
     attribute: str | None = None
     value: str | None = None
 
-    def apply(self, root: Element) -> str | None:
-        for el in root.iter():
-            if el.tag == self.tag and (self.attribute is None
-                                       or _attr_matches(el, self.attribute, self.value)):
+    def apply(self, doc: Document) -> str | None:
+        for el in doc.elements(self.tag):
+            if self.attribute is None or _attr_matches(el, self.attribute, self.value):
                 if "data-value" in el.attrs:
                     return el.attrs["data-value"].strip()
                 return el.text().strip()
@@ -197,12 +217,10 @@ class LabelRule:
     sibling_class: str | None = None
     nested: bool = False
 
-    def apply(self, root: Element) -> str | None:
+    def apply(self, doc: Document) -> str | None:
         want = self.label.strip()
         hit = None
-        for el in root.iter():
-            if el.tag != self.tag:
-                continue
+        for el in doc.elements(self.tag):
             if self.css_class is not None and not _class_matches(el.attrs.get("class"), self.css_class):
                 continue
             s = el.string
@@ -244,11 +262,11 @@ def extract_fields(html: str | None, rules: Sequence[Rule]) -> tuple[list, str |
     if html is None or (isinstance(html, str) and html.strip() == ""):
         return [None] * len(rules), "empty page"
     try:
-        root = parse_html(html)
+        doc = parse_document(html)
         vals = []
         for r in rules:
             try:
-                vals.append(r.apply(root))
+                vals.append(r.apply(doc))
             except Exception as e:  # one rule failing fails the page
                 raise RuntimeError(f"rule {r.field!r} failed: {e}") from e
         return vals, None
