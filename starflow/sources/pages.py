@@ -89,14 +89,6 @@ class Element:
                 stack.append(iter(ch.children))
         return "".join(out)
 
-    def iter(self):
-        stack = [self]
-        while stack:
-            el = stack.pop()
-            yield el
-            kids = [c for c in el.children if not isinstance(c, str)]
-            stack.extend(reversed(kids))
-
     def next_siblings(self):
         if self.parent is None:
             return
@@ -168,9 +160,6 @@ def parse_document(html: str) -> Document:
     return Document(b.root, b.by_tag)
 
 
-def parse_html(html: str) -> Element:
-    return parse_document(html).root
-
 
 def _class_matches(value: str | None, want: str) -> bool:
     if value is None:
