@@ -87,9 +87,10 @@ def daily_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min(v).alias("vmin"), F.max(v).alias("vmax"), F.sum(v).alias("vsum"),
         F.count(F.lit(1)).alias("n"),
         F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)).alias("clicks"),
+        F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("purchases"),
+        F.sum(F.when(F.col("event_type") == "view", 1).otherwise(0)).alias("views"),
         F.min("ts").alias("tmin"), F.max("ts").alias("tmax"),
-        F.max("event_type").alias("tmax_type"), F.min("event_type").alias("tmin_type"),
-    )
+    )  # numeric buffers only: a hash aggregate with partial aggregation
     return a.select(
         _s("user_id").alias("symbol"), "load_timestamp_utc",
         _dec("vmin", 9, 2).alias("previous_close"),
@@ -105,8 +106,8 @@ def daily_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast(T.DecimalType(7, 2)).alias("eps"),
         F.concat(F.date_format("tmin", "MMM dd, yyyy"), F.lit(" - "),
                  F.date_format("tmax", "MMM dd, yyyy")).alias("earnings_date"),
-        F.col("tmax_type").alias("forward_dividend_and_yield"),
-        F.col("tmin_type").alias("ex_dividend_date"),
+        F.concat(_s("purchases"), F.lit(" purchases")).alias("forward_dividend_and_yield"),
+        F.concat(_s("views"), F.lit(" views")).alias("ex_dividend_date"),
         _dec("vmax", 9, 2).alias("one_year_target_estimate"),
     )
 

@@ -40,13 +40,16 @@ DAILY_EV = """daily_e AS (
     CAST(NULL AS DECIMAL(5,2)) AS beta, CAST(NULL AS DECIMAL(7,2)) AS pe_ratio,
     CAST(NULL AS DECIMAL(7,2)) AS eps,
     strftime(tmin, '%b %d, %Y') || ' - ' || strftime(tmax, '%b %d, %Y') AS earnings_date,
-    tmax_type AS forward_dividend_and_yield, tmin_type AS ex_dividend_date,
+    CAST(purchases AS VARCHAR) || ' purchases' AS forward_dividend_and_yield,
+    CAST(views AS VARCHAR) || ' views' AS ex_dividend_date,
     CAST(vmax AS DECIMAL(9,2)) AS one_year_target_estimate
   FROM (SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS load_timestamp_utc,
           min(CAST(value AS DECIMAL(12,2))) AS vmin, max(CAST(value AS DECIMAL(12,2))) AS vmax,
           sum(CAST(value AS DECIMAL(12,2))) AS vsum, count(*) AS n,
           sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS clicks,
-          min(ts) AS tmin, max(ts) AS tmax, max(event_type) AS tmax_type, min(event_type) AS tmin_type
+          sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchases,
+          sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS views,
+          min(ts) AS tmin, max(ts) AS tmax
         FROM events GROUP BY user_id, CAST(date_trunc('day', ts) AS TIMESTAMP)) g)"""
 
 WEEKLY_CUST = """weekly_c AS (
