@@ -201,6 +201,26 @@ def _merge_into(spark: SparkSession, src: DataFrame, scope: DataFrame, target: D
         _stage_and_swap(spark, rebuilt, target_path, parts)
 
 
+def merge_table(source: DataFrame, table: str, spec: TableSpec,
+                key: list[str] | tuple[str, ...] | None = None, cast_mode: str = "strict") -> None:
+    """Keyed merge into a catalog table whose format supports MERGE.
+
+    ``DataFrame.mergeInto`` updates matched keys with every source column and
+    inserts the rest in one atomic commit, with no staging copy. Plain parquet
+    tables refuse it (use :func:`upsert` on a folder instead). The source is
+    cast and key-checked as in :func:`upsert`.
+    """
+    key = list(key or spec.key)
+    src = schema_cast(source, spec, cast_mode)
+    assert_keys(src, key, spec.not_null)
+    tgt = table.split(".")[-1]
+    cond = _all([F.col(f"{tgt}.{k}") == F.col(f"__src.{k}") for k in key])
+    (src.alias("__src").mergeInto(table, cond)
+        .whenMatched().updateAll()
+        .whenNotMatched().insertAll()
+        .merge())
+
+
 def load(spark: SparkSession, operation: str, source: DataFrame, target_path: str,
          spec: TableSpec, key=None, partition_by=None, cast_mode: str = "strict") -> str:
     """Move an ingress table into the typed layer by ``append``, ``replace`` or ``upsert``."""

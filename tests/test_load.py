@@ -160,3 +160,10 @@ def test_upsert_identical_replay_rewrites_nothing(spark, tmp_path):
     after = _files(path)
     assert [f for f in after if "day=2025-01-01" in f] == [f for f in before if "day=2025-01-01" in f]
     assert read(spark, path) == [("A", T1, Decimal("1.00")), ("B", T2, Decimal("5.00"))]
+
+
+def test_merge_table_needs_merge_capable_format(spark):
+    spark.createDataFrame([("A", T1, Decimal("1.00"))], "k string, day timestamp_ntz, v decimal(9,2)") \
+        .write.mode("overwrite").saveAsTable("merge_plain_parquet")
+    with pytest.raises(Exception, match="MERGE"):
+        load.merge_table(src(spark, [("A", D1, "2")]), "merge_plain_parquet", SPEC)
