@@ -121,3 +121,30 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def scale_conf(input_bytes: int, slots: int, shuffle_fraction: float = 0.3,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings sized for a job reading ``input_bytes`` on ``slots`` task slots.
+
+    * scan splits of up to 512 MB (``maxPartitionBytes``), but never fewer
+      splits than two per slot;
+    * initial shuffle partitions so that the expected shuffle volume
+      (``shuffle_fraction`` of the input) lands near ``target_partition_bytes``
+      per partition, at least two per slot; AQE then coalesces toward the
+      same advisory size and splits skewed partitions.
+
+    For 100 TB on 8,000 slots this gives 512 MB scan splits (~200k scan tasks,
+    25 waves) and ~120k initial shuffle partitions of ~256 MB each.
+    """
+    gb = 1 << 30
+    split = max(64 << 20, min(512 << 20, input_bytes // max(1, 2 * slots)))
+    shuffle_parts = max(2 * slots, int(input_bytes * shuffle_fraction // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(max(gb, 4 * target_partition_bytes)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -103,3 +103,13 @@ def test_archive_load(spark, tmp_path):
     assert rows(spark.read.parquet(target)) == [("c", "d", 2)]
     moved = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
     assert "one.csv" in moved
+
+
+def test_scale_conf_for_100tb():
+    from starflow.session import scale_conf
+    c = scale_conf(100 << 40, 8000)
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 512 << 20
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert 100_000 < parts < 150_000
+    small = scale_conf(50 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
