@@ -53,18 +53,35 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def spark_context(spark: SparkSession):
+    """The session's SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no context on the client
+        return None
+
+
+def task_slots(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism)."""
+    sc = spark_context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", None)
+               or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from the session; when the cluster names none (tests, local runs),
     create a private one and register it as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = spark_context(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="starflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         # keep DataFrame.checkpoint() data in the same place
         sc.setCheckpointDir(d)
     return d
@@ -106,8 +123,8 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = spark_context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{spark.conf.get('spark.app.id', '')}"
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -119,7 +136,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)
 
 

@@ -28,7 +28,8 @@ def spread(df: DataFrame) -> DataFrame:
     runs on one core. Such an input is redistributed round-robin. A large
     table has at least as many files as slots, and nothing is added.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    from ..session import task_slots
+    slots = task_slots(df.sparkSession)
     if len(df.inputFiles()) < slots:
         return df.repartition(slots)
     return df

@@ -17,6 +17,7 @@ from ..functions.casts import schema_cast, split_rejects
 from ..functions.frames import FRAME_ERROR, PayloadSchema, decode_frames, record_json
 from ..operators.load import upsert
 from ..schemas import TRADE_VALUE_SCHEMA, TRANSACTIONS, TableSpec
+from ..session import task_slots
 
 # Column layout of a topic record (what the Kafka source yields).
 TOPIC_RECORD_SCHEMA = T.StructType([
@@ -43,7 +44,7 @@ def trade_source(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
         opts.setdefault("startingOffsets", "earliest")
         # producers key by company: one hot company fills one topic partition.
         # minPartitions lets Spark read a large topic partition with several tasks.
-        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+        opts.setdefault("minPartitions", str(task_slots(spark)))
         return spark.readStream.format("kafka").options(**opts).load()
     r = spark.readStream.format(fmt).schema(TOPIC_RECORD_SCHEMA).options(**opts)
     if max_files_per_trigger:
