@@ -387,13 +387,14 @@ def scd_refresh(spark, sf):
     cut = F.lit(REFRESH_CUTOFF).cast(T.TimestampNTZType())
     comp = fx.companies_dim(spark, sf)
     path = workspace(spark, "intervals")
-    load.write_table(marts.trf_employee_intervals(weekly.filter(F.col("load_timestamp_utc") < cut),
-                                                  comp), path)
+    star.write_intervals(marts.trf_employee_intervals(
+        weekly.filter(F.col("load_timestamp_utc") < cut), comp), path, "company_id", buckets=16)
     new = star.lookup(weekly.filter(F.col("load_timestamp_utc") >= cut), comp, "symbol",
                       "company_symbol", ["company_id"])
     new = new.select("company_id", "company_full_time_employees",
                      F.col("load_timestamp_utc").alias("load_timestamp_utc_from"))
-    return star.refresh_intervals(spark.read.parquet(path), new, "company_id")
+    star.refresh_intervals_table(spark, path, new, "company_id", buckets=16)
+    return star.read_intervals(spark, path)
 
 
 # ------------------------------------------------------------------ stream

@@ -139,3 +139,27 @@ def test_spread_only_small_inputs(spark, tmp_path):
     df.repartition(spark.sparkContext.defaultParallelism * 2).write.parquet(many)
     big = spark.read.parquet(many)
     assert spread(big) is big          # enough files: nothing added
+
+
+def test_refresh_intervals_table_rewrites_only_touched_bucket(spark, tmp_path):
+    import os
+    path = str(tmp_path / "iv")
+    existing = spark.createDataFrame(
+        [(i, "10", day(0), None) for i in range(20)],
+        "company_id int, emp string, load_timestamp_utc_from timestamp_ntz, "
+        "load_timestamp_utc_to timestamp_ntz")
+    star.write_intervals(existing, path, "company_id", buckets=8)
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+    before = files()
+    new = spark.createDataFrame([(3, "12", day(7))],
+                                "company_id int, emp string, load_timestamp_utc_from timestamp_ntz")
+    star.refresh_intervals_table(spark, path, new, "company_id", buckets=8)
+    after = files()
+    got = rows(star.read_intervals(spark, path).filter("company_id = 3"), ["load_timestamp_utc_from"])
+    assert got == [(3, "10", day(0), day(7)), (3, "12", day(7), None)]
+    assert star.read_intervals(spark, path).count() == 21
+    changed_dirs = {os.path.dirname(f) for f in before ^ after}
+    assert len(changed_dirs) == 1          # one bucket rewritten, the others untouched
