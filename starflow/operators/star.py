@@ -189,27 +189,27 @@ def refresh_intervals_table(spark, path: str, new_rows: DataFrame, key: str,
                             skew_safe: bool = True) -> str:
     """Incremental interval maintenance on a bucketed table (see :func:`write_intervals`).
 
-    Only the buckets of touched keys are read; the touched keys' rows are
-    recomputed with the new ones (closing their open intervals) and upserted
-    on ``(key, from_col)``, so only buckets with a real change are rewritten.
-    ``key`` must not be null: a null key cannot be matched to its earlier rows.
+    Only the buckets of touched keys are read and rewritten: their untouched
+    keys pass as they are, touched keys are recomputed together with the new
+    rows (closing their open intervals), and the rebuilt buckets replace the
+    old ones; every other bucket is left alone. ``key`` must not be null: a
+    null key cannot be matched to its earlier rows.
     """
-    from ..schemas import spec_from_struct
-    from .load import _distinct_values, _in_values, upsert
+    from .load import _distinct_values, _in_values, _stage_and_swap
 
     table = spark.read.parquet(path)
     cols = [c for c in table.columns if c != BUCKET]
     hit = _distinct_values(new_rows.select(_bucket(key, buckets).alias(BUCKET)), [BUCKET])
-    scope = _in_values(table, [BUCKET], hit) if hit is not None else table
+    scope = (_in_values(table, [BUCKET], hit) if hit is not None else table).select(*cols)
     attrs = [c for c in cols if c not in (key, from_col, to_col)]
     touched = new_rows.select(key).distinct()
-    old = scope.select(*cols).join(touched, key, "left_semi").select(key, from_col, *attrs)
+    keep = scope.join(touched, key, "left_anti")
+    old = scope.join(touched, key, "left_semi").select(key, from_col, *attrs)
     fresh = new_rows.select(key, from_col, *attrs)
     merged = old.join(fresh.select(key, from_col), [key, from_col], "left_anti").unionByName(fresh)
     redone = next_in_key(merged, key, from_col, to_col, skew_safe).select(*cols)
-    spec = spec_from_struct("intervals", table.select(*cols).schema, key=(key, from_col))
-    upsert(spark, redone, path, spec, partition_by=[BUCKET],
-           derive={BUCKET: _bucket(key, buckets)}, check=False)
+    rebuilt = keep.unionByName(redone).withColumn(BUCKET, _bucket(key, buckets))
+    _stage_and_swap(spark, rebuilt, path, [BUCKET])
     return path
 
 
