@@ -130,3 +130,33 @@ def test_partitioned_upsert_matches_dict_merge(spark, tmp_path_factory, batches)
         return
     got = {r.k: r.v for r in spark.read.parquet(path).collect()}
     assert got == {k: Decimal(v).quantize(Decimal("0.01")) for k, v in model.items()}
+
+
+@SETTINGS
+@given(frames_in=st.lists(st.tuples(st.integers(0, 2**32 - 1), st.binary(max_size=20)),
+                          min_size=1, max_size=20))
+def test_frame_round_trip(spark, frames_in):
+    from starflow.functions import frames
+    data = [(i, bytes([0]) + sid.to_bytes(4, "big") + body) for i, (sid, body) in enumerate(frames_in)]
+    df = spark.createDataFrame(data, "i int, value binary")
+    got = {r.i: (r.schema_id, r.payload, r.frame_error) for r in frames.split_frames(df).collect()}
+    for i, (sid, body) in enumerate(frames_in):
+        assert got[i] == (sid, bytearray(body), None)
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                                 st.one_of(st.none(), st.integers(0, 3))), max_size=40))
+def test_checks_match_model(spark, values):
+    from collections import Counter
+    from starflow.operators import checks
+    df = spark.createDataFrame(values, "k string, n int")
+    nulls = dict((r.column_name, r.null_count) for r in checks.null_counts(df).collect())
+    assert nulls == {"k": sum(v[0] is None for v in values), "n": sum(v[1] is None for v in values)}
+    counts = Counter(values)
+    want = sorted((k, n, c) for (k, n), c in counts.items() if c > 1)
+    got = sorted(tuple(r) for r in checks.duplicate_keys(df, ["k", "n"]).collect())
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    summary = checks.key_summary(df, ["k", "n"])
+    assert summary["duplicate_keys"] == len(want)
+    assert summary["duplicate_rows"] == sum(c for _, _, c in want)
