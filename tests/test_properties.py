@@ -160,3 +160,30 @@ def test_checks_match_model(spark, values):
     summary = checks.key_summary(df, ["k", "n"])
     assert summary["duplicate_keys"] == len(want)
     assert summary["duplicate_rows"] == sum(c for _, _, c in want)
+
+
+@SETTINGS
+@given(items=st.lists(st.tuples(st.text(alphabet="abcXYZ é", max_size=10),
+                                st.one_of(st.decimals(min_value=-99999, max_value=99999,
+                                                      allow_nan=False, places=4),
+                                          st.sampled_from(["", "1,5", "abc", "1e3"]))),
+                      min_size=1, max_size=20))
+def test_lenient_cast_matches_decimal_model(spark, items):
+    from decimal import ROUND_HALF_UP, InvalidOperation
+    from starflow.functions.casts import schema_cast
+    spec = TableSpec("c", (Column("s", "varchar", length=4), Column("n", "numeric", precision=7, scale=2)))
+    rows_in = [(i, s, str(n)) for i, (s, n) in enumerate(items)]
+    df = spark.createDataFrame(rows_in, "i int, s string, n string")
+    out = {r.i: (r.s, r.n, r._cast_errors) for r in
+           schema_cast(df, spec, "lenient", keep_extra=("i",)).collect()}
+    for i, s, n in rows_in:
+        try:
+            want = Decimal(n.strip()).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            if abs(want) >= Decimal("100000"):
+                want = None            # does not fit numeric(7,2)
+        except (InvalidOperation, ValueError):
+            want = None
+        got_s, got_n, errs = out[i]
+        assert got_s == s[:4]
+        assert got_n == want, (n, got_n, want)
+        assert ("n" in errs) == (want is None)
