@@ -154,9 +154,9 @@ def test_checks_match_model(spark, values):
     nulls = dict((r.column_name, r.null_count) for r in checks.null_counts(df).collect())
     assert nulls == {"k": sum(v[0] is None for v in values), "n": sum(v[1] is None for v in values)}
     counts = Counter(values)
-    want = sorted((k, n, c) for (k, n), c in counts.items() if c > 1)
-    got = sorted(tuple(r) for r in checks.duplicate_keys(df, ["k", "n"]).collect())
-    assert sorted(got, key=repr) == sorted(want, key=repr)
+    want = sorted(((k, n, c) for (k, n), c in counts.items() if c > 1), key=repr)
+    got = sorted((tuple(r) for r in checks.duplicate_keys(df, ["k", "n"]).collect()), key=repr)
+    assert got == want
     summary = checks.key_summary(df, ["k", "n"])
     assert summary["duplicate_keys"] == len(want)
     assert summary["duplicate_rows"] == sum(c for _, _, c in want)
