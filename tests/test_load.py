@@ -167,3 +167,11 @@ def test_merge_table_needs_merge_capable_format(spark):
         .write.mode("overwrite").saveAsTable("merge_plain_parquet")
     with pytest.raises(Exception, match="MERGE"):
         load.merge_table(src(spark, [("A", D1, "2")]), "merge_plain_parquet", SPEC)
+
+
+def test_materialize_partitioned_keeps_order_and_types(spark, tmp_path):
+    df = spark.createDataFrame([(1, T1, "x"), (2, T2, "y")], "id int, ts timestamp_ntz, s string")
+    out = load.materialize(df, "m", "table", path=str(tmp_path / "m"), partition_by=["ts"])
+    assert out.columns == ["id", "ts", "s"]
+    assert out.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    assert sorted(rows(out)) == [(1, T1, "x"), (2, T2, "y")]
