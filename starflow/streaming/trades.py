@@ -125,7 +125,8 @@ def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
                    .unionByName(bad_null.select(
                        *as_text, F.lit("null key or required column").alias("reason")))
                    .withColumn("epoch_id", F.lit(epoch_id).cast(T.LongType())))
-        rejects.write.mode("append").parquet(rejects_path)
+        # rejects are usually few: let AQE size the files instead of one per task
+        rejects.hint("rebalance").write.mode("append").parquet(rejects_path)
         # newest copy per key: keys are unique and non-null by construction, so the
         # upsert's own key check is skipped
         latest = (newest_per_key(ok, key[0]) if len(key) == 1 else ok).persist()
