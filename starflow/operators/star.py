@@ -95,7 +95,16 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
     kdef = _type_default(df.schema[key].dataType)
     sliced = sliced.withColumns({"__kv": F.coalesce(F.col(key), kdef),
                                  "__kn": F.col(key).isNull()})
-    part = ["__kv", "__kn", "__slice"]
+    # A key's consecutive slices go to consecutive slots (one slot per shuffle
+    # partition); range partitioning gives every slot its own partition, where
+    # hashing a few slice numbers would pile several into one. The slot is a
+    # function of (key, slice), so adding it to the window keys changes no group,
+    # and the range partitioning already satisfies the window's clustering.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = sliced.withColumn(
+        "__slot", F.pmod(F.xxhash64("__kv", "__kn") + F.col("__slice"), F.lit(n_parts)))
+    sliced = sliced.repartitionByRange(n_parts, "__slot")
+    part = ["__slot", "__kv", "__kn", "__slice"]
     w_in = Window.partitionBy(*part).orderBy(order_col)
     # the last row of a slice is marked explicitly: a null lead may also be a null value
     inner = sliced.withColumns({
@@ -107,10 +116,14 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
                 Window.partitionBy("__kv", "__kn").orderBy("__slice")))
                  .filter(F.col("__next").isNotNull())
                  .select(*part, "__next"))
-    return (inner.join(nxt, part, "left")
-                 .withColumn(out_col, F.when(F.col("__last"), F.col("__next"))
-                                       .otherwise(F.col(out_col)))
-                 .drop(*part, "__last", "__next"))
+    # Only slice ends (one row per (key, slice)) meet the small table; the other
+    # rows pass straight through, so the large side is not re-shuffled for a join.
+    ends = (inner.filter(F.col("__last")).drop(out_col).join(nxt, part, "left")
+                 .withColumnRenamed("__next", out_col))
+    cols = [c for c in inner.columns if c != "__last"]
+    return (inner.filter(~F.col("__last")).select(*cols)
+                 .unionByName(ends.select(*cols))
+                 .drop(*part))
 
 
 def _type_default(dtype):
