@@ -37,42 +37,58 @@ def lookup(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
     return left.join(d, left[left_key] == d["__lk"], "left").drop("__lk")
 
 
-# Upper bound on time slices for the skew-safe lead (the cut list lives in the plan).
-MAX_SLICES = 4096
+def _slice_number(df: DataFrame, order_col: str):
+    """The order column as a number whose order it follows (text: by its first seven bytes)."""
+    from pyspark.sql import types as T
+
+    dtype, oc = df.schema[order_col].dataType, F.col(f"`{order_col}`")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(oc.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(oc).cast("double")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        lead7 = F.rpad(F.hex(F.substring(oc.cast("binary"), 1, 7)), 14, "0")
+        return F.conv(lead7, 16, 10).cast("double")
+    return oc.cast("double")
+
+
+def slice_cuts(df: DataFrame, order_col: str, slices: int | None = None) -> list[float]:
+    """Sorted cut points at quantiles of ``order_col``, one slice per shuffle partition.
+
+    One sampling pass over that column; only the cuts reach the driver. Nulls and NaN are left out.
+    """
+    n = max(2, slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    probe = df.select(_slice_number(df, order_col).alias("__o")).filter(~F.isnan("__o"))
+    cuts = probe.approxQuantile("__o", [i / n for i in range(1, n)], 1.0 / (4 * n))
+    return sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
+
+
+def slice_index(num, cuts: list[float]):
+    """How many of the sorted ``cuts`` lie at or below ``num`` (null: 0; NaN: all).
+
+    Searched in two steps over about sqrt(n) cuts each, with built-in functions.
+    """
+    if not cuts:
+        return F.lit(0)
+    num = F.coalesce(num.cast("double"), F.lit(float("-inf")))
+    step = max(1, int(len(cuts) ** 0.5))
+    parts = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    heads = F.array(*[F.lit(p[0]) for p in parts])
+    block = F.size(F.filter(heads, lambda c: c <= num))
+    inner = F.get(F.array(*[F.array(*[F.lit(c) for c in p]) for p in parts]), F.greatest(block - 1, F.lit(0)))
+    below = F.greatest(block - 1, F.lit(0)) * step
+    return (below + F.size(F.filter(inner, lambda c: c <= num))).cast("int")
 
 
 def time_slices(df: DataFrame, order_col: str, slices: int | None = None,
                 slice_col: str = "__slice") -> DataFrame:
     """Add ``slice_col``: the row's slice of ``order_col`` at global quantiles.
 
-    One sampling pass (``approxQuantile``) finds up to ``slices - 1`` cut
-    points; only those reach the driver. The slice is a function of the row's
-    own value, so it is the same in every branch of a plan and on every retry.
-    Nulls fall in the first slice (they order first).
+    The slice is a function of the row's own value, so it is the same in every branch of a plan
+    and on every retry. Nulls fall in the first slice (they order first), NaN in the last.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(2, min(n, MAX_SLICES))
-    dtype = df.schema[order_col].dataType.simpleString()
-    oc = F.col(order_col)
-    if dtype.startswith("timestamp"):
-        num = F.unix_micros(oc.cast("timestamp")).cast("double")
-    elif dtype == "date":
-        num = F.unix_date(oc).cast("double")
-    else:
-        num = oc.cast("double")
-    num = F.coalesce(num, F.lit(float("-inf")))
-    probe = df.select(num.alias("__o"))
-    cuts = probe.approxQuantile("__o", [i / n for i in range(1, n)], 1.0 / (4 * n))
-    cuts = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
-    if not cuts:  # every value equal or null: one slice
-        return df.withColumn(slice_col, F.lit(0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    out = Bucketizer(splits=splits, inputCol="__o", outputCol="__sl").transform(
-        df.withColumn("__o", num))
-    return out.withColumn(slice_col, F.col("__sl").cast("int")).drop("__o", "__sl")
+    cuts = slice_cuts(df, order_col, slices)
+    return df.withColumn(slice_col, slice_index(_slice_number(df, order_col), cuts))
 
 
 def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
