@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import mix, pack
+from starflow.llm import cotrain, mix, pack, secrets, simhash
 from starflow.llm.common import read, staged
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier does not reject."""
+    return cotrain.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.deduplicate(docs)
+
+
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, the secrets in their texts masked."""
+    return secrets.mask_secrets(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources draws them."""
     return mix.emit(mix.mix(docs)).select(*docs.columns)
@@ -19,6 +34,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", quality),
+    ("simhash_dedup", near_duplicates),
+    ("secret_scan", secret_masking),
     ("mix_sources", mixing),
     ("pack_sequences", packing),
 ]

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import mix, pack
+from . import cotrain, langid, mix, mtree, omh, pack, secrets, simhash, tokenfiles, urls
 
 QUERIES = {
     "op1_mix_sources": mix.op1,
+    "op2_simhash_golay": simhash.op2,
+    "op3_order_minhash": omh.op3,
+    "op4_token_files": tokenfiles.op4,
+    "op5_mtree_topk": mtree.op5,
+    "op6_cotrain_quality": cotrain.op6,
+    "op7_url_filter": urls.op7,
+    "op8_language_spans": langid.op8,
+    "op9_secret_scan": secrets.op9,
     "op10_pack_sequences": pack.op10,
 }
 
