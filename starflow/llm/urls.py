@@ -29,7 +29,8 @@ RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 SLOT_BITS = 13
 GRAMS = (3, 4, 5)
 MOST_LABELLED = 5_000
-BLOCK_FROM = 0.5
+#: A url is blocked only on fairly clear evidence.
+BLOCK_FROM = 0.6
 
 #: The small labelled table: words of hosts, dealt over neutral domains and paths by `seeds`.
 BLOCK_WORDS = ["casino", "poker", "bets", "betting", "free-bets", "slots", "jackpot", "casino-win", "pills", "cheap-pills",
