@@ -114,7 +114,7 @@ class Logistic:
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return z @ self.weights[:-1] + self.weights[-1]
+        return (z * self.weights[:-1]).sum(axis=1) + self.weights[-1]  # the same for any batch
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.a * self.raw(x) + self.b, -6, 6)
@@ -290,15 +290,16 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labelled
 
 
 def _arrays(df: DataFrame):
-    """A bounded draw on the driver, in the order of its ids."""
+    """A bounded draw on the driver, in the order of its ids, then of its features."""
     t = df.toArrow()
-    order = np.argsort(np.array(t["id"].to_pylist(), dtype=object), kind="stable") if len(t) else np.zeros(0, int)
-    width = (len(views("", None, None)[0]), len(views("", None, None)[1]))
-    out = [np.array(t["id"].to_pylist(), dtype=object)[order], np.array(t["y"].to_pylist(), dtype=int)[order]]
-    for name, w in zip(("content", "metadata"), width):
+    ids, ys = np.array(t["id"].to_pylist(), dtype=object), np.array(t["y"].to_pylist(), dtype=int)
+    found = []
+    for name, width in zip(("content", "metadata"), map(len, views("", None, None))):
         flat = t[name].combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(t) else np.zeros(0)
-        out.append(flat.reshape(-1, w)[order].astype(float))
-    return out
+        found.append(flat.reshape(-1, width).astype(float))
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], ys[i], found[0][i].tobytes(), found[1][i].tobytes()))
+    order = np.array(order, dtype=int)
+    return ids[order], ys[order], found[0][order], found[1][order]
 
 
 def score(docs: DataFrame, model: CoTrained, text_col: str = "text", lang_col: str = "lang",
