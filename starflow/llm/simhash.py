@@ -178,7 +178,9 @@ def links_of(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be 0 to {MAX_BITS}")
-    keyed = fps.mapInArrow(_with_keys, "key long, fp long")
+    # a row becomes up to 64: spread the rows by count, not by their own small size
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = fps.repartition(parts, "fp").mapInArrow(_with_keys, "key long, fp long")
     pivots = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.count(F.lit(1)).alias("n"))
     buckets = staged(keyed.join(pivots.filter("n > 1"), "key"), "buckets")
     to_pivot = buckets.filter((F.col("fp") != F.col("pivot")) & _near("fp", "pivot", max_bits))
