@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from .functions.casts import load_day
 from .functions.frames import encode_frame
 from .schemas import Column, TableSpec
-from .sources.tables import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -25,17 +24,9 @@ NATION_ROWS = 25
 REGION_ROWS = 5
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table.
-
-    ``spread_rows`` is for inputs that feed heavy row-wise work (text
-    formatting and parsing, HTML parsing) with no exchange in between: a
-    table stored as fewer files than task slots is spread over the slots
-    (see ``sources.tables.spread``). Aggregations and joins get their
-    parallelism at their own exchange and read the table as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dec(c, p=12, s=2):
@@ -49,7 +40,7 @@ def _s(c):
 # --------------------------------------------------------------------------- daily
 def daily_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed daily-quote rows (companies_daily layout) from lineitem."""
-    li = table(spark, sf_dir, "lineitem", spread_rows=True)
+    li = table(spark, sf_dir, "lineitem")
     ship = F.col("l_shipdate")
     d_pad = F.date_format(ship, "MMM dd, yyyy")
     d_plus5 = F.date_format(F.date_add(ship.cast(T.DateType()), 5), "MMM d, yyyy")
@@ -215,6 +206,19 @@ ORDERS_SPEC = TableSpec(
     key=("o_orderkey",),
 )
 
+# The upsert target: a json column, and partitions that move and may be null.
+NOTED_SPEC = TableSpec("orders_noted", (*ORDERS_SPEC.columns, Column("note", "json")), key=("o_orderkey",))
+
+
+def noted(orders: DataFrame, days: int = 0) -> DataFrame:
+    """Text orders with a json note; ``days`` moves those whose key is divisible by 8."""
+    moved = F.to_timestamp_ntz("o_orderdate") + F.make_dt_interval(
+        F.when(F.col("o_orderkey").cast("bigint") % 8 == 0, F.lit(days)).otherwise(F.lit(0)))
+    return orders.withColumns({
+        "o_orderdate": F.date_format(moved, "yyyy-MM-dd HH:mm:ss"),
+        "note": F.concat(F.lit('{"p":"'), F.col("o_orderpriority"), F.lit('"}'))})
+
+
 # The cast demo target: decimal(9,2), int, timestamp, and a varchar(4) that truncates.
 CAST_SPEC = TableSpec(
     "orders_cast",
@@ -269,12 +273,41 @@ def trade_payload_json(df: DataFrame) -> DataFrame:
     return df.withColumn("payload_json", js)
 
 
+#: A second record shape: other order, no volume, a field of its own.
+VENUE_SCHEMA = T.StructType([
+    T.StructField("company_id", T.IntegerType()), T.StructField("transaction_id", T.StringType()),
+    T.StructField("venue", T.StringType()), T.StructField("customer_id", T.IntegerType()),
+    T.StructField("transaction_timestamp_utc", T.StringType()),
+])
+VENUE_ID = 3
+
+
+def replayed(t: DataFrame) -> DataFrame:
+    """The same trades once more: of three one is corrected a day later, one is an older copy with
+    another volume, one is unchanged."""
+    third = F.pmod("event_id", F.lit(3))
+    days = F.when(third == 0, F.lit(1)).when(third == 1, F.lit(-1)).otherwise(F.lit(0))
+    ts = F.to_timestamp_ntz("transaction_timestamp_utc") + F.make_dt_interval(days)
+    volume = F.when(third == 0, F.col("volume_traded") + 1).when(third == 1, F.col("volume_traded") - 7)
+    return t.withColumns({"transaction_timestamp_utc": F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                          "volume_traded": F.coalesce(volume, F.col("volume_traded"))})
+
+
 def trade_topic_records(spark: SparkSession, sf_dir: str, good_id: int = 1,
-                        unknown_id: int = 2) -> DataFrame:
+                        unknown_id: int = 2, change=None, two_shapes: bool = False) -> DataFrame:
     """Topic records (key, value, topic, partition, offset, timestamp) carrying
-    framed trades; ``error`` events carry an id the registry does not know."""
-    t = trade_payload_json(trade_fields(spark, sf_dir))
+    framed trades; ``error`` events carry an id the registry does not know.
+    ``change`` maps the trade fields first; with ``two_shapes`` every fourth
+    trade is sent in the second record shape."""
+    fields = trade_fields(spark, sf_dir)
+    t = trade_payload_json(change(fields) if change else fields)
     sid = F.when(F.col("event_type") == "error", F.lit(unknown_id)).otherwise(F.lit(good_id))
+    if two_shapes:
+        other = F.to_json(F.struct("company_id", "transaction_id", F.lit("X").alias("venue"), "customer_id",
+                                   "transaction_timestamp_utc"))
+        fourth = F.pmod("event_id", F.lit(4)) == 0
+        t = t.withColumn("payload_json", F.when(fourth, other).otherwise(F.col("payload_json")))
+        sid = F.when(fourth & (F.col("event_type") != "error"), F.lit(VENUE_ID)).otherwise(sid)
     key = encode_frame(F.lit(good_id), F.encode(
         F.concat(F.lit('{"company_id":'), _s("company_id"), F.lit("}")), "UTF-8"))
     return t.select(

@@ -89,24 +89,29 @@ def decode_payload(payload_col: Column, entry: PayloadSchema) -> Column:
 
 
 def decode_frames(df: DataFrame, registry: dict[int, PayloadSchema],
-                  value_col: str = "value", record_col: str = "record") -> DataFrame:
+                  value_col: str = "value", record_col: str = "record",
+                  target: T.StructType | None = None) -> DataFrame:
     """Split frames and decode each payload with the schema its id names.
 
     The registry is a small driver-side mapping (ids are few); each id becomes
     one branch of a ``CASE`` so the whole decode stays in one projection.
+    Each id is decoded with its own record shape, then projected by name to ``target`` (by default
+    the shape of the lowest id): missing fields are null, others are left out.
     Unknown ids and undecodable payloads set ``frame_error``.
     """
     if not registry:
         raise ValueError("empty schema registry")
-    shapes = {e.schema.simpleString() for e in registry.values()}
-    if len(shapes) != 1:
-        raise ValueError("all registry entries must decode to the same record shape")
+    target = target or registry[min(registry)].schema
     out = split_frames(df, value_col)
     sid, pl = F.col("schema_id"), F.col("payload")
     rec = None
     for k, entry in sorted(registry.items()):
-        branch = decode_payload(pl, entry)
-        rec = F.when(sid == F.lit(k), branch) if rec is None else rec.when(sid == F.lit(k), branch)
+        own = decode_payload(pl, entry)
+        if entry.schema != target:
+            fields = [(own[f.name] if f.name in entry.schema.names else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in target.fields]
+            own = F.when(own.isNotNull(), F.struct(*fields))
+        rec = F.when(sid == F.lit(k), own) if rec is None else rec.when(sid == F.lit(k), own)
     known = sid.isin(list(registry))
     err = (F.when(F.col(FRAME_ERROR).isNotNull(), F.col(FRAME_ERROR))
            .when(~known, F.lit("unknown schema id"))

@@ -1,33 +1,42 @@
 """Load operations: truncate-load, append, replace, keyed upsert, incremental.
 
-Targets are parquet folders (optionally partitioned). Parquet has no MERGE:
-the upsert finds which partitions hold a source key, rebuilds only those
-(anti join on the key plus the source rows, staged, then swapped in by
-dynamic partition overwrite) and appends every other source row. The swap is
-not atomic across partitions; a failed job leaves untouched partitions
-intact, and rerunning it gives the same table.
+Targets are parquet folders (optionally partitioned). Parquet has no MERGE: the
+upsert stages the batch, finds the target rows of its keys in one join, rebuilds
+only the partitions that hold a changed key and swaps them in, then appends the
+rest. The swap is not atomic across partitions: after a failed run, running the
+same batch again gives the whole table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casts import schema_cast
 from ..schemas import TableSpec
-from ..session import workspace
+from ..session import remove_folder, workspace
 from ..sources.csv import read_positional_csv
 from .checks import assert_keys
 
 OPERATIONS = ("append", "replace", "upsert")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def open_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path`` with its declared schema, or None if there is no such folder.
+
+    Only a missing path counts as absent: an empty folder is an empty table, and any other error
+    (a denied listing, a throttled store) is raised, as is an unreadable file once rows are read.
+    """
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:
-        return False
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -56,149 +65,155 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def truncate_load(spark: SparkSession, csv_path: str | list[str], spec: TableSpec,
-                  target_path: str) -> str:
-    """Empty the ingress table and load a CSV file into it, columns by position."""
-    df = read_positional_csv(spark, csv_path, spec, text=True)
-    return write_table(df, target_path, "overwrite")
+                  target_path: str, **options) -> str:
+    """Empty the ingress table and load CSV files into it, columns by position.
 
-
-def _stage_and_swap(spark: SparkSession, result: DataFrame, target_path: str,
-                    partition_by: list[str] | None) -> None:
-    """Write ``result`` next to the target, then overwrite the target from it.
-
-    A plan cannot overwrite the folder it reads, hence the staging copy. With
-    partitions, dynamic overwrite replaces only the partitions present.
+    ``options`` go to the reader, e.g. ``multiLine=False`` where no cell holds a line break (files
+    are then read in splits).
     """
-    stage = workspace(spark, "stage")
-    write_table(result, stage, "overwrite", partition_by)
-    # explicit schema: an empty partitioned result leaves no data file to infer from
-    staged = spark.read.schema(result.schema).parquet(stage)
-    if partition_by:
-        # staged files each hold one partition: copy them without another shuffle
-        write_table(staged.select(*result.columns), target_path, "overwrite", partition_by,
-                    only_present_partitions=True, rebalance=False)
-    else:
-        write_table(staged, target_path, "overwrite")
-
-
-# Up to this many partition values are folded into a scan as a partition
-# filter (static pruning); beyond it a semi join selects them.
-PRUNE_LIST_MAX = 10_000
-
+    df = read_positional_csv(spark, csv_path, spec, text=True, **options)
+    return write_table(df, target_path, "overwrite")
 
-def _in_values(df: DataFrame, cols: list[str], values: list[tuple]) -> DataFrame:
-    """Rows of ``df`` whose ``cols`` take one of ``values`` (a short, collected list)."""
-    if len(cols) == 1:
-        return df.filter(F.col(cols[0]).isin([v[0] for v in values]))
-    vals = df.sparkSession.createDataFrame(values, df.select(*cols).schema)
-    return df.join(F.broadcast(vals), cols, "left_semi")  # at most PRUNE_LIST_MAX rows
 
+def _same(a: str, b: str, cols: Iterable[str]) -> Column:
+    """Null-safe equality of columns on two aliased sides."""
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return out
 
-def _not_in_values(df: DataFrame, cols: list[str], values: list[tuple]) -> DataFrame:
-    if len(cols) == 1:
-        return df.filter(~F.col(cols[0]).isin([v[0] for v in values]))
-    vals = df.sparkSession.createDataFrame(values, df.select(*cols).schema)
-    return df.join(F.broadcast(vals), cols, "left_anti")
 
+def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
+    """Semi or anti join on ``cols``; nulls match nulls."""
+    on = _same("__l", "__r", cols)
+    return left.alias("__l").join(right.select(*cols).distinct().alias("__r"), on, how)
 
-def _distinct_values(df: DataFrame, cols: list[str]) -> list[tuple] | None:
-    """Distinct values of ``cols`` (None when more than ``PRUNE_LIST_MAX``)."""
-    vals = [tuple(r) for r in df.select(*cols).distinct().limit(PRUNE_LIST_MAX + 1).collect()]
-    return None if len(vals) > PRUNE_LIST_MAX else vals
 
+def swap_partitions(spark: SparkSession, rebuilt: DataFrame, hit: DataFrame, target: DataFrame,
+                    target_path: str, parts: list[str]) -> None:
+    """Replace the partitions named in ``hit`` by the rows of ``rebuilt``.
 
-def _all(conds: list):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    A plan cannot overwrite the folder it reads, so the result is staged first; dynamic overwrite
+    then replaces the partitions it holds. Partitions of ``hit`` that no row is left in are
+    deleted. The staged copy is removed at the end.
+    """
+    stage = workspace(spark, "stage")
+    write_table(rebuilt, stage, "overwrite", parts)
+    # explicit schema: an empty result leaves no data file to infer from
+    staged = spark.read.schema(rebuilt.schema).parquet(stage).select(*rebuilt.columns)
+    emptied = null_safe_join(hit.select(*parts), staged, parts, "left_anti")
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    gone = null_safe_join(target.withColumn("__folder", folder), emptied, parts, "left_semi")
+    folders = [r[0] for r in gone.select("__folder").distinct().toLocalIterator()]  # one each emptied partition
+    write_table(staged, target_path, "overwrite", parts, only_present_partitions=True, rebalance=False)
+    for f in folders:
+        remove_folder(spark, f, encoded=True)
+    remove_folder(spark, stage)
+
+
+def _rebuild_all(spark: SparkSession, result: DataFrame, target_path: str) -> None:
+    stage = workspace(spark, "stage")
+    write_table(result, stage, "overwrite")
+    write_table(spark.read.schema(result.schema).parquet(stage), target_path, "overwrite")
+    remove_folder(spark, stage)
+
+
+def _in_range(target: DataFrame, src: DataFrame, parts: list[str]) -> DataFrame:
+    """Target partitions between the batch's lowest and highest value of each partition column
+    (null partitions if it holds nulls). Two values a column reach the plan."""
+    aggs = [f(c).alias(f"{n}_{c}") for c in parts for n, f in (("lo", F.min), ("hi", F.max))]
+    aggs += [F.max(F.col(c).isNull()).alias(f"null_{c}") for c in parts]
+    seen = src.agg(*aggs).first()
+    for c in parts:
+        kind = src.schema[c].dataType
+        within = F.lit(False)
+        if seen[f"lo_{c}"] is not None:
+            within = F.col(c).between(F.lit(seen[f"lo_{c}"]).cast(kind), F.lit(seen[f"hi_{c}"]).cast(kind))
+        if seen[f"null_{c}"]:
+            within = within | F.col(c).isNull()
+        target = target.filter(within)
+    return target
 
 
 def upsert(spark: SparkSession, source: DataFrame, target_path: str, spec: TableSpec,
            key: list[str] | tuple[str, ...] | None = None, partition_by: list[str] | None = None,
            check: bool = True, cast_mode: str = "strict",
-           derive: dict | None = None, skip_unchanged: bool = True) -> str:
+           derive: dict | None = None, skip_unchanged: bool = True,
+           newer: str | None = None) -> str:
     """Keyed merge: matched keys take every column from the cast source, new keys are inserted.
 
-    1. cast the source to the target layout (key columns compared after the cast);
-    2. refuse null or duplicated source keys (a MERGE could not pick a row);
-    3. look for the source keys in the target — only in the partitions the
-       source touches, reading only key and partition columns;
-    4. partitions holding a matched key are rebuilt (``left_anti`` on the key
-       plus the source rows), staged and swapped in; every other source row is
-       appended. A batch of new keys is a plain append.
-
-    With ``skip_unchanged`` a matched row whose every column already equals
-    the source (a replayed message) counts as no change: its partition is not
-    rebuilt and the row is not appended again.
-
-    With ``partition_by`` the partition value of a key must not change between
-    versions (derive it from the key or from an immutable column such as the
-    event time). ``derive`` adds computed columns after the cast (e.g. a
-    partition column from a timestamp); they are stored with the table.
-    Without partitions a matched key rebuilds the whole table.
+    1. The source is cast to the target layout and staged: it is read once.
+    2. Null or duplicated source keys are refused (a MERGE could not pick a row).
+    3. One join finds the target's rows of these keys, with their partition and whether all
+       columns are equal. If the partition columns are part of the key, only partitions within the
+       batch's range are read; otherwise keys are matched across the whole table.
+    4. Partitions that hold an older version are rebuilt and swapped in, also when the new version
+       belongs to another partition. All other rows are appended afterwards, so a batch of new keys
+       is a plain append.
+
+    A matched row equal to its source row is left alone (``skip_unchanged``). With ``newer`` a
+    source row changes a stored one only if its value of that column is not below the stored one.
+    ``derive`` adds computed columns after the cast (e.g. a partition column from a timestamp).
+    Without partitions a changed key rebuilds the whole table.
     """
     key = list(key or spec.key)
     if not key:
         raise ValueError("upsert needs a key")
-    src = schema_cast(source, spec, cast_mode)
+    cast = schema_cast(source, spec, cast_mode)
     if derive:
-        src = src.withColumns(derive)
-    if check:
-        assert_keys(src, key, spec.not_null)
-    if not _exists(spark, target_path):
-        write_table(src, target_path, "overwrite", partition_by)
-        return target_path
-    target = spark.read.parquet(target_path).select(*src.columns)
-    parts = list(partition_by or [])
-    scope = target
-    if parts:
-        touched = _distinct_values(src, parts)
-        if touched is not None:
-            scope = _in_values(target, parts, touched)
-        else:
-            scope = target.join(src.select(*parts).distinct(), parts, "left_semi")
-    if skip_unchanged:
-        # rows already present with identical values change nothing: drop them
-        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in src.columns if c not in key]
-        unchanged = (src.alias("s").join(scope.alias("t"), key, "left_semi") if not same else
-                     src.alias("s").join(scope.alias("t"), [*key], "inner")
-                     .filter(_all(same)).select(*[F.col(f"s.{c}") for c in src.columns]))
-        src = src.join(unchanged.select(*key), key, "left_anti")
-    # src (a batch-sized result) feeds every step below: keep it. Lost blocks are
-    # recomputed from the target files, which are only replaced by the last step.
-    src = src.persist()
+        cast = cast.withColumns(derive)
+    batch = workspace(spark, "batch")
+    write_table(cast, batch, "overwrite")
+    src = spark.read.schema(cast.schema).parquet(batch)
     try:
-        _merge_into(spark, src, scope, target, target_path, key, parts)
+        if check:
+            assert_keys(src, key, spec.not_null)
+        target = open_table(spark, target_path, cast.schema)
+        if target is None:
+            write_table(src, target_path, "append", partition_by)  # never replaces anything
+        else:
+            _merge_into(spark, src, target, target_path, key, list(partition_by or []), skip_unchanged, newer)
     finally:
-        src.unpersist()
+        remove_folder(spark, batch)
     return target_path
 
 
-def _merge_into(spark: SparkSession, src: DataFrame, scope: DataFrame, target: DataFrame,
-                target_path: str, key: list[str], parts: list[str]) -> None:
-    hits = scope.select(*key, *parts).join(src.select(*key), key, "left_semi")
+def _merge_into(spark: SparkSession, src: DataFrame, target: DataFrame, target_path: str,
+                key: list[str], parts: list[str], skip_unchanged: bool, newer: str | None) -> None:
+    scope = _in_range(target, src, parts) if parts and set(parts) <= set(key) else target
+    flat = {f.name: F.to_json for f in src.schema if isinstance(f.dataType, T.VariantType)}
+    as_key = lambda side, c: flat.get(c, lambda x: x)(F.col(f"{side}.{c}"))  # noqa: E731 - a variant has no equality
+    equal = F.lit(skip_unchanged)
+    for c in src.columns:
+        if c not in key:
+            equal = equal & as_key("s", c).eqNullSafe(as_key("t", c))
+    stale = F.lit(False)
+    if newer:
+        stale = F.coalesce(F.col(f"s.{newer}") < F.col(f"t.{newer}"), F.col(f"s.{newer}").isNull() & F.col(f"t.{newer}").isNotNull())
+    found = (scope.alias("t").join(src.alias("s"), _same("s", "t", key))
+             .select(*[F.col(f"s.{c}").alias(c) for c in key], *[F.col(f"t.{c}").alias(f"__old_{c}") for c in parts],
+                     (equal | stale).alias("__keep")))
+    at = workspace(spark, "matches")
+    write_table(found, at, "overwrite")
+    found = spark.read.schema(found.schema).parquet(at)
+    per_key = found.groupBy(*key).agg((F.min("__keep") & (F.count(F.lit(1)) == 1)).alias("__keep"))
+    fresh = null_safe_join(src, per_key.filter("__keep"), key, "left_anti")  # new and changed rows
+    changed = per_key.filter(~F.col("__keep")).select(*key)
     if not parts:
-        if hits.isEmpty():
-            write_table(src, target_path, "append")
+        if changed.isEmpty():
+            write_table(fresh, target_path, "append")
         else:
-            result = target.join(src.select(*key), key, "left_anti").unionByName(src)
-            _stage_and_swap(spark, result, target_path, None)
-        return
-    hit_parts = _distinct_values(hits, parts)
-    if hit_parts is None:  # matches spread over very many partitions: rebuild all touched
-        result = scope.join(src.select(*key), key, "left_anti").unionByName(src)
-        _stage_and_swap(spark, result, target_path, parts)
-        return
-    # The source plan reads the target: append first, swap last, so nothing reads
-    # files the swap has replaced. A rerun after a failure in between finds the
-    # appended rows unchanged and skips them.
-    fresh = _not_in_values(src, parts, hit_parts) if hit_parts else src
-    write_table(fresh, target_path, "append", parts)
-    if hit_parts:
-        rebuilt = (_in_values(scope, parts, hit_parts).join(src.select(*key), key, "left_anti")
-                   .unionByName(_in_values(src, parts, hit_parts)))
-        _stage_and_swap(spark, rebuilt, target_path, parts)
+            _rebuild_all(spark, null_safe_join(target, changed, key, "left_anti").unionByName(fresh), target_path)
+    else:
+        hit = null_safe_join(found, changed, key, "left_semi").select(
+            *[F.col(f"__old_{c}").alias(c) for c in parts]).distinct()
+        if not hit.isEmpty():
+            rebuilt = null_safe_join(null_safe_join(target, hit, parts, "left_semi"), changed, key, "left_anti")
+            rebuilt = rebuilt.unionByName(null_safe_join(fresh, hit, parts, "left_semi"))
+            swap_partitions(spark, rebuilt, hit, target, target_path, parts)
+        # after the swap: a run that fails before this line is made whole by running it again
+        write_table(null_safe_join(fresh, hit, parts, "left_anti"), target_path, "append", parts)
+    remove_folder(spark, at)
 
 
 def merge_table(source: DataFrame, table: str, spec: TableSpec,
@@ -214,7 +229,9 @@ def merge_table(source: DataFrame, table: str, spec: TableSpec,
     src = schema_cast(source, spec, cast_mode)
     assert_keys(src, key, spec.not_null)
     tgt = table.split(".")[-1]
-    cond = _all([F.col(f"{tgt}.{k}") == F.col(f"__src.{k}") for k in key])
+    cond = F.lit(True)
+    for k in key:
+        cond = cond & (F.col(f"{tgt}.{k}") == F.col(f"__src.{k}"))
     (src.alias("__src").mergeInto(table, cond)
         .whenMatched().updateAll()
         .whenNotMatched().insertAll()
@@ -222,16 +239,26 @@ def merge_table(source: DataFrame, table: str, spec: TableSpec,
 
 
 def load(spark: SparkSession, operation: str, source: DataFrame, target_path: str,
-         spec: TableSpec, key=None, partition_by=None, cast_mode: str = "strict") -> str:
-    """Move an ingress table into the typed layer by ``append``, ``replace`` or ``upsert``."""
-    if operation == "append":
-        return write_table(schema_cast(source, spec, cast_mode), target_path, "append", partition_by)
-    if operation == "replace":
-        return write_table(schema_cast(source, spec, cast_mode), target_path, "overwrite",
-                           partition_by)
+         spec: TableSpec, key=None, partition_by=None, cast_mode: str = "strict",
+         check: bool = False) -> str:
+    """Move an ingress table into the typed layer by ``append``, ``replace`` or ``upsert``.
+
+    ``check`` holds the rows of an append or replace against the declared key and NOT NULL columns
+    before anything is written (an append: against the key of what is stored, too). An upsert
+    always checks its batch.
+    """
+    if operation not in OPERATIONS:
+        raise ValueError(f"invalid operation {operation!r}: must be 'append', 'replace' or 'upsert'")
     if operation == "upsert":
         return upsert(spark, source, target_path, spec, key, partition_by, cast_mode=cast_mode)
-    raise ValueError(f"invalid operation {operation!r}: must be 'append', 'replace' or 'upsert'")
+    df = schema_cast(source, spec, cast_mode)
+    if check:
+        checked = df
+        stored = open_table(spark, target_path, df.schema) if operation == "append" else None
+        if stored is not None:
+            checked = df.unionByName(stored)
+        assert_keys(checked, list(key or spec.key), spec.not_null)
+    return write_table(df, target_path, "append" if operation == "append" else "overwrite", partition_by)
 
 
 def high_water_filter(source: DataFrame, target: DataFrame, ts_col: str,
@@ -255,9 +282,11 @@ def incremental_append(spark: SparkSession, source: DataFrame, target_path: str,
     writes and needs no staging copy. An empty target gives a null maximum
     and, as with the scalar-subquery form, no row passes.
     """
-    if not _exists(spark, target_path):
-        return write_table(source, target_path, "overwrite", partition_by)
-    mx = spark.read.parquet(target_path).agg(F.max(target_ts_col or ts_col)).first()[0]
+    target = open_table(spark, target_path, source.schema if not target_ts_col else T.StructType(
+        [T.StructField(target_ts_col, source.schema[ts_col].dataType)]))
+    if target is None:
+        return write_table(source, target_path, "append", partition_by)
+    mx = target.agg(F.max(target_ts_col or ts_col)).first()[0]
     inc = source.filter(F.col(ts_col) > F.lit(mx).cast(source.schema[ts_col].dataType))
     return write_table(inc, target_path, "append", partition_by)
 

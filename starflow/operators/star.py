@@ -1,21 +1,16 @@
 """Star-schema operators: latest snapshot, surrogate-key lookups, validity
 intervals and the daily stock fact.
 
-Join strategy: a dimension is broadcast only when the caller states a row
-bound for it (seed files, inline lists) and that bound is under
-``BROADCAST_ROWS_MAX``; any other dimension is left to the planner, and AQE
-turns the join into a broadcast at run time only if the measured side is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Hot keys on the fact
-side are split by AQE's skew-join handling.
+Join strategy: no hints. The planner broadcasts a dimension whose measured size
+is under Spark's threshold, and AQE does so at run time. The fact side meets a
+single join on its symbol, so that AQE's skew join can split a hot symbol.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-# Largest row count a caller-declared bounded dimension may have to be broadcast.
-BROADCAST_ROWS_MAX = 1_000_000
+from pyspark.sql import types as T
 
 
 def latest_snapshot(df: DataFrame, ts_col: str = "load_timestamp_utc") -> DataFrame:
@@ -28,19 +23,14 @@ def latest_snapshot(df: DataFrame, ts_col: str = "load_timestamp_utc") -> DataFr
     return df.filter(F.col(ts_col) == df.select(F.max(ts_col)).scalar())
 
 
-def lookup(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
-           take: list[str], bounded_rows: int | None = None) -> DataFrame:
+def lookup(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str, take: list[str]) -> DataFrame:
     """Left outer equi lookup: natural key → dimension columns (null when unmatched)."""
     d = dim.select(F.col(dim_key).alias("__lk"), *take)
-    if bounded_rows is not None and bounded_rows <= BROADCAST_ROWS_MAX:
-        d = F.broadcast(d)
     return left.join(d, left[left_key] == d["__lk"], "left").drop("__lk")
 
 
 def _slice_number(df: DataFrame, order_col: str):
     """The order column as a number whose order it follows (text: by its first seven bytes)."""
-    from pyspark.sql import types as T
-
     dtype, oc = df.schema[order_col].dataType, F.col(f"`{order_col}`")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(oc.cast("timestamp")).cast("double")
@@ -53,7 +43,7 @@ def _slice_number(df: DataFrame, order_col: str):
 
 
 def slice_cuts(df: DataFrame, order_col: str, slices: int | None = None) -> list[float]:
-    """Sorted cut points at quantiles of ``order_col``, one slice per shuffle partition.
+    """Sorted cut points at quantiles of ``order_col``, ``slices`` or one per shuffle partition.
 
     One sampling pass over that column; only the cuts reach the driver. Nulls and NaN are left out.
     """
@@ -91,6 +81,10 @@ def time_slices(df: DataFrame, order_col: str, slices: int | None = None,
     return df.withColumn(slice_col, slice_index(_slice_number(df, order_col), cuts))
 
 
+# Slices per shuffle partition: hashed, several small ones even out.
+SLICES_A_PARTITION = 4
+
+
 def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
                 skew_safe: bool = True, slices: int | None = None) -> DataFrame:
     """``LEAD(order_col, 1) OVER (PARTITION BY key ORDER BY order_col)``.
@@ -99,52 +93,32 @@ def next_in_key(df: DataFrame, key: str, order_col: str, out_col: str,
     the rows would be one task. With ``skew_safe`` rows are cut into time
     slices (:func:`time_slices`). The lead is taken inside each
     ``(key, slice)``; the last row of a slice takes the first value of the
-    key's next slice from a small per-(key, slice) table.
+    key's next slice.
     """
     if not skew_safe:
         w = Window.partitionBy(key).orderBy(order_col)
         return df.withColumn(out_col, F.lead(order_col, 1).over(w))
-    sliced = time_slices(df, order_col, slices)
-    # Null-safe key as plain columns, used alike by the window, the aggregate and
-    # the join, so the join finds the rows already partitioned (a `<=>` join
-    # would re-key and re-shuffle the large side).
-    kdef = _type_default(df.schema[key].dataType)
-    sliced = sliced.withColumns({"__kv": F.coalesce(F.col(key), kdef),
-                                 "__kn": F.col(key).isNull()})
-    # A key's consecutive slices go to consecutive slots (one slot per shuffle
-    # partition); range partitioning gives every slot its own partition, where
-    # hashing a few slice numbers would pile several into one. The slot is a
-    # function of (key, slice), so adding it to the window keys changes no group,
-    # and the range partitioning already satisfies the window's clustering.
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = sliced.withColumn(
-        "__slot", F.pmod(F.xxhash64("__kv", "__kn") + F.col("__slice"), F.lit(n_parts)))
-    sliced = sliced.repartitionByRange(n_parts, "__slot")
-    part = ["__slot", "__kv", "__kn", "__slice"]
-    w_in = Window.partitionBy(*part).orderBy(order_col)
-    # the last row of a slice is marked explicitly: a null lead may also be a null value
-    inner = sliced.withColumns({
-        out_col: F.lead(order_col, 1).over(w_in),
-        "__last": F.lead(F.lit(1), 1).over(w_in).isNull(),
-    })
+    sliced = time_slices(df, order_col, slices or SLICES_A_PARTITION * n_parts)
+    # null-safe key as plain columns, used alike by the window and the aggregate
+    kdef = _type_default(df.schema[key].dataType)
+    sliced = sliced.withColumns({"__kv": F.coalesce(F.col(key), kdef), "__kn": F.col(key).isNull()})
+    part = ["__kv", "__kn", "__slice"]
+    # first values come from the rows before the shuffle: one partial minimum a task, key and slice
     firsts = sliced.groupBy(*part).agg(F.min(order_col).alias("__first"))
-    nxt = (firsts.withColumn("__next", F.lead("__first", 1).over(
-                Window.partitionBy("__kv", "__kn").orderBy("__slice")))
-                 .filter(F.col("__next").isNotNull())
-                 .select(*part, "__next"))
-    # Only slice ends (one row per (key, slice)) meet the small table; the other
-    # rows pass straight through, so the large side is not re-shuffled for a join.
-    ends = (inner.filter(F.col("__last")).drop(out_col).join(nxt, part, "left")
-                 .withColumnRenamed("__next", out_col))
-    cols = [c for c in inner.columns if c != "__last"]
-    return (inner.filter(~F.col("__last")).select(*cols)
-                 .unionByName(ends.select(*cols))
-                 .drop(*part))
+    prior = Window.partitionBy("__kv", "__kn").orderBy("__slice")
+    # a slice gets the first value of the key's next slice as an extra last row, dropped afterwards:
+    # the rows cross one shuffle and meet no join
+    extra = firsts.select("__kv", "__kn", F.lag("__slice").over(prior).alias("__slice"),
+                          F.col("__first").alias(order_col), F.lit(True).alias("__extra")).filter("__slice is not null")
+    both = sliced.withColumn("__extra", F.lit(False)).unionByName(extra, allowMissingColumns=True)
+    w = Window.partitionBy(*part).orderBy("__extra", order_col)
+    out = both.withColumn(out_col, F.lead(order_col, 1).over(w)).filter(~F.col("__extra"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col], out_col)
 
 
 def _type_default(dtype):
     """A non-null stand-in of the key's type (paired with an is-null flag)."""
-    from pyspark.sql import types as T
     if isinstance(dtype, T.StringType):
         return F.lit("")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -156,89 +130,93 @@ def _type_default(dtype):
     return F.lit(0).cast(dtype)
 
 
-def employee_intervals(weekly: DataFrame, companies: DataFrame, companies_bounded: int | None = None,
-                       skew_safe: bool = True) -> DataFrame:
+def employee_intervals(weekly: DataFrame, companies: DataFrame, skew_safe: bool = True,
+                       keep_symbol: bool = False) -> DataFrame:
     """Employee-count dimension with validity intervals.
 
-    ``load_timestamp_utc_to`` is the next load time of the same symbol (null
-    on the newest row); the company id comes from a left lookup on symbol.
+    ``load_timestamp_utc_to`` is the next load time of the same symbol (null on the newest row);
+    the company id comes from a left lookup on symbol. ``keep_symbol`` keeps the symbol in front:
+    a stored table is refreshed by it, as symbols without a company share the null id.
     """
     w = weekly.select("symbol", "load_timestamp_utc", "company_full_time_employees")
     w = next_in_key(w, "symbol", "load_timestamp_utc", "load_timestamp_utc_to", skew_safe)
-    w = lookup(w, companies, "symbol", "company_symbol", ["company_id"], companies_bounded)
-    return w.select("company_id", "company_full_time_employees",
+    w = lookup(w, companies, "symbol", "company_symbol", ["company_id"])
+    return w.select(*(["symbol"] if keep_symbol else []), "company_id", "company_full_time_employees",
                     F.col("load_timestamp_utc").alias("load_timestamp_utc_from"),
                     "load_timestamp_utc_to")
 
 
-def refresh_intervals(existing: DataFrame, new_rows: DataFrame, key: str,
-                      from_col: str = "load_timestamp_utc_from",
-                      to_col: str = "load_timestamp_utc_to",
-                      skew_safe: bool = True) -> DataFrame:
-    """Incremental interval maintenance that closes open intervals.
-
-    Rows of keys not in ``new_rows`` pass unchanged; for touched keys the old
-    and new rows are recomputed together, so an earlier open row gets the
-    first new load time as its end. ``new_rows`` has ``key``, ``from_col`` and
-    the attribute columns of ``existing``. Returns the full replacement table.
-    """
-    attrs = [c for c in existing.columns if c not in (key, from_col, to_col)]
-    touched = new_rows.select(key).distinct()
-    untouched = existing.join(touched, key, "left_anti")
-    old = existing.join(touched, key, "left_semi").select(key, from_col, *attrs)
-    # a reload of an existing (key, from) replaces it
-    fresh = new_rows.select(key, from_col, *attrs)
-    merged = old.join(fresh.select(key, from_col), [key, from_col], "left_anti").unionByName(fresh)
-    redone = next_in_key(merged, key, from_col, to_col, skew_safe)
-    return untouched.unionByName(redone.select(*existing.columns))
+CLOSED_ON = "closed_on"
 
 
-BUCKET = "key_bucket"
+def _closed_on(to_col: str):
+    return F.to_date(F.col(to_col))
 
 
-def _bucket(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+def write_intervals(df: DataFrame, path: str, to_col: str = "load_timestamp_utc_to") -> str:
+    """Store an interval table partitioned by the day its rows were closed on (open rows: null)."""
+    from .load import write_table
+    return write_table(df.withColumn(CLOSED_ON, _closed_on(to_col)), path, "overwrite", [CLOSED_ON])
 
 
-def write_intervals(df: DataFrame, path: str, key: str, buckets: int = 64) -> str:
-    """Store an interval table partitioned by a hash bucket of ``key``, so a
-    refresh reads and rewrites only the buckets of the keys it touches."""
-    from .load import write_table
-    return write_table(df.withColumn(BUCKET, _bucket(key, buckets)), path, "overwrite", [BUCKET])
+def _interval_table(spark, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(CLOSED_ON, T.DateType())])).parquet(path)
 
 
 def read_intervals(spark, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.select(*[c for c in df.columns if c != BUCKET])
+    return df.select(*[c for c in df.columns if c != CLOSED_ON])
 
 
 def refresh_intervals_table(spark, path: str, new_rows: DataFrame, key: str,
                             from_col: str = "load_timestamp_utc_from",
-                            to_col: str = "load_timestamp_utc_to", buckets: int = 64,
-                            skew_safe: bool = True) -> str:
-    """Incremental interval maintenance on a bucketed table (see :func:`write_intervals`).
-
-    Only the buckets of touched keys are read and rewritten: their untouched
-    keys pass as they are, touched keys are recomputed together with the new
-    rows (closing their open intervals), and the rebuilt buckets replace the
-    old ones; every other bucket is left alone. ``key`` must not be null: a
-    null key cannot be matched to its earlier rows.
+                            to_col: str = "load_timestamp_utc_to", skew_safe: bool = True) -> str:
+    """Add ``new_rows`` (key, ``from_col``, attributes) to a stored interval table.
+
+    Rows that come in order meet only the open row of their key: it is closed, and the closed row
+    goes to the partition of that day; open rows are rewritten, one a key. Only keys with a late or
+    reloaded row (not after their open row) have their whole history recomputed. Closed partitions
+    are swapped in first and open rows last, so a run that failed in between can be repeated: it
+    computes the same closed rows again and replaces them. The key may be null.
     """
-    from .load import _distinct_values, _in_values, _stage_and_swap
-
-    table = spark.read.parquet(path)
-    cols = [c for c in table.columns if c != BUCKET]
-    hit = _distinct_values(new_rows.select(_bucket(key, buckets).alias(BUCKET)), [BUCKET])
-    scope = (_in_values(table, [BUCKET], hit) if hit is not None else table).select(*cols)
-    attrs = [c for c in cols if c not in (key, from_col, to_col)]
-    touched = new_rows.select(key).distinct()
-    keep = scope.join(touched, key, "left_anti")
-    old = scope.join(touched, key, "left_semi").select(key, from_col, *attrs)
-    fresh = new_rows.select(key, from_col, *attrs)
-    merged = old.join(fresh.select(key, from_col), [key, from_col], "left_anti").unionByName(fresh)
-    redone = next_in_key(merged, key, from_col, to_col, skew_safe).select(*cols)
-    rebuilt = keep.unionByName(redone).withColumn(BUCKET, _bucket(key, buckets))
-    _stage_and_swap(spark, rebuilt, path, [BUCKET])
+    from ..session import remove_folder, workspace
+    from .load import _in_range, null_safe_join, swap_partitions, write_table
+
+    to_type = new_rows.schema[from_col].dataType
+    fields = [f for f in new_rows.schema.fields] + [T.StructField(to_col, to_type)]
+    cols = [f.name for f in fields]
+    table = _interval_table(spark, path, T.StructType(fields))
+    stage = workspace(spark, "new-rows")
+    write_table(new_rows, stage)
+    new = spark.read.schema(new_rows.schema).parquet(stage)
+    touched = new.groupBy(key).agg(F.min(from_col).alias("__least"))
+    open_rows = table.filter(F.col(CLOSED_ON).isNull())
+    held = open_rows.alias("o").join(touched.alias("n"), F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")))
+    late = held.filter(F.col(f"o.{from_col}") >= F.col("n.__least")).select(F.col(f"o.{key}").alias(key))
+    closed = table.filter(F.col(CLOSED_ON).isNotNull())
+    old = held.select(*[F.col(f"o.{c}") for c in table.columns]).unionByName(
+        null_safe_join(closed, late, [key], "left_semi"))
+    was = workspace(spark, "old-intervals")
+    write_table(old, was)
+    old = spark.read.schema(old.schema).parquet(was)
+    kept = null_safe_join(old, new, [key, from_col], "left_anti").select(*new.columns)  # a reload replaces
+    redone = next_in_key(kept.unionByName(new), key, from_col, to_col, skew_safe).select(*cols)
+    again = workspace(spark, "intervals")
+    redone = redone.withColumn(CLOSED_ON, _closed_on(to_col))
+    write_table(redone, again)
+    redone = spark.read.schema(redone.schema).parquet(again)
+    hit = old.select(CLOSED_ON).unionByName(redone.select(CLOSED_ON)).distinct()
+    for some in (hit.filter(F.col(CLOSED_ON).isNotNull()), hit.filter(F.col(CLOSED_ON).isNull())):
+        if some.isEmpty():
+            continue
+        table = _interval_table(spark, path, T.StructType(fields))  # as the swap before left it
+        near = null_safe_join(_in_range(table, some, [CLOSED_ON]), some, [CLOSED_ON], "left_semi")
+        # rows of recomputed intervals go, wherever an earlier run left them
+        rest = null_safe_join(null_safe_join(near, old, [key, from_col], "left_anti"), redone, [key, from_col], "left_anti")
+        rebuilt = rest.unionByName(null_safe_join(redone, some, [CLOSED_ON], "left_semi"))
+        swap_partitions(spark, rebuilt, some, table, path, [CLOSED_ON])
+    for folder in (stage, was, again):
+        remove_folder(spark, folder)
     return path
 
 
@@ -246,8 +224,7 @@ STATE_MATCH = ("name", "name_or_symbol")
 
 
 def weekly_keys(latest_weekly: DataFrame, industries: DataFrame, sectors: DataFrame,
-                states: DataFrame, state_match: str = "name",
-                dims_bounded: int | None = None) -> DataFrame:
+                states: DataFrame, state_match: str = "name") -> DataFrame:
     """Resolve the latest weekly attributes to surrogate ids: (symbol, industry_id, sector_id, state_id).
 
     Done on the weekly side (one row per symbol) before it meets the fact, so
@@ -257,14 +234,14 @@ def weekly_keys(latest_weekly: DataFrame, industries: DataFrame, sectors: DataFr
     if state_match not in STATE_MATCH:
         raise ValueError(f"state_match must be one of {STATE_MATCH}")
     w = latest_weekly.select("symbol", "company_industry", "company_sector", "company_state")
-    w = lookup(w, industries, "company_industry", "industry_name", ["industry_id"], dims_bounded)
-    w = lookup(w, sectors, "company_sector", "sector_name", ["sector_id"], dims_bounded)
-    w = lookup(w, states, "company_state", "state_name", ["state_id"], dims_bounded)
+    w = lookup(w, industries, "company_industry", "industry_name", ["industry_id"])
+    w = lookup(w, sectors, "company_sector", "sector_name", ["sector_id"])
+    w = lookup(w, states, "company_state", "state_name", ["state_id"])
     if state_match == "name_or_symbol":
         # a second equi lookup on the symbol for rows the name missed (an OR
         # join condition would force a nested-loop join)
         by_symbol = states.select("state_symbol", F.col("state_id").alias("__sid"))
-        w = lookup(w, by_symbol, "company_state", "state_symbol", ["__sid"], dims_bounded)
+        w = lookup(w, by_symbol, "company_state", "state_symbol", ["__sid"])
         w = w.withColumn("state_id", F.coalesce("state_id", "__sid")).drop("__sid")
     return w.select("symbol", "industry_id", "sector_id", "state_id")
 
@@ -281,7 +258,6 @@ FACT_COLUMNS = ["company_id", "industry_id", "sector_id", "state_id"] + FACT_MEA
 
 def stock_fact(daily: DataFrame, weekly: DataFrame, companies: DataFrame, industries: DataFrame,
                sectors: DataFrame, states: DataFrame, state_match: str = "name",
-               companies_bounded: int | None = None, dims_bounded: int | None = None,
                measures: list[str] | None = None) -> DataFrame:
     """Daily fact rows with company, industry, sector and state surrogate ids.
 
@@ -289,9 +265,10 @@ def stock_fact(daily: DataFrame, weekly: DataFrame, companies: DataFrame, indust
     weekly load (a symbol missing from it gets null industry/sector/state).
     """
     measures = measures or FACT_MEASURES
-    wk = weekly_keys(latest_snapshot(weekly), industries, sectors, states, state_match,
-                     dims_bounded)
-    d = daily.select("symbol", *measures)
-    f = d.join(wk, "symbol", "left")
-    f = lookup(f, companies, "symbol", "company_symbol", ["company_id"], companies_bounded)
+    wk = weekly_keys(latest_snapshot(weekly), industries, sectors, states, state_match)
+    comp = companies.select(F.col("company_symbol").alias("__symbol"), "company_id")
+    # one row a symbol from both sides, so that the fact is joined, and its hot symbols split, once
+    keys = wk.join(comp, wk["symbol"] == comp["__symbol"], "full").select(
+        F.coalesce("symbol", "__symbol").alias("symbol"), "company_id", "industry_id", "sector_id", "state_id")
+    f = daily.select("symbol", *measures).join(keys, "symbol", "left")
     return f.select("company_id", "industry_id", "sector_id", "state_id", *measures)

@@ -170,6 +170,12 @@ SELECT c.company_id, w.company_full_time_employees, w.load_timestamp_utc AS load
        LEAD(w.load_timestamp_utc, 1) OVER (PARTITION BY w.symbol ORDER BY w.load_timestamp_utc)
          AS load_timestamp_utc_to
 FROM w LEFT JOIN companies c ON w.symbol = c.company_symbol"""
+SCD_REFRESH = (SCD_INTERVALS.replace("SELECT c.company_id", "SELECT w.symbol, c.company_id")
+               + " AND c.company_id % 5 <> 0")
+DIM_COMPANIES = """SELECT c_custkey AS company_id, CAST(c_custkey AS VARCHAR) AS company_symbol, c_name AS company_name
+FROM customer"""
+DIM_INDUSTRIES = "SELECT CAST(n_nationkey AS BIGINT) AS industry_id, n_name AS industry_name FROM nation"
+FACT_VIEW = f"SELECT * FROM ({STAR_FACT}) WHERE company_id IS NOT NULL"
 
 DIM_MARTS = """SELECT n_nationkey AS state_id, 'N' || CAST(n_nationkey AS VARCHAR) AS state_symbol,
        n_name AS state_name FROM nation"""
@@ -177,6 +183,8 @@ DIM_MARTS = """SELECT n_nationkey AS state_id, 'N' || CAST(n_nationkey AS VARCHA
 SEED_DIMENSION = "SELECT r_regionkey AS sector_id, r_name AS sector_name FROM region"
 
 STG_DAILY = f"WITH {DAILY_LI} {stg_daily_sql('daily_li')}"
+STG_DAILY_INCREMENTAL = f"""SELECT * FROM ({STG_DAILY}) WHERE load_timestamp_utc >
+  (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01 00:00:00')"""
 STG_WEEKLY = f"WITH {WEEKLY_CUST} {stg_weekly_sql('weekly_c')}"
 
 SPLIT_PAIR = f"""WITH {DAILY_LI}
@@ -238,22 +246,40 @@ FROM orders"""
 TRUNCATE_LOAD = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
-FROM orders"""
+FROM orders WHERE o_orderkey % 3 <> 0"""
+ARCHIVE_LOAD = TRUNCATE_LOAD.replace("o_orderkey % 3 <> 0", "o_orderkey % 2 = 1")
 
 ORDERS_TYPED = """SELECT o_orderkey, o_custkey, o_orderstatus,
        CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, o_orderpriority
 FROM orders"""
 
-UPSERT_MERGE = """SELECT o_orderkey, o_custkey, o_orderstatus,
+LOAD_APPEND = f"{ORDERS_TYPED} WHERE o_orderkey % 2 = 0 UNION ALL {ORDERS_TYPED} WHERE o_orderkey % 3 = 0"
+LOAD_REPLACE = """SELECT o_orderkey, o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderkey % 2 = 1"""
+INCREMENTAL_APPEND = f"""{ORDERS_TYPED}
+WHERE (o_orderdate < TIMESTAMP '2000-01-01 00:00:00' AND o_orderkey % 2 = 0)
+   OR o_orderdate > (SELECT max(o_orderdate) FROM orders
+                     WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00' AND o_orderkey % 2 = 0)"""
+
+UPSERT_MERGE = """SELECT *, CAST(CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS INTEGER) AS order_year
+FROM (SELECT o_orderkey, o_custkey, o_orderstatus,
        CAST(CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) + 1
                  ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS o_totalprice,
-       o_orderdate, o_orderpriority
-FROM orders"""
+       CAST(CASE WHEN o_orderkey % 8 = 0 THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS TIMESTAMP) AS o_orderdate,
+       o_orderpriority, '{"p":"' || o_orderpriority || '"}' AS note
+FROM orders)"""
+
+REFUSALS = """SELECT t.c AS "case", t.o AS outcome, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS rows_after
+FROM (VALUES ('append of stored keys', 'KeyViolation'), ('replace by doubled keys', 'KeyViolation'),
+             ('upsert of doubled keys', 'KeyViolation'), ('append of null keys', 'KeyViolation'),
+             ('unknown operation', 'ValueError'), ('unknown scope', 'ValueError')) t(c, o)"""
 
 HIGH_WATER_FILTER = """SELECT o_orderkey, o_custkey, o_orderdate FROM orders
 WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders
                      WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')"""
 
+SYMBOL_LIST = "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey IN (1, 3, 5, 24)"
 SYMBOL_SUBSET = """SELECT c_custkey, c_name, c_nationkey FROM customer
 WHERE c_custkey IN (SELECT user_id FROM events)"""
 
@@ -323,8 +349,21 @@ HTML_RECORD_EXTRACT = f"SELECT page_id, {_TITLE} AS title, {_AD} AS ad_text, {_T
 
 PAGE_INGEST = f"""SELECT CAST(page_id AS VARCHAR) AS symbol,
   TIMESTAMP '2024-01-07 00:00:00' AS load_timestamp_utc,
-  left({_TITLE}, 64) AS title, left({_AD}, 256) AS ad_text, left({_THE}, 8) AS the_link
+  left({_TITLE}, 65535) AS title, left({_AD}, 65535) AS ad_text, left({_THE}, 65535) AS the_link
 FROM pages"""
+HTML_REJECTS = "SELECT page_id, 'empty page' AS error FROM pages WHERE page_id % 7 = 0 OR page_id % 11 = 0"
+
+
+def _rule_values(fields: str) -> str:
+    cols = [f"'{f}-' || CAST(page_id AS VARCHAR) || '-' || CAST(length(url) AS VARCHAR) AS {f}" for f in fields.split()]
+    return f"SELECT page_id, {', '.join(cols)} FROM pages"
+
+
+QUOTE_RULES = _rule_values("previous_close open_price bid ask day_range volume avg_volume intraday_market_cap beta "
+                           "pe_ratio eps earnings_date forward_dividend_and_yield ex_dividend_date one_year_target_estimate")
+PROFILE_RULES = _rule_values("company_name company_address company_phone_number company_website company_sector "
+                             "company_industry company_full_time_employees company_description "
+                             "company_corporate_governance_score")
 
 _PAYLOAD = """'{"transaction_id":"T' || CAST(event_id AS VARCHAR)
   || '","customer_id":' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)
@@ -344,16 +383,20 @@ STREAM_DECODE = f"""SELECT
   CASE WHEN {_OK} THEN 'T' || CAST(event_id AS VARCHAR) END AS transaction_id,
   CASE WHEN {_OK} THEN CAST(CAST(user_id AS INTEGER) AS VARCHAR) END AS customer_id,
   CASE WHEN {_OK} THEN CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) END AS company_id,
-  CASE WHEN {_OK} THEN CAST(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS INTEGER) AS VARCHAR) END AS volume_traded,
+  CASE WHEN {_OK} AND event_id % 4 <> 0
+       THEN CAST(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS INTEGER) AS VARCHAR) END AS volume_traded,
   CASE WHEN {_OK} THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS transaction_timestamp_utc,
-  CASE WHEN {_OK} THEN {_PAYLOAD} END AS record_json,
+  CASE WHEN {_OK} AND event_id % 4 <> 0 THEN {_PAYLOAD}
+       WHEN {_OK} THEN regexp_replace({_PAYLOAD}, ',"volume_traded":-?[0-9]+', '') END AS record_json,
   CASE WHEN {_OK} THEN NULL ELSE 'unknown schema id' END AS frame_error
 FROM events"""
 
 STREAM_UPSERT = f"""SELECT 'T' || CAST(event_id AS VARCHAR) AS transaction_id,
   CAST(user_id AS INTEGER) AS customer_id, CAST(floor(value) AS INTEGER) AS company_id,
-  CAST(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS INTEGER) AS INTEGER) AS volume_traded,
-  CAST(date_trunc('second', ts) AS TIMESTAMP) AS transaction_timestamp_utc
+  CAST(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS INTEGER)
+       + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS volume_traded,
+  CAST(date_trunc('second', ts) + CASE WHEN event_id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS TIMESTAMP)
+    AS transaction_timestamp_utc
 FROM events WHERE {_OK}"""
 
 ORACLE: dict[str, str] = {
@@ -375,10 +418,10 @@ ORACLE: dict[str, str] = {
     "schema_cast": SCHEMA_CAST,
     "csv_positional_scan": CSV_POSITIONAL_SCAN,
     "truncate_load": TRUNCATE_LOAD,
-    "load_append": ORDERS_TYPED,
-    "load_replace": ORDERS_TYPED,
+    "load_append": LOAD_APPEND,
+    "load_replace": LOAD_REPLACE,
     "upsert_merge": UPSERT_MERGE,
-    "incremental_append": ORDERS_TYPED,
+    "incremental_append": INCREMENTAL_APPEND,
     "high_water_filter": HIGH_WATER_FILTER,
     "symbol_subset": SYMBOL_SUBSET,
     "unique_check": UNIQUE_CHECK,
@@ -389,8 +432,20 @@ ORACLE: dict[str, str] = {
     "html_label_extract": HTML_LABEL_EXTRACT,
     "html_record_extract": HTML_RECORD_EXTRACT,
     "page_ingest": PAGE_INGEST,
-    "scd_refresh": SCD_INTERVALS,
+    "scd_refresh": SCD_REFRESH,
     "frame_split": FRAME_SPLIT,
     "stream_decode": STREAM_DECODE,
     "stream_upsert": STREAM_UPSERT,
+    "html_rejects": HTML_REJECTS,
+    "dim_companies": DIM_COMPANIES,
+    "dim_industries": DIM_INDUSTRIES,
+    "dim_employees": SCD_INTERVALS,
+    "fact_view": FACT_VIEW,
+    "stg_daily_incremental": STG_DAILY_INCREMENTAL,
+    "symbol_list": SYMBOL_LIST,
+    "archive_load": ARCHIVE_LOAD,
+    "newest_snapshot": DIM_MARTS,
+    "refusals": REFUSALS,
+    "quote_rules": QUOTE_RULES,
+    "profile_rules": PROFILE_RULES,
 }

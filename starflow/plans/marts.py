@@ -30,8 +30,8 @@ def dim_employees_count(trf: DataFrame) -> DataFrame:
 
 
 def trf_employee_intervals(stg_weekly: DataFrame, companies: DataFrame,
-                           companies_bounded: int | None = None) -> DataFrame:
-    return star.employee_intervals(stg_weekly, companies, companies_bounded)
+                           keep_symbol: bool = False) -> DataFrame:
+    return star.employee_intervals(stg_weekly, companies, keep_symbol=keep_symbol)
 
 
 def trf_fact_stocks(stg_daily: DataFrame, stg_weekly: DataFrame, companies: DataFrame,

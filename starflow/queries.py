@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from . import fixtures as fx
 from .functions import text as X
 from .functions.casts import load_day, load_day_text, schema_cast
-from .functions.frames import encode_frame, split_frames
+from .functions.frames import PayloadSchema, encode_frame, split_frames
 from .operators import checks, load, star
 from .plans import ingest, marts, staging
 from .schemas import SEED_SECTORS, SEED_STATES, Column, TableSpec
 from .session import apply_defaults, workspace
+from .sources import files
 from .sources import pages as P
 from .sources.csv import read_positional_csv, read_seed, write_csv_snapshot
 from .sources.tables import subset
@@ -46,8 +47,7 @@ def star_fact(spark: SparkSession, sf: str) -> DataFrame:
     weekly = _weekly_model(spark, sf)
     return star.stock_fact(
         daily, weekly, fx.companies_dim(spark, sf), fx.industries_dim(spark),
-        fx.sectors_dim(spark), fx.states_dim(spark, sf),
-        dims_bounded=fx.NATION_ROWS)
+        fx.sectors_dim(spark), fx.states_dim(spark, sf))
 
 
 def latest_snapshot(spark, sf):
@@ -61,7 +61,7 @@ def surrogate_lookup(spark, sf):
     apply_defaults(spark)
     w = star.latest_snapshot(_weekly_model(spark, sf))
     return star.weekly_keys(w, fx.industries_dim(spark), fx.sectors_dim(spark),
-                            fx.states_dim(spark, sf), dims_bounded=fx.NATION_ROWS)
+                            fx.states_dim(spark, sf))
 
 
 def scd_intervals(spark, sf):
@@ -96,6 +96,47 @@ def seed_dimension(spark, sf):
     return marts.dim_sectors(read_seed(spark, seed_dir, SEED_SECTORS))
 
 
+def _through_seed(spark, df, spec):
+    folder = workspace(spark, "seed")
+    write_csv_snapshot(df, folder)
+    return read_seed(spark, folder, spec)
+
+
+def dim_companies(spark, sf):
+    """Customer → seed CSV → companies dimension mart."""
+    return marts.dim_companies(_through_seed(spark, fx.companies_dim(spark, sf), T.StructType([
+        T.StructField("company_id", T.LongType()), T.StructField("company_symbol", T.StringType()),
+        T.StructField("company_name", T.StringType())])))
+
+
+def dim_industries(spark, sf):
+    """Nation → seed CSV → industries dimension mart."""
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("industry_id"), F.col("n_name").alias("industry_name"))
+    return marts.dim_industries(_through_seed(spark, n, T.StructType([
+        T.StructField("industry_id", T.LongType()), T.StructField("industry_name", T.StringType())])))
+
+
+def dim_employees(spark, sf):
+    """Employee-count dimension mart over the interval transform."""
+    return marts.dim_employees_count(scd_intervals(spark, sf))
+
+
+def fact_view(spark, sf):
+    """The fact mart as a view, read by name."""
+    marts.fact_stocks_view(star_fact(spark, sf), "fact_stocks")
+    return spark.sql("SELECT * FROM fact_stocks WHERE company_id IS NOT NULL")
+
+
+STAGED_BEFORE = "1997-01-01 00:00:00"
+
+
+def stg_daily_incremental(spark, sf):
+    """Incremental run of the daily model: rows past the newest one that is built."""
+    ods = fx.daily_from_lineitem(spark, sf)
+    before = F.lit(STAGED_BEFORE).cast(T.TimestampNTZType())
+    return staging.stg_daily(ods, built=staging.stg_daily(ods.filter(F.col("load_timestamp_utc") < before)))
+
+
 # ------------------------------------------------------------------ cleaning
 
 
@@ -195,69 +236,122 @@ def csv_positional_scan(spark, sf):
         T.StructField("status", T.StringType()), T.StructField("totalprice", T.DecimalType(12, 2)),
         T.StructField("orderdate", T.TimestampNTZType()), T.StructField("priority_note", T.StringType()),
     ])
-    return read_positional_csv(spark, folder, schema, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    return read_positional_csv(spark, folder, schema, timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+                               multiLine=False)  # no cell holds a line break
 
 
 def truncate_load(spark, sf):
-    """Load CSV A (even keys), then truncate-load CSV B (every order): only B remains."""
+    """Load CSV A (every order), then truncate-load CSV B (keys not divisible by 3): only B remains."""
     apply_defaults(spark)
     a, b = workspace(spark, "csv-a"), workspace(spark, "csv-b")
     txt = fx.orders_text(spark, sf)
-    write_csv_snapshot(txt.filter(F.col("o_orderkey").cast("bigint") % 2 == 0), a)
-    write_csv_snapshot(txt, b)
+    write_csv_snapshot(txt, a)
+    write_csv_snapshot(txt.filter(F.col("o_orderkey").cast("bigint") % 3 != 0), b)
     target = workspace(spark, "ingress-orders")
-    load.truncate_load(spark, a, fx.ORDERS_SPEC, target)
-    load.truncate_load(spark, b, fx.ORDERS_SPEC, target)
+    load.truncate_load(spark, a, fx.ORDERS_SPEC, target, multiLine=False)
+    load.truncate_load(spark, b, fx.ORDERS_SPEC, target, multiLine=False)
     return spark.read.parquet(target)
 
 
 def load_append(spark, sf):
+    """Even keys, then keys divisible by 3 appended: keys in both stay twice."""
     apply_defaults(spark)
-    even = F.col("o_orderkey").cast("bigint") % 2 == 0
-    path = _typed_orders_path(spark, sf, "append", even)
-    load.load(spark, "append", fx.orders_text(spark, sf).filter(~even), path, fx.ORDERS_SPEC)
+    key = F.col("o_orderkey").cast("bigint")
+    path = _typed_orders_path(spark, sf, "append", key % 2 == 0)
+    load.load(spark, "append", fx.orders_text(spark, sf).filter(key % 3 == 0), path, fx.ORDERS_SPEC)
     return spark.read.parquet(path)
 
 
 def load_replace(spark, sf):
+    """Every order, replaced by the odd keys with their price raised: nothing else stays."""
     apply_defaults(spark)
-    even = F.col("o_orderkey").cast("bigint") % 2 == 0
-    path = _typed_orders_path(spark, sf, "replace", even)
-    load.load(spark, "replace", fx.orders_text(spark, sf), path, fx.ORDERS_SPEC)
+    path = _typed_orders_path(spark, sf, "replace", F.lit(True))
+    odd = fx.orders_text(spark, sf, price_bump=lambda p: p + 1).filter(F.col("o_orderkey").cast("bigint") % 2 == 1)
+    load.load(spark, "replace", odd, path, fx.ORDERS_SPEC, check=True)
     return spark.read.parquet(path)
 
 
 def upsert_merge(spark, sf):
-    """Target: even keys. Source: odd keys (inserts) and keys divisible by 4 with
-    the price raised by 1 (updates). Target partitioned by order year."""
+    """Target: even keys. Source: odd keys (inserts), keys divisible by 4 with the price raised by 1
+    (updates), of these keys divisible by 8 moved by 400 days to another partition, and keys with
+    remainder 2 by 12 unchanged. Partitioned by order year, null for status P; one json column."""
     apply_defaults(spark)
     key = F.col("o_orderkey").cast("bigint")
-    derive = {"order_year": F.year("o_orderdate")}
+    derive = {"order_year": F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate"))}
     path = workspace(spark, "upsert")
-    load.upsert(spark, fx.orders_text(spark, sf).filter(key % 2 == 0), path, fx.ORDERS_SPEC,
+    load.upsert(spark, fx.noted(fx.orders_text(spark, sf).filter(key % 2 == 0)), path, fx.NOTED_SPEC,
                 partition_by=["order_year"], derive=derive)
-    src = (fx.orders_text(spark, sf).filter(key % 2 == 1)
-           .unionByName(fx.orders_text(spark, sf, price_bump=lambda p: p + 1)
-                        .filter(key % 4 == 0)))
-    load.upsert(spark, src, path, fx.ORDERS_SPEC, partition_by=["order_year"], derive=derive)
-    return spark.read.parquet(path).select(*fx.ORDERS_SPEC.names)
+    src = (fx.noted(fx.orders_text(spark, sf).filter((key % 2 == 1) | (key % 12 == 2)))
+           .unionByName(fx.noted(fx.orders_text(spark, sf, price_bump=lambda p: p + 1).filter(key % 4 == 0), days=400)))
+    load.upsert(spark, src, path, fx.NOTED_SPEC, partition_by=["order_year"], derive=derive)
+    t = spark.read.parquet(path)
+    return t.select(*fx.ORDERS_SPEC.names, F.to_json("note").alias("note"), F.col("order_year").cast("int").alias("order_year"))
 
 
 CUTOFF = "2000-01-01 00:00:00"
 
 
 def incremental_append(spark, sf):
-    """First run: orders before 2000. Second run over every order appends only
-    rows past the stored maximum."""
+    """First run: even keys before 2000. Second run over every order appends only rows past the
+    stored maximum: odd keys from before it come late and are left out."""
     apply_defaults(spark)
     typed = schema_cast(fx.orders_text(spark, sf), fx.ORDERS_SPEC)
-    early = F.col("o_orderdate") < F.lit(CUTOFF).cast(T.TimestampNTZType())
+    early = (F.col("o_orderdate") < F.lit(CUTOFF).cast(T.TimestampNTZType())) & (F.col("o_orderkey") % 2 == 0)
     path = workspace(spark, "incremental")
     load.incremental_append(spark, typed.filter(early), path, "o_orderdate")
     load.incremental_append(spark, typed, path, "o_orderdate")
     return spark.read.parquet(path)
 
 
+def archive_load(spark, sf):
+    """Two arrivals in a landing folder, each loaded and archived; the second load empties the table."""
+    apply_defaults(spark)
+    landing, archive, target, ck = (workspace(spark, n) for n in ("landing", "archive", "ingress", "ck-archive"))
+    for rest in (0, 1):
+        part = fx.orders_text(spark, sf).filter(F.col("o_orderkey").cast("bigint") % 2 == rest)
+        part.write.mode("append").option("header", "true").option("escape", '"').csv(landing)
+        files.archive_load(spark, landing, archive, ck, fx.ORDERS_SPEC.ingress_schema(), target, options={"multiLine": "false"})
+    return files.read_loaded(spark, target, fx.ORDERS_SPEC.ingress_schema())
+
+
+def newest_snapshot(spark, sf):
+    """Two snapshots of nation under one prefix; the newest file is the one that is loaded."""
+    apply_defaults(spark)
+    root = workspace(spark, "nation-snapshots")
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("state_id"),
+                                            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("state_symbol"),
+                                            F.col("n_name").alias("state_name"))
+    write_csv_snapshot(n.filter("state_id < 10"), files.snapshot_folder(root, "daily", "20240101-190000"))
+    write_csv_snapshot(n, files.snapshot_folder(root, "daily", "20240102-190000"))
+    return read_seed(spark, files.newest_file(spark, root, "*.csv"), SEED_STATES)
+
+
+def refusals(spark, sf):
+    """What must not be written is refused and leaves the table as it was: (case, outcome, rows_after)."""
+    apply_defaults(spark)
+    path = _typed_orders_path(spark, sf, "guarded", F.col("o_orderkey").cast("bigint") % 2 == 0)
+    txt = fx.orders_text(spark, sf)
+    doubled = txt.unionByName(txt)
+    null_key = txt.withColumn("o_orderkey", F.lit(None).cast("string"))
+
+    def run(name, op):
+        try:
+            op()
+            outcome = "written"
+        except (ValueError, checks.KeyViolation) as e:
+            outcome = type(e).__name__
+        return name, outcome, spark.read.parquet(path).count()
+
+    spec = fx.ORDERS_SPEC
+    out = [run("append of stored keys", lambda: load.load(spark, "append", txt, path, spec, check=True)),
+           run("replace by doubled keys", lambda: load.load(spark, "replace", doubled, path, spec, check=True)),
+           run("upsert of doubled keys", lambda: load.load(spark, "upsert", doubled, path, spec)),
+           run("append of null keys", lambda: load.load(spark, "append", null_key, path, spec, check=True)),
+           run("unknown operation", lambda: load.load(spark, "update", txt, path, spec)),
+           run("unknown scope", lambda: files.check_scope("monthly"))]
+    return spark.createDataFrame(out, "case string, outcome string, rows_after long")
+
+
 def high_water_filter(spark, sf):
     apply_defaults(spark)
     o = fx.table(spark, sf, "orders")
@@ -266,6 +360,12 @@ def high_water_filter(spark, sf):
         "o_orderkey", "o_custkey", "o_orderdate")
 
 
+def symbol_list(spark, sf):
+    """Customers of a comma-separated list of nations."""
+    c = fx.table(spark, sf, "customer")
+    return subset(c, "c_nationkey", "1, 3,5 ,,24").select("c_custkey", "c_name", "c_nationkey")
+
+
 def symbol_subset(spark, sf):
     """Customers among the symbols active in the event stream (key list as a DataFrame)."""
     c = fx.table(spark, sf, "customer")
@@ -319,8 +419,7 @@ THE_RULE = P.LabelRule("the_link", "a", None, "the")
 
 
 def _pages(spark, sf):
-    # HTML parsing is the heavy row-wise step: spread a single-file table first
-    return fx.table(spark, sf, "pages", spread_rows=True)
+    return fx.table(spark, sf, "pages")
 
 
 def html_attr_extract(spark, sf):
@@ -339,21 +438,53 @@ def html_record_extract(spark, sf):
 
 
 def html_rejects(spark, sf):
-    pg = _pages(spark, sf).select("page_id", "html")
-    blank = spark.createDataFrame([(-1, "")], "page_id long, html string")
-    _, bad = P.split_rejects(P.extract_records(pg.unionByName(blank),
-                                               [TITLE_RULE, AD_RULE, THE_RULE]))
+    """Pages blanked (ids divisible by 7) or lost (by 11) are rejected, the others go through."""
+    html = F.when(F.col("page_id") % 11 == 0, F.lit(None)).when(F.col("page_id") % 7 == 0, F.lit(" ")).otherwise(F.col("html"))
+    pg = _pages(spark, sf).select("page_id", html.alias("html"))
+    _, bad = P.split_rejects(P.extract_records(pg, [TITLE_RULE, AD_RULE, THE_RULE]))
     return bad.select("page_id", "error")
 
 
+def _marked_up(rule, value):
+    """Markup in which ``rule`` finds ``value`` (a column)."""
+    if isinstance(rule, P.AttrRule):
+        attr = f' {rule.attribute}="{rule.value}"'
+        if rule.tag == "fin-streamer":
+            return F.concat(F.lit(f"<{rule.tag}{attr} data-value=\""), value, F.lit(f'">x</{rule.tag}>'))
+        return F.concat(F.lit(f"<{rule.tag}{attr}> "), value, F.lit(f"</{rule.tag}>"))
+    label = rule.label.replace("&", "&amp;")
+    css = f' class="{rule.css_class}"'
+    sib = f' class="{rule.sibling_class}"' if rule.sibling_class else ""
+    return F.concat(F.lit(f"<li><{rule.tag}{css}> {label} </{rule.tag}><b>-</b><{rule.sibling_tag}{sib}>"), value,
+                    F.lit(f"</{rule.sibling_tag}></li>"))
+
+
+def _scope_rules(spark, sf, scope):
+    rules = P.rules_for(scope)
+    value = lambda r: F.concat(F.lit(f"{r.field}-"), F.col("page_id"), F.lit("-"), F.length("url"))
+    page = F.concat(F.lit("<html><body><span>Bid</span>"), *[_marked_up(r, value(r)) for r in rules], F.lit("</body></html>"))
+    good, _ = P.split_rejects(P.extract_records(_pages(spark, sf).select("page_id", page.alias("html")), rules))
+    return good
+
+
+def quote_rules(spark, sf):
+    """All 15 rules of the quote page over pages marked up like it."""
+    return _scope_rules(spark, sf, "daily")
+
+
+def profile_rules(spark, sf):
+    """All 9 rules of the profile page over pages marked up like it."""
+    return _scope_rules(spark, sf, "weekly")
+
+
 PAGE_SPEC = TableSpec(
     "pages_ods",
     (
         Column("symbol", "varchar", length=16, nullable=False),
         Column("load_timestamp_utc", "timestamp", nullable=False),
-        Column("title", "varchar", length=64),
-        Column("ad_text", "varchar", length=256),
-        Column("the_link", "varchar", length=8),
+        Column("title", "varchar", length=65535),
+        Column("ad_text", "varchar", length=65535),
+        Column("the_link", "varchar", length=65535),
     ),
     key=("symbol", "load_timestamp_utc"),
 )
@@ -377,24 +508,26 @@ REFRESH_CUTOFF = "2024-01-20 00:00:00"
 
 
 def scd_refresh(spark, sf):
-    """Intervals built from events before a cutoff, then refreshed with the later
-    events: must equal a full rebuild (open intervals get closed)."""
+    """Intervals built from events before a cutoff, then refreshed with the later events and with
+    late ones held back from before it: must equal a full rebuild. Every fifth symbol has no
+    company, so the table is refreshed by symbol."""
     apply_defaults(spark)
     ev = fx.table(spark, sf, "events")
-    weekly = ev.select(F.col("user_id").cast("string").alias("symbol"),
-                       F.col("ts").alias("load_timestamp_utc"),
-                       X.digits_only("props").alias("company_full_time_employees"))
-    cut = F.lit(REFRESH_CUTOFF).cast(T.TimestampNTZType())
-    comp = fx.companies_dim(spark, sf)
+    late = F.pmod(F.col("event_id"), F.lit(50)) == 0
+    early = (ev["ts"] < F.lit(REFRESH_CUTOFF).cast(T.TimestampNTZType())) & ~late
+    comp = fx.companies_dim(spark, sf).filter("company_id % 5 <> 0")
     path = workspace(spark, "intervals")
-    star.write_intervals(marts.trf_employee_intervals(
-        weekly.filter(F.col("load_timestamp_utc") < cut), comp), path, "company_id", buckets=16)
-    new = star.lookup(weekly.filter(F.col("load_timestamp_utc") >= cut), comp, "symbol",
-                      "company_symbol", ["company_id"])
-    new = new.select("company_id", "company_full_time_employees",
-                     F.col("load_timestamp_utc").alias("load_timestamp_utc_from"))
-    star.refresh_intervals_table(spark, path, new, "company_id", buckets=16)
-    return star.read_intervals(spark, path)
+
+    def of(rows):
+        return rows.select(F.col("user_id").cast("string").alias("symbol"), F.col("ts").alias("load_timestamp_utc"),
+                           X.digits_only("props").alias("company_full_time_employees"))
+
+    first = star.next_in_key(of(ev.filter(early)), "symbol", "load_timestamp_utc", "load_timestamp_utc_to")
+    star.write_intervals(first.withColumnRenamed("load_timestamp_utc", "load_timestamp_utc_from"), path)
+    new = of(ev.filter(~early)).withColumnRenamed("load_timestamp_utc", "load_timestamp_utc_from")
+    star.refresh_intervals_table(spark, path, new, "symbol")
+    w = star.lookup(star.read_intervals(spark, path), comp, "symbol", "company_symbol", ["company_id"])
+    return w.select("symbol", "company_id", "company_full_time_employees", "load_timestamp_utc_from", "load_timestamp_utc_to")
 
 
 # ------------------------------------------------------------------ stream
@@ -415,18 +548,19 @@ def frame_split(spark, sf):
                     F.decode("payload", "UTF-8").alias("payload"), "frame_error")
 
 
-def _write_topic(spark, sf, folder):
-    fx.trade_topic_records(spark, sf).write.mode("append").parquet(folder)
+def _write_topic(spark, sf, folder, **how):
+    fx.trade_topic_records(spark, sf, **how).write.mode("append").parquet(folder)
 
 
 def stream_decode(spark, sf):
-    """Topic files → stream → decoded trade fields (file sink, drained with availableNow)."""
+    """Topic files of two record shapes → stream → decoded trade fields (file sink, availableNow)."""
     apply_defaults(spark)
     topic, sink, ck = (workspace(spark, "topic"), workspace(spark, "decoded"),
                        workspace(spark, "ck-decode"))
-    _write_topic(spark, sf, topic)
+    _write_topic(spark, sf, topic, two_shapes=True)
     src = trades.trade_source(spark, "parquet", topic)
-    dec = trades.decode_trades(src, trades.default_registry())
+    registry = {**trades.default_registry(), fx.VENUE_ID: PayloadSchema(fx.VENUE_SCHEMA)}
+    dec = trades.decode_trades(src, registry)
     q = (dec.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -434,13 +568,14 @@ def stream_decode(spark, sf):
 
 
 def stream_upsert(spark, sf):
-    """Stream → keyed trades table; a replayed copy of the topic adds no rows."""
+    """Stream → keyed trades table; the topic is sent again with corrections, older copies and
+    unchanged rows."""
     apply_defaults(spark)
     topic, table_path, rej, ck = (workspace(spark, "topic"), workspace(spark, "trades"),
                                   workspace(spark, "rejects"), workspace(spark, "ck-trades"))
     _write_topic(spark, sf, topic)
     trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table_path, rej, ck)
-    _write_topic(spark, sf, topic)  # replay
+    _write_topic(spark, sf, topic, change=fx.replayed)
     trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table_path, rej, ck)
     return trades.read_trades(spark, table_path)
 
@@ -493,6 +628,17 @@ _QUERIES: dict[str, Query] = {
     "frame_split": frame_split,
     "stream_decode": stream_decode,
     "stream_upsert": stream_upsert,
+    "dim_companies": dim_companies,
+    "dim_industries": dim_industries,
+    "dim_employees": dim_employees,
+    "fact_view": fact_view,
+    "stg_daily_incremental": stg_daily_incremental,
+    "symbol_list": symbol_list,
+    "archive_load": archive_load,
+    "newest_snapshot": newest_snapshot,
+    "refusals": refusals,
+    "quote_rules": quote_rules,
+    "profile_rules": profile_rules,
 }
 
 QUERIES: dict[str, Query] = {k: _with_defaults(v) for k, v in _QUERIES.items()}

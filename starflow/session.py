@@ -73,12 +73,17 @@ def task_slots(spark: SparkSession) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from the session; when the cluster names none (tests, local runs),
-    create a private one and register it as the checkpoint dir.
+    Read from the session; in local mode, when none is named (tests), create a
+    private one and register it as the checkpoint dir. On a cluster a missing
+    setting is an error.
     """
     sc = spark_context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        master = sc.master if sc else ""
+        if not (master == "local" or master.startswith("local[")):
+            # every node would get a folder of its own
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         d = tempfile.mkdtemp(prefix="starflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -94,22 +99,18 @@ def workspace(spark: SparkSession, name: str = "run") -> str:
     return f"{root}{sep}starflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local FS (tests)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def remove_folder(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Delete a folder this package staged (or a partition folder that has become empty).
 
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_path(path), exist_ok=True)
+    ``encoded``: the path is a URI, as in the hidden column ``_metadata.file_path``. Sessions
+    without a context (Spark Connect) leave the folder to the cluster's clean-up.
+    """
+    sc = spark_context(spark)
+    if sc is None:
+        return
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if encoded else jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _SHIPPED: set[str] = set()

@@ -58,14 +58,12 @@ def read_seed(spark: SparkSession, path: str | list[str], schema: T.StructType)
                        for f in schema.fields])
 
 
-def write_csv_snapshot(df: DataFrame, folder: str, single_file: bool = False) -> str:
+def write_csv_snapshot(df: DataFrame, folder: str) -> str:
     """Timestamped CSV snapshot with a header and no index column.
 
-    ``single_file`` coalesces to one part file (only for small extracts);
-    otherwise every task writes its own part and readers take the folder.
+    Every task writes its own parts, of a bounded number of rows; readers take the folder.
     """
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode("errorifexists").option("header", "true")
+    (df.write.mode("errorifexists").option("header", "true").option("maxRecordsPerFile", "1000000")
         .option("quote", '"').option("escape", '"').option("emptyValue", "")
         .csv(folder))
     return folder

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SCOPES = ("daily", "weekly")
 
@@ -48,34 +49,58 @@ def snapshot_folder(root: str, scope: str, stamp: str) -> str:
     return f"{root.rstrip('/')}/{scope}/{stamp}"
 
 
+LOAD_EPOCH = "load_epoch"
+
+
 def archive_load(spark: SparkSession, landing: str, archive: str, checkpoint: str, schema,
                  target_path: str, mode: str = "overwrite", fmt: str = "csv",
-                 options: dict | None = None) -> int:
+                 options: dict | None = None, files_per_batch: int | None = None) -> int:
     """Load the files that arrived in ``landing`` and move them to ``archive``.
 
-    A file stream drained with ``availableNow``: every new file is read once
-    (the checkpoint remembers which), written to ``target_path`` — ``overwrite``
-    empties the table first (truncate-then-load), ``append`` adds — and Spark
-    moves each processed file under ``archive``. A second run sees only files
-    that arrived since. Returns the number of micro-batches written.
+    A file stream drained with ``availableNow``: every new file is read once (the checkpoint
+    remembers which), written to ``target_path``, and moved under ``archive`` by Spark. A second
+    run sees only files that arrived since. Returns the number of micro-batches written.
+
+    The table is partitioned by ``load_epoch``, the micro-batch; a batch that is tried again
+    replaces its own partition. In ``overwrite`` mode the first batch of a load empties the table
+    (truncate-then-load). A load that failed is resumed by the next run, which keeps the batches
+    that are in: the first batch's number is noted beside the checkpoint until the load is done.
+    Read the table with :func:`read_loaded`.
     """
+    from ..operators.load import open_table, write_table
+    from ..session import remove_folder
     from .csv import CSV_READ_OPTIONS
 
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
     opts = dict(CSV_READ_OPTIONS) if fmt == "csv" else {}
     opts.update(options or {})
-    src = (spark.readStream.format(fmt).schema(schema).options(**opts)
-           .option("cleanSource", "archive").option("sourceArchiveDir", archive)
-           .load(landing))
+    reader = (spark.readStream.format(fmt).schema(schema).options(**opts)
+              .option("cleanSource", "archive").option("sourceArchiveDir", archive))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
+    note = f"{checkpoint.rstrip('/')}-load"
+    first_type = T.StructType([T.StructField("first", T.LongType())])
+    noted = open_table(spark, note, first_type)
+    first = [r[0] for r in noted.collect()] if noted is not None else []  # one row at most
     batches: list[int] = []
 
     def write_batch(df, epoch_id):
-        # the run's first batch truncates (in overwrite mode); later ones add
-        df.write.mode(mode if not batches else "append").parquet(target_path)
+        if mode == "overwrite" and not first:
+            spark.createDataFrame([(epoch_id,)], first_type).write.mode("overwrite").parquet(note)
+            first.append(epoch_id)
+        empty_first = mode == "overwrite" and epoch_id == first[0]
+        df = df.withColumn(LOAD_EPOCH, F.lit(epoch_id).cast("long"))
+        write_table(df, target_path, "overwrite", [LOAD_EPOCH], only_present_partitions=not empty_first, rebalance=False)
         batches.append(epoch_id)
 
-    q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    q = (reader.load(landing).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    remove_folder(spark, note)
     return len(batches)
+
+
+def read_loaded(spark: SparkSession, target_path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table loaded by :func:`archive_load`."""
+    return spark.read.schema(schema).parquet(target_path).select(*schema.names)

@@ -8,11 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Above this many keys the list travels as a DataFrame and is semi-joined;
-# below it an IN list is folded into the scan's pushed filters.
-INLIST_MAX = 1000
-
-
 def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table by name, or a parquet folder/file by path."""
     if "/" in name_or_path or name_or_path.endswith(".parquet"):
@@ -20,21 +15,6 @@ def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer files than the cluster has task slots.
-
-    Parquet splits at row groups, so a small table written as one file with
-    one row group is read by a single task, and every map-only step after it
-    runs on one core. Such an input is redistributed round-robin. A large
-    table has at least as many files as slots, and nothing is added.
-    """
-    from ..session import task_slots
-    slots = task_slots(df.sparkSession)
-    if len(df.inputFiles()) < slots:
-        return df.repartition(slots)
-    return df
-
-
 def parse_keys(keys: str | Iterable[str] | None) -> list[str]:
     """``'A,B, C'`` → ``['A', 'B', 'C']``; empty/None → ``[]`` (meaning all)."""
     if keys is None:
@@ -49,21 +29,15 @@ def parse_keys(keys: str | Iterable[str] | None) -> list[str]:
 def subset(df: DataFrame, key_col: str, keys: str | Iterable | DataFrame | None) -> DataFrame:
     """Rows whose ``key_col`` is among ``keys``; no keys means every row.
 
-    A short list becomes an ``IN`` predicate pushed into the scan. A long list
-    (or a DataFrame of keys) becomes a left-semi join, whose strategy (broadcast
-    or shuffle) AQE picks from the key side's measured size.
+    A list becomes a table of keys; both forms are a left-semi join, whose strategy (broadcast or
+    shuffle) Spark picks from the key side's measured size.
     """
     if isinstance(keys, DataFrame):
-        k = keys.select(F.col(keys.columns[0]).alias("__k")).distinct()
+        k = keys.select(F.col(keys.columns[0]).alias("__k"))
         return df.join(k, df[key_col] == k["__k"], "left_semi")
     items = parse_keys(keys)
     if not items:
         return df
-    dtype = df.schema[key_col].dataType
-    if len(items) <= INLIST_MAX:
-        return df.filter(F.col(key_col).isin([F.lit(i).cast(dtype) for i in items]))
-    spark = df.sparkSession
-    kdf = spark.createDataFrame([(i,) for i in items],
-                                T.StructType([T.StructField("__k", T.StringType())]))
-    kdf = kdf.select(F.col("__k").cast(dtype).alias("__k")).distinct()
+    kdf = df.sparkSession.createDataFrame([(i,) for i in items], T.StructType([T.StructField("__k", T.StringType())]))
+    kdf = kdf.select(F.col("__k").cast(df.schema[key_col].dataType).alias("__k"))
     return df.join(kdf, df[key_col] == kdf["__k"], "left_semi")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import schema_cast, split_rejects
 from ..functions.frames import FRAME_ERROR, PayloadSchema, decode_frames, record_json
-from ..operators.load import upsert
+from ..operators.load import upsert, write_table
 from ..schemas import TRADE_VALUE_SCHEMA, TRANSACTIONS, TableSpec
 from ..session import task_slots
 
@@ -88,8 +88,10 @@ def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
                    spec: TableSpec = TRANSACTIONS, partition_col: str | None = "transaction_date"):
     """A ``foreachBatch`` function merging one micro-batch into ``target_path``.
 
-    The table is partitioned by transaction day so a batch rewrites only the
-    days it touches.
+    The table is partitioned by transaction day so a batch rewrites only the days that hold an
+    older version of its trades; ids are matched across all days, as a corrected time moves a
+    trade. The newest copy is the one with the latest event time, then offset. Rejects are
+    partitioned by micro-batch (one reject folder per checkpoint).
     """
     key = list(spec.key)
     ts = "transaction_timestamp_utc"
@@ -125,18 +127,17 @@ def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
                    .unionByName(bad_null.select(
                        *as_text, F.lit("null key or required column").alias("reason")))
                    .withColumn("epoch_id", F.lit(epoch_id).cast(T.LongType())))
-        # rejects are usually few: let AQE size the files instead of one per task
-        rejects.hint("rebalance").write.mode("append").parquet(rejects_path)
+        # a batch that is tried again replaces its own rejects
+        write_table(rejects, rejects_path, "overwrite", ["epoch_id"], only_present_partitions=True)
         # newest copy per key: keys are unique and non-null by construction, so the
         # upsert's own key check is skipped
-        latest = (newest_per_key(ok, key[0]) if len(key) == 1 else ok).persist()
-        try:
-            derive = {partition_col: F.to_date(F.col(ts))} if partition_col else None
-            upsert(spark, latest.drop("partition", "offset"), target_path, spec,
-                   partition_by=[partition_col] if partition_col else None, derive=derive,
-                   check=len(key) != 1)
-        finally:
-            latest.unpersist()
+        order = (F.col(ts).isNotNull().alias("__known"), ts, "partition", "offset")
+        latest = newest_per_key(ok, key[0], order) if len(key) == 1 else ok
+        derive = {partition_col: F.to_date(F.col(ts))} if partition_col else None
+        # an older copy that arrives later leaves the stored row as it is
+        upsert(spark, latest.drop("partition", "offset"), target_path, spec,
+               partition_by=[partition_col] if partition_col else None, derive=derive,
+               check=len(key) != 1, newer=ts)
 
     return run
 

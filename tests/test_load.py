@@ -175,3 +175,92 @@ def test_materialize_partitioned_keeps_order_and_types(spark, tmp_path):
     assert out.columns == ["id", "ts", "s"]
     assert out.schema["ts"].dataType.simpleString() == "timestamp_ntz"
     assert sorted(rows(out)) == [(1, T1, "x"), (2, T2, "y")]
+
+
+PSPEC = TableSpec("p", (Column("k", "varchar", length=8, nullable=False), Column("day", "timestamp"),
+                        Column("v", "numeric", precision=9, scale=2), Column("j", "json")), key=("k",))
+
+
+def _psrc(spark, data):
+    return spark.createDataFrame([(*r, '{"a":%s}' % r[2]) if len(r) == 3 else r for r in data],
+                                 "k string, day string, v string, j string")
+
+
+def _pread(spark, path):
+    return rows(spark.read.parquet(path).select("k", "day", "v", F.to_json("j")), ["k"])
+
+
+def test_upsert_null_and_moved_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    up = lambda *data: load.upsert(spark, _psrc(spark, data), path, PSPEC, partition_by=["day"])
+    up(("A", D1, "1"), ("B", D1, "2"), ("N", None, "3"))
+    up(("A", D1, "9"), ("M", None, "4"))            # a new key without a day beside an update
+    assert [r[0] for r in _pread(spark, path)] == ["A", "B", "M", "N"]
+    up(("N", None, "5"))                            # a stored key without a day is matched
+    assert [r for r in _pread(spark, path) if r[0] == "N"] == [("N", None, Decimal("5.00"), '{"a":5}')]
+    up(("A", D2, "9"), ("B", None, "2"))            # moved: the old partitions lose them, one is empty now
+    assert [(r[0], r[1]) for r in _pread(spark, path)] == [("A", T2), ("B", None), ("M", None), ("N", None)]
+    assert not [f for f in _files(path) if "2025-01-01" in f]
+    before = _files(path)
+    up(("A", D2, "9"), ("N", None, "5"))            # equal rows, json column included
+    assert _files(path) == before
+    up(("M", None, "4", '{"a":40}'))                # only the json differs
+    assert [r[3] for r in _pread(spark, path) if r[0] == "M"] == ['{"a":40}']
+
+
+def test_upsert_unreadable_target_is_left_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load.upsert(spark, src(spark, [("A", D1, "1"), ("B", D2, "2")]), path, SPEC, partition_by=["day"])
+    bad = [f for f in _files(path) if "2025-01-02" in f][0]
+    whole = open(bad, "rb").read()
+    with open(bad, "wb") as f:
+        f.write(b"PAR1 not a footer")
+    before = {f: open(f, "rb").read() for f in _files(path)}
+    with pytest.raises(Exception):
+        load.upsert(spark, src(spark, [("B", D2, "5")]), path, SPEC, partition_by=["day"])
+    assert {f: open(f, "rb").read() for f in _files(path)} == before
+    with open(bad, "wb") as f:
+        f.write(whole)
+    load.upsert(spark, src(spark, [("B", D2, "5")]), path, SPEC, partition_by=["day"])
+    assert read(spark, path) == [("A", T1, Decimal("1.00")), ("B", T2, Decimal("5.00"))]
+
+
+def test_upsert_leaves_no_staged_copy(spark, tmp_path):
+    import os
+
+    from starflow.session import checkpoint_root
+    root = os.path.join(checkpoint_root(spark).removeprefix("file:"), "starflow")
+    path = str(tmp_path / "t")
+    old = set(os.listdir(root)) if os.path.isdir(root) else set()
+    for v in ("1", "2"):
+        load.upsert(spark, src(spark, [("A", D1, v)]), path, SPEC, partition_by=["day"])
+    assert {x for x in set(os.listdir(root)) - old if x.startswith(("stage", "batch", "matches"))} == set()
+
+
+def test_upsert_newer_wins(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spec = TableSpec("n", (Column("k", "varchar", length=8, nullable=False), Column("day", "timestamp"),
+                           Column("v", "numeric", precision=9, scale=2)), key=("k",))
+    up = lambda *data: load.upsert(spark, src(spark, data), path, spec, partition_by=["day"], newer="day")
+    up(("A", D2, "1"), ("B", D1, "1"), ("C", D1, "1"))
+    up(("A", D1, "7"), ("B", D2, "7"), ("C", None, "7"))
+    assert read(spark, path) == [("A", T2, Decimal("1.00")), ("B", T2, Decimal("7.00")), ("C", T1, Decimal("1.00"))]
+
+
+def test_checked_append_and_replace(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load.load(spark, "append", src(spark, [("A", D1, "1")]), path, SPEC, check=True)
+    with pytest.raises(KeyViolation):
+        load.load(spark, "append", src(spark, [("A", D1, "2")]), path, SPEC, check=True)
+    with pytest.raises(KeyViolation):
+        load.load(spark, "replace", src(spark, [("B", D1, "2"), ("B", D1, "3")]), path, SPEC, check=True)
+    assert read(spark, path) == [("A", T1, Decimal("1.00"))]
+
+
+def test_incremental_on_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "e")
+    df = spark.createDataFrame([(1, T1)], "id int, ts timestamp_ntz")
+    load.incremental_append(spark, df.limit(0), path, "ts", partition_by=["id"])
+    load.incremental_append(spark, df, path, "ts", partition_by=["id"])   # exists and is empty: no row passes
+    assert load.open_table(spark, path, df.schema).count() == 0
+    assert load.open_table(spark, str(tmp_path / "none"), df.schema) is None

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from starflow.schemas import COMPANIES_DAILY
 from starflow.sources.csv import read_positional_csv, read_seed
-from starflow.sources.files import archive_load, check_scope, newest_file, snapshot_folder
+from starflow.sources.files import archive_load, check_scope, newest_file, read_loaded, snapshot_folder
 from starflow.sources.tables import parse_keys, subset
 from conftest import rows
 
@@ -96,15 +96,46 @@ def test_archive_load(spark, tmp_path):
     ck, target = str(tmp_path / "ck"), str(tmp_path / "ingress")
     write(landing / "one.csv", "h1,h2,h3\na,b,1\n")
     assert archive_load(spark, str(landing), str(archive), ck, SCHEMA, target) >= 1
-    assert rows(spark.read.parquet(target)) == [("a", "b", 1)]
+    assert rows(read_loaded(spark, target, SCHEMA)) == [("a", "b", 1)]
     write(landing / "two.csv", "h1,h2,h3\nc,d,2\n")
     archive_load(spark, str(landing), str(archive), ck, SCHEMA, target)
     # truncate-then-load: only the new file's rows remain
-    assert rows(spark.read.parquet(target)) == [("c", "d", 2)]
+    assert rows(read_loaded(spark, target, SCHEMA)) == [("c", "d", 2)]
     moved = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
     assert "one.csv" in moved
 
 
+def test_archive_load_resumes_after_a_failed_batch(spark, tmp_path, monkeypatch):
+    from starflow.operators import load
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    landing.mkdir()
+    ck, target = str(tmp_path / "ck"), str(tmp_path / "ingress")
+    write(landing / "old.csv", "h1,h2,h3\nx,y,0\n")
+    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target)
+    now = os.path.getmtime(landing) - 60
+    for i in (1, 2, 3):
+        write(landing / f"f{i}.csv", f"h1,h2,h3\na,b,{i}\n")
+        os.utime(landing / f"f{i}.csv", (now + i, now + i))
+    real, calls = load.write_table, []
+
+    def failing(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("store is down")
+        return real(*a, **k)
+
+    monkeypatch.setattr(load, "write_table", failing)
+    with pytest.raises(Exception):
+        archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, files_per_batch=1)
+    monkeypatch.setattr(load, "write_table", real)
+    write(landing / "f5.csv", "h1,h2,h3\na,b,5\n")
+    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, files_per_batch=1)
+    assert sorted(r.c for r in read_loaded(spark, target, SCHEMA).collect()) == [1, 2, 3, 5]
+    write(landing / "f6.csv", "h1,h2,h3\na,b,6\n")
+    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target)
+    assert [r.c for r in read_loaded(spark, target, SCHEMA).collect()] == [6]
+
+
 def test_scale_conf_for_100tb():
     from starflow.session import scale_conf
     c = scale_conf(100 << 40, 8000)

@@ -47,17 +47,6 @@ def test_employee_intervals(spark):
     assert got == [(None, "5", day(0), None), (1, "10", day(0), day(7)), (1, "12", day(7), None)]
 
 
-def test_refresh_intervals_closes_open_row(spark):
-    existing = spark.createDataFrame([(1, "10", day(0), day(7)), (1, "12", day(7), None),
-                                      (2, "5", day(0), None)],
-                                     "company_id int, emp string, load_timestamp_utc_from timestamp_ntz, "
-                                     "load_timestamp_utc_to timestamp_ntz")
-    new = spark.createDataFrame([(1, "15", day(14))], "company_id int, emp string, load_timestamp_utc_from timestamp_ntz")
-    got = rows(star.refresh_intervals(existing, new, "company_id"), ["company_id", "load_timestamp_utc_from"])
-    assert got == [(1, "10", day(0), day(7)), (1, "12", day(7), day(14)), (1, "15", day(14), None),
-                   (2, "5", day(0), None)]
-
-
 def _dims(spark):
     comp = spark.createDataFrame([(1, "A", "Alpha"), (2, "B", "Beta")],
                                  "company_id int, company_symbol string, company_name string")
@@ -81,7 +70,7 @@ def test_stock_fact_lookups_and_latest_snapshot(spark):
          ("C", day(7), "Mining", "Technology", "CA")],
         "symbol string, load_timestamp_utc timestamp_ntz, company_industry string, "
         "company_sector string, company_state string")
-    f = star.stock_fact(daily, weekly, comp, ind, sec, st, dims_bounded=3)
+    f = star.stock_fact(daily, weekly, comp, ind, sec, st)
     got = {r.company_id: (r.industry_id, r.sector_id, r.state_id) for r in f.collect()}
     assert got == {1: (10, 20, 30), 2: (None, None, None), None: (None, 20, None)}
     assert f.columns == star.FACT_COLUMNS
@@ -128,38 +117,76 @@ def test_incremental_staging_and_fact(spark):
     assert [str(r.load_timestamp_utc) for r in inc.collect()] == ["2025-01-03 00:00:00"]
 
 
-def test_spread_only_small_inputs(spark, tmp_path):
-    from starflow.sources.tables import spread
-    df = spark.range(100)
-    p = str(tmp_path / "one")
-    df.coalesce(1).write.parquet(p)
-    one = spark.read.parquet(p)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = str(tmp_path / "many")
-    df.repartition(spark.sparkContext.defaultParallelism * 2).write.parquet(many)
-    big = spark.read.parquet(many)
-    assert spread(big) is big          # enough files: nothing added
+FROM, TO = "load_timestamp_utc_from", "load_timestamp_utc_to"
 
 
-def test_refresh_intervals_table_rewrites_only_touched_bucket(spark, tmp_path):
+def _files(path):
     import os
+    return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def test_refresh_intervals_in_order_and_late(spark, tmp_path):
+    """Refreshes equal a rebuild; in-order loads leave closed rows as they are."""
     path = str(tmp_path / "iv")
-    existing = spark.createDataFrame(
-        [(i, "10", day(0), None) for i in range(20)],
-        "company_id int, emp string, load_timestamp_utc_from timestamp_ntz, "
-        "load_timestamp_utc_to timestamp_ntz")
-    star.write_intervals(existing, path, "company_id", buckets=8)
-
-    def files():
-        return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
-
-    before = files()
-    new = spark.createDataFrame([(3, "12", day(7))],
-                                "company_id int, emp string, load_timestamp_utc_from timestamp_ntz")
-    star.refresh_intervals_table(spark, path, new, "company_id", buckets=8)
-    after = files()
-    got = rows(star.read_intervals(spark, path).filter("company_id = 3"), ["load_timestamp_utc_from"])
-    assert got == [(3, "10", day(0), day(7)), (3, "12", day(7), None)]
-    assert star.read_intervals(spark, path).count() == 21
-    changed_dirs = {os.path.dirname(f) for f in before ^ after}
-    assert len(changed_dirs) == 1          # one bucket rewritten, the others untouched
+    schema = f"symbol string, emp string, {FROM} timestamp_ntz"
+    base = [(s, str(i), day(7 * i)) for s in ("X", "Y", None) for i in range(3)]
+
+    def rebuilt(rows_):
+        df = spark.createDataFrame(rows_, schema)
+        w = Window.partitionBy("symbol").orderBy(FROM)
+        return sorted(rows(df.withColumn(TO, F.lead(FROM).over(w))), key=str)
+
+    def stored():
+        return sorted(rows(star.read_intervals(spark, path).select("symbol", "emp", FROM, TO)), key=str)
+
+    first = star.next_in_key(spark.createDataFrame(base, schema), "symbol", FROM, TO)
+    star.write_intervals(first, path)
+    assert stored() == rebuilt(base)
+    closed = {f for f in _files(path) if "HIVE_DEFAULT" not in f}
+    new = [("X", "3", day(21)), (None, "3", day(21)), ("Z", "0", day(21))]
+    star.refresh_intervals_table(spark, path, spark.createDataFrame(new, schema), "symbol")
+    assert stored() == rebuilt(base + new)
+    assert closed <= _files(path)             # in order: closed rows untouched
+    late = [("Y", "l", day(3)), ("Z", "1", day(30)), ("Y", "9", day(40))]
+    star.refresh_intervals_table(spark, path, spark.createDataFrame(late, schema), "symbol")
+    assert stored() == rebuilt(base + new + late)
+    again = [("Y", "L", day(3)), ("Z", "1", day(30))]    # reloads: one changed, one equal
+    star.refresh_intervals_table(spark, path, spark.createDataFrame(again, schema), "symbol")
+    want = [r for r in base + new + late if r[:1] + r[2:] not in {x[:1] + x[2:] for x in again}] + again
+    assert stored() == rebuilt(want)
+
+
+def test_next_in_key_text_and_nan(spark):
+    for kind, values in (("string", ["b", "a", "abcdefgh", "abcdefgi", None, "é"]),
+                         ("double", [1.0, float("nan"), -2.0, None, float("inf"), 0.5])):
+        df = spark.createDataFrame([(k, v) for k in ("A", "B") for v in values], f"k string, v {kind}")
+        want = df.withColumn("n", F.lead("v").over(Window.partitionBy("k").orderBy("v")))
+        got = star.next_in_key(df, "k", "v", "n", slices=3)
+        assert sorted(map(str, rows(got.select("k", "v", "n")))) == sorted(map(str, rows(want)))
+
+
+def test_fact_join_splits_a_hot_symbol(spark):
+    """Half of the fact rows on one symbol: the final plan has a skew join on the fact side."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        comp, ind, sec, st = _dims(spark)
+        sym = F.when(F.col("id") % 2 == 0, F.lit("A")).otherwise(F.concat(F.lit("s"), F.col("id") % 5000))
+        daily = spark.range(400_000, numPartitions=8).select(sym.alias("symbol"), F.lit(day(20)).alias("load_timestamp_utc"),
+                                            *[F.xxhash64("id", F.lit(c)).alias(c) for c in star.FACT_MEASURES[1:4]])
+        weekly = spark.createDataFrame([("A", day(7), "Software", "Technology", "California")],
+                                       "symbol string, load_timestamp_utc timestamp_ntz, company_industry string, "
+                                       "company_sector string, company_state string")
+        f = star.stock_fact(daily, weekly, comp, ind, sec, st, measures=star.FACT_MEASURES[:4])
+        assert f.filter("company_id = 1 and state_id = 30").count() == 200_000
+        f.write.format("noop").mode("overwrite").save()
+        df = f.groupBy("company_id").count()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

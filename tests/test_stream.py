@@ -83,3 +83,36 @@ def test_cast_reject_keeps_text(spark, tmp_path):
     got = {r.reason: r.transaction_timestamp_utc for r in spark.read.parquet(rej).collect()}
     assert got["cast failed: transaction_timestamp_utc"] == "not a time"
     assert "null key or required column" in got
+
+
+def test_retried_batch_and_older_copies(spark, tmp_path):
+    """A retried batch leaves one set of rejects; a later-arriving older copy changes nothing."""
+    table, rej = str(tmp_path / "table"), str(tmp_path / "rej")
+    run = trades.merge_batch_fn(spark, table, rej)
+
+    def batch(*recs, bad=()):
+        data = [(None, frame(1, json.dumps(r).encode()), "t", 0, i, None) for i, r in enumerate(recs)]
+        data += [(None, b, "t", 0, 100 + i, None) for i, b in enumerate(bad)]
+        return trades.decode_trades(spark.createDataFrame(data, trades.TOPIC_RECORD_SCHEMA), trades.default_registry())
+
+    first = batch(REC, bad=[b"\x05zzzzz"])
+    run(first, 0)
+    run(first, 0)
+    assert spark.read.parquet(rej).count() == 1
+    day2 = dict(REC, transaction_timestamp_utc="2025-04-02T10:00:00", volume_traded=8)
+    run(batch(day2), 1)                                                  # a corrected time moves the row
+    run(batch(dict(REC, volume_traded=99)), 2)                           # an older copy
+    run(batch(dict(REC, transaction_timestamp_utc=None, volume_traded=5)), 3)
+    got = [(r.transaction_id, r.volume_traded) for r in trades.read_trades(spark, table).collect()]
+    assert got == [("t1", 8)]
+
+
+def test_registry_with_two_record_shapes(spark):
+    from starflow.fixtures import VENUE_SCHEMA
+    from starflow.functions.frames import PayloadSchema
+    other = {"company_id": 7, "transaction_id": "t2", "venue": "X", "customer_id": 6, "transaction_timestamp_utc": "2025-04-01T11:00:00"}
+    data = [(None, frame(1, json.dumps(REC).encode()), "t", 0, 0, None), (None, frame(3, json.dumps(other).encode()), "t", 0, 1, None)]
+    df = spark.createDataFrame(data, trades.TOPIC_RECORD_SCHEMA)
+    out = trades.decode_trades(df, {**trades.default_registry(), 3: PayloadSchema(VENUE_SCHEMA)})
+    assert rows(out.select("transaction_id", "customer_id", "volume_traded", "frame_error"), ["transaction_id"]) == [
+        ("t1", "5", "-3", None), ("t2", "6", None, None)]
