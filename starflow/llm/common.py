@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package, workspace
 
-__all__ = ["read", "staged", "blocks_for", "hash_block", "ranked", "safe_key", "components",
+__all__ = ["read", "staged", "numbered", "named", "free_name", "blocks_for", "hash_block", "ranked", "safe_key", "components",
            "ship_package", "workspace"]
 
 
@@ -26,6 +26,26 @@ def staged(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named c0, c1, ... (so that no name an operator adds can clash), and
+    the new name of each old one. :func:`named` puts the names back."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def named(names: dict[str, str], leave_out: str | None = None) -> list[Column]:
+    """The columns of :func:`numbered` under their own names."""
+    return [F.col(n).alias(c) for c, n in names.items() if leave_out is None or c.lower() != leave_out.lower()]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def blocks_for(spark: SparkSession) -> int:
     """Bits of a hash that split a group holding a third of all rows into shares of a partition."""
     return (int(spark.conf.get("spark.sql.shuffle.partitions")) // 3).bit_length()

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, ship_package
+from .common import named, numbered, read, ship_package
 
 LABELLED = 12_000
 POOL = 12_000
@@ -302,9 +302,8 @@ def _arrays(df: DataFrame):
     return ids[order], ys[order], found[0][order], found[1][order]
 
 
-def score(docs: DataFrame, model: CoTrained, text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source"):
-    """Column of struct(content double, metadata double, score double) for the rows of ``docs``."""
+def score(model: CoTrained, text_col: str = "text", lang_col: str = "lang", source_col: str = "source"):
+    """Column of struct(content double, metadata double, score double)."""
     @F.pandas_udf("content double, metadata double, score double")
     def go(text, lang, source):
         import pandas as pd
@@ -320,7 +319,7 @@ def score(docs: DataFrame, model: CoTrained, text_col: str = "text", lang_col: s
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, content_score, metadata_score, score, keep) for every document."""
     model = fit(docs, labels)
-    s = docs.select("doc_id", score(docs, model).alias("s"))
+    s = docs.select("doc_id", score(model).alias("s"))
     return s.select("doc_id", F.col("s.content").alias("content_score"), F.col("s.metadata").alias("metadata_score"),
                     F.col("s.score").alias("score"), (F.col("s.score") >= KEEP_FROM).alias("keep"))
 
@@ -328,9 +327,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with their columns as they were."""
     model = fit(docs, labels)
-    cols = docs.columns
-    s = docs.withColumn("__s", score(docs, model))
-    return s.filter(F.col("__s.score") >= KEEP_FROM).select(*[F.col(f"`{c}`") for c in cols])
+    d, names = numbered(docs)
+    s = d.withColumn("__s", score(model, names["text"], names["lang"], names["source"]))
+    return s.filter(F.col("__s.score") >= KEEP_FROM).select(*named(names))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ the target. The order, and so the sample, depends on the rows alone, not on part
 
 Edge cases: a null text has size 0; a null source is a source of its own, the last one; sources of
 size 0 have target 0 and their documents 0 copies; repeated rows are documents of their own; an
-empty table gives an empty result. Input columns stay as they are under any name; what is added is
-the struct column ``mixed``, which replaces an input column of that name.
+empty table gives an empty result. Input columns stay as they are under any name; what :func:`mix`
+adds is one struct column, which replaces an input column of its name.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_for, hash_block, ranked, read, safe_key
+from .common import blocks_for, free_name, hash_block, named, numbered, ranked, read, safe_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Expected copies are kept in units of 2^-28, so that boundaries are counted in whole numbers.
@@ -78,18 +78,18 @@ def offset(seed: int):
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: Sequence[int] = (1, 2, 3), most: int = 3, seed: int = 42) -> DataFrame:
-    """Every row of ``df`` with ``mixed``: size, source_size, target, copies and taken words.
+        weights: Sequence[int] = (1, 2, 3), most: int = 3, seed: int = 42, out: str = "mixed") -> DataFrame:
+    """Every row of ``df`` with the struct ``out``: size, source_size, target, copies, taken words.
 
     A source holding a third of all rows is spread over its size classes and hash blocks; the
     counts per block are pre-aggregated and only they are summed up along the source.
     """
-    cols = [c for c in df.columns if c != "mixed"]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    d = df.select(*cols).withColumns(
-        {"__size": F.regexp_count(text, F.lit(WORD)).cast("long"), **safe_key(F.col(source_col), "__src")})
+    d, names = numbered(df)
+    text = F.coalesce(F.col(names[text_col]), F.lit(""))
+    d = d.withColumns(
+        {"__size": F.regexp_count(text, F.lit(WORD)).cast("long"), **safe_key(F.col(names[source_col]), "__src")})
     targets = source_targets(d.select("__src_null", "__src", "__size"), weights, most)
-    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text))
+    digest = F.md5(F.concat(F.coalesce(F.col(names[id_col]).cast("string"), F.lit("")), F.lit(":"), text))
     bits = blocks_for(df.sparkSession)
     d = (d.withColumn("__h", F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long"))
           .withColumn("__rest", F.greatest(F.length(F.bin("__size")) - 5, F.lit(0)))
@@ -101,17 +101,19 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     r, i = F.col("__rate"), F.col("__rank") - 1
     low = F.pmod(offset(seed) + F.pmod(r, F.lit(UNIT)) * F.pmod(i, F.lit(UNIT)), F.lit(UNIT))
     d = d.withColumn("__copies", F.shiftright(low + r, UNIT_BITS))
-    return d.select(*cols, F.struct(
+    return d.select(*named(names, out), F.struct(
         F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"), F.col("__copies").alias("copies"),
-        (F.col("__copies") * F.col("__size")).alias("taken")).alias("mixed"))
+        (F.col("__copies") * F.col("__size")).alias("taken")).alias(out))
 
 
-def emit(mixed: DataFrame) -> DataFrame:
-    """The mix itself: each document as many times as it was drawn."""
-    cols = [c for c in mixed.columns if c != "mixed"]
-    taken = mixed.filter(F.col("mixed.copies") > 0)
-    return taken.withColumn("mixed", F.explode(F.sequence(F.lit(1), F.col("mixed.copies").cast("int")))).select(*cols)
+def draw(df: DataFrame, **how) -> DataFrame:
+    """The mix itself: each document as many times as it is drawn, with its columns as they were."""
+    name = free_name(df, "mixed")
+    d, names = numbered(mix(df, out=name, **how))
+    copies = F.col(f"{names[name]}.copies")
+    taken = d.filter(copies > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
+    return taken.select(*named(names, name))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, ship_package
+from .common import numbered, read, ship_package
 
 KINDS = ("assign", "access", "hex", "named")
 #: The base patterns and the least length of what they find.
@@ -203,19 +203,20 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def mask_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """All documents, secrets in their texts replaced, and the character count brought up to date."""
     ship_package(docs.sparkSession)
-    cols = docs.columns
+    d, names = numbered(docs)
 
     @F.pandas_udf("string")
     def clean(texts):
         return texts.map(lambda t: masked(t, scan(t)[1]) if t else t)
 
-    out = docs.withColumn("__clean", clean(F.col(text_col)))
-    changes = {text_col: F.col("__clean")}
-    if chars_col and chars_col in cols:
+    text = F.col(names[text_col])
+    d = d.withColumn("__clean", clean(text))
+    out = {text_col: F.col("__clean")}
+    if chars_col and chars_col in names:
+        n = F.col(names[chars_col])
         kind = docs.schema[chars_col].dataType
-        changes[chars_col] = F.when(F.col(text_col).eqNullSafe(F.col("__clean")), F.col(chars_col)).otherwise(
-            F.length("__clean").cast(kind))
-    return out.select(*[changes[c].alias(c) if c in changes else F.col(f"`{c}`") for c in cols])
+        out[chars_col] = F.when(text.eqNullSafe(F.col("__clean")), n).otherwise(F.length("__clean").cast(kind))
+    return d.select(*[out.get(c, F.col(n)).alias(c) for c, n in names.items()])
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

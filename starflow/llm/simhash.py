@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, read, ship_package, staged
+from .common import components, named, numbered, read, ship_package, staged
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -219,19 +219,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component: the one with the least id, of rows with that id one."""
-    cols = docs.columns
+    d, names = numbered(docs)
+    id_col, text_col = names[id_col], names[text_col]
     # rows of one id and text are told apart by nothing that matters here
-    tag = F.xxhash64(F.col(id_col), F.col(text_col))
-    tagged = docs.withColumn("__tag", tag)
+    tagged = d.withColumn("__tag", F.xxhash64(F.col(id_col), F.col(text_col)))
     near = near_duplicates(tagged, id_col, text_col, keep=["__tag"])
     group = F.struct(F.col("component_id").isNull().alias("a"), F.col("component_id").alias("b"),
                      F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("c"))
     best = near.groupBy(group.alias("g")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__tag").alias("t"))).alias("m"))
-    best = best.select(F.col("m.b").alias("__id"), F.col("m.t").alias("__tag"))
-    kept = tagged.join(best, F.col(id_col).eqNullSafe(F.col("__id")) & (tagged["__tag"] == best["__tag"]), "left_semi")
+    best = best.select(F.col("m.b").alias("__id"), F.col("m.t").alias("__t"))
+    kept = tagged.join(best, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__tag") == F.col("__t")), "left_semi")
     one = Window.partitionBy(id_col, "__tag").orderBy(F.lit(0))
-    return kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").select(*cols)
+    return kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").select(*named(names))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, ship_package
+from .common import named, numbered, read, ship_package
 
 #: (verdict, host, path): the query's rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -158,13 +158,13 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES, labelled: DataFra
         z = model.bias + hosts.map(host).to_numpy(dtype=float) + np.array([model.score("path", p) for p in paths])
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    cols = [c for c in pages.columns if c != "verdict"]
-    host, path = url_parts(F.col(url_col).cast("string"))
-    d = pages.select(*cols, host.alias("__host"), path.alias("__path"))
+    d, names = numbered(pages)
+    host, path = url_parts(F.col(names[url_col]).cast("string"))
+    d = d.withColumns({"__host": host, "__path": path})
     rule, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
     d = d.withColumns({"__rule": rule, "__ruled": verdict, "__p": blocked("__host", "__path")})
     by_model = F.when(F.col("__p") >= BLOCK_FROM, F.lit("block")).otherwise(F.lit("allow"))
-    return d.select(*cols, F.struct(
+    return d.select(*named(names, "verdict"), F.struct(
         F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"),
         F.coalesce("__ruled", by_model).alias("verdict"), F.col("__p").alias("probability")).alias("verdict"))
 

@@ -3,7 +3,7 @@ import pytest
 SF = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "size int, mixed string, verdict string, part int, fingerprint string, __x long")
+          "size int, mixed string, verdict string, part int, fingerprint string, __tag long")
 
 
 @pytest.fixture(scope="session")

@@ -82,7 +82,7 @@ def test_odd_rows(odd, none):
     want = brute([(r.doc_id, r.text, r.source) for r in odd.collect()])
     assert sorted(map(key, tuples(digest(odd)))) == sorted(map(key, want))
     assert digest(none).count() == 0
-    drawn = mix.emit(mix.mix(odd))
-    assert drawn.columns == [c for c in odd.columns if c != "mixed"]
+    drawn = mix.draw(odd)
+    assert drawn.columns == odd.columns
     copies = mix.mix(odd).agg({"mixed.copies": "sum"}).first()[0]
     assert drawn.count() == copies

@@ -21,7 +21,7 @@ def test_cotraining_on_held_out_labels(spark):
     y = dict(tuples(labels.select("doc_id", "quality")))
     test = [i for i in y if zlib.crc32(b"t%d" % i) % 3 == 0]
     model = C.fit(docs, labels.filter(~labels.doc_id.isin(test)))
-    got = dict(tuples(docs.select("doc_id", C.score(docs, model).getField("score"))))
+    got = dict(tuples(docs.select("doc_id", C.score(model).getField("score"))))
     hit = [(got[i] >= C.KEEP_FROM) == (y[i] == 1) for i in test]
     assert len(test) > 80 and np.mean(hit) > 0.97
     assert np.mean([got[i] >= C.KEEP_FROM for i in test if y[i] == 1]) > 0.98
