@@ -20,7 +20,7 @@ results are exact.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components take no part; nor do rows
 without an id; rows of one id are separate candidates, and none of them is a candidate of that id's
-own query; of vectors of other lengths than the commonest, each length is searched by itself. Ties go to
+own query, which asks once (with the least vector of its rows); of vectors of other lengths than the commonest, each length is searched by itself. Ties go to
 the smaller id. Fewer than k candidates: all. An empty table gives an empty result.
 """
 
@@ -295,43 +295,52 @@ def _top_k(v: DataFrame, q: DataFrame, dim: int, k: int) -> DataFrame:
     pages, _ = build_index(v, top, dim)
     roots = pages.groupBy("subtree").agg(F.max_by("centre", "page").alias("centre"), F.max_by("radius", "page").alias("radius"))
     n_roots = roots.count()
-    q = q.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    q = q.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
     blocks = max(1, -(-q.count() // (QUERIES // 2)))
     per_block = staged(q.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")), "queries")
 
+    id_type = q.schema["query_id"].dataType.simpleString()
+    chunks = max(1, -(-n_roots // 1024))
+    tops = roots.withColumn("chunk", F.pmod(F.xxhash64("subtree"), F.lit(chunks)).cast("int"))
+
     def reach(_, queries: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
-        """Each query's least possible distance to each subtree, the nearest marked."""
+        """Subtrees that a query has to search: the nearest of the chunk while no bound is known,
+        then all whose least possible distance is within the bound."""
+        none = pd.DataFrame({"query_id": [], "subtree": [], "low": []})
         if not len(queries) or not len(trees):
-            return pd.DataFrame({"query_id": [], "subtree": [], "low": [], "first": []})
+            return none
         trees = trees.sort_values("subtree")
+        names = trees["subtree"].to_numpy()
         z = matrix(queries["q"]).astype(float)
         d = distances(np.hstack([z, np.zeros((len(z), 1))]), np.stack(trees["centre"].to_numpy()))
         low = np.maximum(d - trees["radius"].to_numpy()[None, :], 0.0)
-        first = d.argmin(axis=1)
-        n, names = len(trees), trees["subtree"].to_numpy()
-        return pd.DataFrame({"query_id": np.repeat(queries["query_id"].to_numpy(), n), "subtree": np.tile(names, len(z)),
-                             "low": low.ravel(), "first": (np.arange(n)[None, :] == first[:, None]).ravel()})
+        if "done" not in queries:
+            at = d.argmin(axis=1)
+            return pd.DataFrame({"query_id": queries["query_id"].to_numpy(), "subtree": names[at], "low": d[np.arange(len(z)), at]})
+        least = queries["least"].to_numpy(dtype=float, na_value=np.nan)
+        limit = np.sqrt(np.maximum((z ** 2).sum(axis=1) + top - 2 * least, 0.0)) + 2 * MARGIN
+        open_ = ~(low > limit[:, None]) & (names[None, :] != queries["done"].to_numpy()[:, None])
+        row, tree = np.nonzero(open_)  # no bound known (fewer than k found): all
+        return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[row], "subtree": names[tree], "low": low[row, tree]})
+
+    def asked(queries: DataFrame) -> DataFrame:
+        # (block, chunk of subtrees): neither all queries nor all roots meet in one task
+        left = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        right = tops.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(
+            reach, f"query_id {id_type}, subtree string, low double")
 
-    # (block, chunk of subtrees): the table of roots is dealt out in chunks, never to one task
-    chunks = max(1, -(-n_roots // 1024))
-    tops = roots.withColumn("chunk", F.pmod(F.xxhash64("subtree"), F.lit(chunks)).cast("int"))
-    asked = (per_block.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).groupBy("block", "chunk")
-             .cogroup(tops.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("block", "chunk"))
-             .applyInPandas(reach, f"query_id {q.schema['query_id'].dataType.simpleString()}, subtree string, "
-                                   "low double, first boolean"))
     nearest = Window.partitionBy("query_id").orderBy("low", "subtree")
-    asked = staged(asked, "asked")
-    first = asked.filter("first").withColumn("r", F.row_number().over(nearest)).filter("r = 1").select("query_id", "subtree")
+    first = asked(per_block).withColumn("r", F.row_number().over(nearest)).filter("r = 1").select("query_id", "subtree")
+    first = staged(first, "first-subtrees")
     one = first.join(per_block, "query_id").withColumn("least", F.lit(None).cast("double"))
     found = staged(_search(pages, one, top, k), "nearest")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = found.withColumn("r", F.row_number().over(w)).filter(F.col("r") == k).select("query_id", F.col("score").cast("double").alias("least"))
-    rest = asked.join(first.withColumnRenamed("subtree", "done"), "query_id").filter("subtree <> done")
-    rest = rest.join(per_block, "query_id").join(kth, "query_id", "left")
-    norm = F.aggregate("q", F.lit(0).cast("long"), lambda a, c: a + c * c)
-    limit = F.sqrt(F.greatest(norm + F.lit(top) - 2 * F.col("least"), F.lit(0.0))) + F.lit(2 * MARGIN)
-    rest = rest.filter(F.col("least").isNull() | (F.col("low") <= limit)).select("query_id", "subtree", "q", "block", "least")
-    more = _search(pages, rest, top, k)
+    bounded = per_block.join(first.withColumnRenamed("subtree", "done"), "query_id").join(kth, "query_id", "left")
+    bounded = staged(bounded, "bounded-queries")
+    rest = asked(bounded).select("query_id", "subtree").join(bounded.drop("done"), "query_id")
+    more = _search(pages, staged(rest, "asked"), top, k)
     every = found.unionByName(more).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return every.select("query_id", "rank", "vec_id", "score")
 
