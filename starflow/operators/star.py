@@ -246,6 +246,7 @@ def weekly_keys(latest_weekly: DataFrame, industries: DataFrame, sectors: DataFr
     return w.select("symbol", "industry_id", "sector_id", "state_id")
 
 
+# The fact's output columns.
 FACT_MEASURES = [
     "load_timestamp_utc", "previous_close", "open_price", "bid_price", "bid_size", "ask_price",
     "ask_size", "day_range_low", "day_range_high", "volume", "avg_volume",

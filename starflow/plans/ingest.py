@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import snapshot_stamp
-from ..operators.load import truncate_load, upsert
+from ..operators.load import materialize, truncate_load, upsert
 from ..schemas import TableSpec
+from ..session import workspace
 from ..sources.csv import write_csv_snapshot
 from ..sources.files import snapshot_folder
 from ..sources.tables import subset
@@ -32,8 +33,9 @@ def extract_to_snapshot(pages: DataFrame, rules: Sequence[Rule], spec: TableSpec
     """
     sym = symbol if symbol is not None else F.col("page_id").cast("string")
     src = pages.withColumn("__symbol", sym)
+    # parsed once: good records and rejects are read from the staged result
     rec = extract_records(src, rules, keep=("__symbol",), load_ts=run_ts)
-    good, bad = split_rejects(rec)
+    good, bad = split_rejects(materialize(rec, "records", path=workspace(pages.sparkSession, "records")))
     fields = [r.field for r in rules]
     out = good.select(F.col("__symbol").alias(spec.names[0]),
                       F.date_format("load_timestamp_utc", "yyyy-MM-dd HH:mm:ss").alias(spec.names[1]),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators.load import high_water_filter
 
+# Output columns of the staging models.
 STG_DAILY_COLUMNS = [
     "symbol", "load_timestamp_utc", "previous_close", "open_price", "bid_price", "bid_size",
     "ask_price", "ask_size", "day_range_low", "day_range_high", "volume", "avg_volume",

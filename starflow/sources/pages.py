@@ -37,6 +37,8 @@ from .files import check_scope
 
 ERROR_COL = "error"
 
+# Elements without content of the HTML living standard and of HTML 4, and those
+# whose text is no text of the page.
 VOID_TAGS = frozenset({
     "area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
     "menuitem", "meta", "param", "source", "spacer", "track", "wbr", "basefont",
