@@ -15,8 +15,9 @@ from array import array
 from functools import lru_cache
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Pieces kept per worker; the cache is emptied when it is full.
-CACHE_PIECES = 600_000
+#: Pieces in a generation of a worker's cache. When one is full it becomes the older generation,
+#: from which pieces still in use are taken over; there are never more than two.
+CACHE_PIECES = 450_000
 
 _TWO_BLANKS = re.compile(r"\s\s")
 _SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
@@ -46,6 +47,7 @@ class _Pieces(dict):
         self.whole, self.bpe, self.most, self.blank = tokenizer.encode, tokenizer.model.tokenize, most, blank
         self.starts = starts if starts is not None else self  # pieces after a line break
         self.marks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # U+0120 is the byte-level form of a blank, U+010A that of a line break
         self.before, self.line = "\u0120" if blank else "", self._model("\u010a")
 
@@ -54,8 +56,11 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        if piece.isascii() and piece.isalpha():
+        if (known := self.older.get(piece)) is not None:
+            pass
+        elif piece.isascii() and piece.isalpha():
             known = self._model(self.before + piece)
         elif m := _LATIN.match(piece):
             word, marks = m.groups()
