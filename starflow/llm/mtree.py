@@ -39,7 +39,7 @@ from .common import read, ship_package, staged
 K = 20
 SCALE = 64
 SUBTREE = 4096
-PAGE = 64
+PAGE = 512
 QUERIES = 4096
 #: Pivots are drawn from a sample of at most this many vectors.
 SAMPLE = 20_000
@@ -136,9 +136,20 @@ class Subtree:
     pages: list[dict]
     top: float
 
+    def __post_init__(self):
+        """Leaf pages get their rows side by side."""
+        self.most = float(np.abs(self.vecs).max()) * self.vecs.shape[1] if self.vecs.size else 0.0
+        self._hold(float)
+
+    def _hold(self, kind) -> None:
+        for p in self.pages:
+            if p["level"] == 0:
+                p["rows"], p["ids"] = self.vecs[p["entries"]].astype(kind), self.ids[p["entries"]]
+
     def search(self, q: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
         """The k best (score, id) of each query among those at least as good as ``bound``."""
-        big = lifted(self.vecs, self.top)
+        if q.size and self.most * float(np.abs(q).max()) >= 2 ** 53:
+            self._hold(np.int64)  # floats would not carry these products exactly
         zq = np.hstack([q.astype(float), np.zeros((len(q), 1))])
         norms = (zq ** 2).sum(axis=1) + self.top
         # the routing vectors' distances are computed once for all queries of the block
@@ -158,19 +169,18 @@ class Subtree:
                 p = self.pages[n]
                 # |d(q, centre) - d(centre, entry)| - reach is the least distance to what is below it
                 reachable = np.abs(to_page[i, n] - p["to_parent"]) - p["reach"] <= limit + MARGIN
-                hit = p["entries"][reachable]
                 if p["level"]:
+                    hit = p["entries"][reachable]
                     lows = np.maximum(to_page[i, hit] - np.array([self.pages[e]["radius"] for e in hit]), 0.0)
                     for e, v in zip(hit.tolist(), lows.tolist()):
                         if v <= limit + MARGIN:
                             heapq.heappush(queue, (v, e))
                     continue
-                hit = hit[self.ids[hit] != own[i]]
-                if not len(hit):
-                    continue
-                scores = (self.vecs[hit] * q[i]).sum(axis=1)
-                good = scores >= least if np.isfinite(least) else np.ones(len(hit), bool)
-                for s, v in zip(scores[good].tolist(), self.ids[hit[good]].tolist()):
+                few = reachable.mean() < 0.5  # else reading the page through is cheaper
+                rows, ids = (p["rows"][reachable], p["ids"][reachable]) if few else (p["rows"], p["ids"])
+                scores = (rows @ q[i].astype(rows.dtype)).astype(np.int64)
+                good = (ids != own[i]) & (scores >= least)
+                for s, v in zip(scores[good].tolist(), ids[good].tolist()):
                     if len(best) < k:
                         heapq.heappush(best, (s, -v))
                     elif (s, -v) > best[0]:
