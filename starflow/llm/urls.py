@@ -5,7 +5,7 @@ that host and its subdomains when the url's path starts with the rule's. The lon
 fits decides. All other urls are judged by the model, from the n-grams of host and of path, each
 in slots of their own.
 
-The model is trained on the driver from a small labelled table of urls, ``SEEDS`` unless another is
+The model is trained on the driver from a small labelled table of urls, ``seeds()`` unless another is
 given (``labelled``: url, block; read up to ``MOST_LABELLED`` rows, in the order of a hash).
 
 Edge cases: a null url, or one without ``://``, has empty host and path, fits no rule and is judged
@@ -32,26 +32,38 @@ MOST_LABELLED = 5_000
 #: A url is blocked only on fairly clear evidence.
 BLOCK_FROM = 0.6
 
-#: The small labelled table: words of hosts, dealt over neutral domains and paths by `seeds`.
-BLOCK_WORDS = ["casino", "poker", "bets", "betting", "free-bets", "slots", "jackpot", "casino-win", "pills", "cheap-pills",
-               "viagra", "adult", "adult-x", "xxx", "porn", "sex", "ads", "adserver", "ads-track", "tracker", "doubleclick",
-               "popup", "spam", "spam-farm", "linkfarm", "seo-links", "malware", "phishing", "warez", "crack", "torrent",
-               "payday-loans", "get-rich", "free-money", "winner-prize", "hot-dates", "cheap-watches", "replica-bags"]
+#: The small labelled table: words dealt by `seeds` over neutral hosts and paths. They are chosen
+#: by subject, not from a table of pages.
+BLOCK_WORDS = ["casino", "poker", "betting", "slots", "jackpot", "lottery", "pills", "viagra", "adult", "porn", "sex", "ads",
+               "tracker", "popup", "spam", "malware", "phishing", "warez", "crack", "torrent", "loans", "prize", "dates",
+               "replica", "bonus", "escort", "xxx", "bets", "linkfarm", "advert", "keygen", "gambling", "cheap-watches",
+               "free-money"]
 ALLOW_WORDS = ["news", "library", "museum", "weather", "science", "history", "garden", "school", "recipes", "travel",
                "health", "books", "music", "city", "council", "research", "journal", "forum", "wiki", "docs", "archive",
                "university", "theatre", "nature", "kitchen", "maps", "radio", "gazette", "academy", "village", "ferry",
-               "planet", "stories", "letters", "market", "harbour", "thread", "tension", "theory", "station"]
+               "planet", "stories", "letters", "market", "harbour", "football"]
+#: What stands around a word, the same for both classes.
+FILLERS = ["online", "best", "shop", "tips", "page", "my", "club", "site"]
+SITES = [("", "example.com"), ("www.", "example.net"), ("m.", "example.org"), ("blog.", "site.info")]
+PLAIN_HOSTS = ["site.example.org", "www.example.com", "m.site.info", "pages.example.net"]
+PATHS = ["/{lang}/{word}", "/{word}/", "/{lang}/{word}.html", "/{word}-{n}"]
 
 
 def seeds() -> list[tuple[str, int]]:
-    """The labelled table: every word as a host under several domains, prefixes and paths."""
+    """The labelled table: every word, alone or beside a filler, in hosts with neutral paths, in
+    paths under neutral hosts, and in both."""
     out = []
     for block, words in ((1, BLOCK_WORDS), (0, ALLOW_WORDS)):
         for i, w in enumerate(words):
-            for j, (pre, top) in enumerate((("", "example.com"), ("www.", "example.net"), ("m.", "example.org"), ("blog.", "site.info"))):
-                lang = ("en", "de", "fr", "es")[(i + j) % 4]
-                end = ("", "/", ".html", "?page=2")[(i + 2 * j) % 4]
-                out.append((f"https://{pre}{w}.{top}/{lang}/{(37 * i + 11 * j) % 1000}{end}", block))
+            for k in range(4):
+                j = (i + k) % 4
+                lang, n = ("en", "de", "fr", "es")[j], (37 * i + 11 * j) % 1000
+                end, filler = ("", "/", ".html", "?page=2")[(i + 2 * j) % 4], FILLERS[(3 * i + j) % len(FILLERS)]
+                word = w if j % 2 == 0 else f"{w}-{filler}" if (i + j // 2) % 2 else f"{filler}-{w}"
+                host = f"{SITES[j][0]}{word}.{SITES[j][1]}"
+                for site, path in ((host, f"/{lang}/{n}{end}"), (PLAIN_HOSTS[(i + j) % 4], PATHS[j].format(lang=lang, n=n, word=word)),
+                                   (host, PATHS[(j + 1) % 4].format(lang=lang, n=n, word=w))):
+                    out.append((f"https://{site}{path}", block))
     return out
 
 

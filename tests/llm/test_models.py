@@ -210,6 +210,28 @@ def test_url_model_on_held_out_urls():
     assert U.train([]).probability("", "") < 0.5 and U.train([("http://a/b", 1)]).probability("a", "/b") < 0.5
 
 
+@pytest.mark.parametrize("form", ["https://{}.example.org/en/17", "https://site.example.org/en/{}", "https://unseen.example.net/a/{}/index.html"])
+def test_url_words_outside_the_table(form):
+    """Words in host or path that the labelled table does not hold, beside none that it does."""
+    bad = ["casinos", "pokerroom", "gamblers", "betting-odds", "torrents", "malware-kit", "phishing-kit", "pornhost", "sexshop", "spamlist",
+           "trackers", "adserver7", "jackpots", "lottery-win", "pills4u", "popups"]
+    good = ["newsroom", "libraries", "museum-tour", "gardeners", "schools", "musicians", "bookstore", "travellers", "archives", "forums",
+            "holiday", "computer", "bread", "doctor", "summer", "painter", "ocean", "tennis", "parliament", "philosophy"]
+    assert not {*bad, *good} & {*U.BLOCK_WORDS, *U.ALLOW_WORDS}
+    model = U.train(U.seeds())
+    blocked = lambda words: np.mean([model.probability(*U.split_url(form.format(w))) >= U.BLOCK_FROM for w in words])
+    assert blocked(bad) > 0.6 and blocked(good) < 0.2
+
+
+def test_url_words_in_the_path_only(spark):
+    pages = spark.createDataFrame([("https://site.example.org/en/casino-bonus",), ("https://site.example.org/en/library",)], "url string")
+    assert [r.verdict.verdict for r in U.judge(pages).collect()] == ["block", "allow"]
+    # no host label of the test tables is a word of the labelled table
+    urls = spark.read.parquet(f"{MID}/pages.parquet").select("url")
+    labels = {x for r in urls.collect() for x in U.split_url(r.url)[0].split(".")}
+    assert not labels & {*U.BLOCK_WORDS, *U.ALLOW_WORDS}
+
+
 def test_url_labelled_table(spark):
     table = spark.createDataFrame([("http://good.site/a", 0), ("http://evil.site/a", 1), (None, 1), ("http://evil.shop/", 1), ("http://good.shop/", 0)], "url string, block int")
     pages = spark.createDataFrame([(1, "http://evil.place/"), (2, "http://good.place/"), (2, "http://good.place/")], "page_id int, url string")
