@@ -81,14 +81,16 @@ class _Pieces(dict):
 
 
 class Encoder:
-    """Encode texts to little-endian unsigned 32-bit ids, as bytes."""
+    """Encode texts to little-endian unsigned 32-bit ids, as bytes. ``special_as_text``: the
+    strings of added tokens (``<|endoftext|>``) in a text are ordinary text; otherwise they get the
+    ids of those tokens, as the library gives them by itself."""
 
-    def __init__(self, vocabulary: str = VOCABULARY, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, vocabulary: str = VOCABULARY, cache_pieces: int = CACHE_PIECES, special_as_text: bool = True):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         starts = _Pieces(self.tokenizer, cache_pieces // 4, "")
         self.ids_of = _Pieces(self.tokenizer, cache_pieces, " ", starts).__getitem__
 
@@ -103,8 +105,8 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
-    """One encoder per Python worker. The cache makes no reference cycles, so the collector need
+    """One encoder per Python worker, with the ids of the library's plain call. The cache makes no reference cycles, so the collector need
     not walk it again and again."""
     gc.freeze()
     gc.set_threshold(100_000, 50, 1000)
-    return Encoder(vocabulary)
+    return Encoder(vocabulary, special_as_text=False)

@@ -44,6 +44,29 @@ def test_encoder_on_any_text(whole, small, parts):
     same(small, whole, "".join(parts))
 
 
+@pytest.fixture(scope="module")
+def plain():
+    """The library's own call on the vocabulary file, nothing set."""
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\x1c", "a", "The", "'s", "é", "12", ",", "...", "日本", "<|endoftext|>", "<|", "|>",
+                                 "<|endoftext|> ", " <|endoftext|>", "\n<|endoftext|>", "x.\ny", "_"]), max_size=25))
+@settings(max_examples=400, deadline=None)
+def test_added_tokens_as_in_the_plain_call(plain, parts):
+    same(Encoder(cache_pieces=50, special_as_text=False), plain, "".join(parts))
+
+
+def test_queries_give_added_tokens_their_ids(spark, plain, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "plain text"), (3, "x<|endoftext|>\n<|endoftext|>y z"), (4, "end")]
+    assert plain(rows[0][1]) == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = T.write_tokens(docs, f"file://{tmp_path}/t")
+    assert sorted(tuples(T.digest(T.read_tokens(spark, path)))) == expected_files(rows, plain)
+    check_packing(rows, [r.asDict() for r in P.pack(docs, with_ids=True).collect()], plain)
+
+
 def crc(ids):
     return zlib.crc32(array("I", ids).tobytes())
 
