@@ -7,8 +7,9 @@
 3. There a linear program chooses how often to use each pattern (a multiset of classes that fits a
    sequence). Patterns are generated as needed: a knapsack dynamic program over the classes finds
    the pattern of greatest dual value. It stops within ``gap`` of a lower bound.
-4. The counts are rounded down; what is left, a few pieces a class, goes best-fit into further
-   patterns.
+4. The counts are rounded down; a class for which the patterns hold more slots than pieces leaves
+   the slots empty. What is left, less than a pattern's pieces for each pattern, goes best-fit into
+   further patterns.
 5. Pieces are ranked within their class, and ranks are dealt out to the slots of the patterns:
    the sequence of a piece follows from its class, its rank and the plan.
 
@@ -162,11 +163,14 @@ def plan(demand: np.ndarray, lengths: np.ndarray, capacity: int, gap: float = GA
         if cost[j] == 0 or not pattern.any():
             continue
         times = int(np.floor(x[j] + 1e-6))
-        used = pattern > 0
-        times = min(times, int((left[used] // pattern[used]).min()))
-        if times > 0:
-            chosen.append((pattern.copy(), times))
-            left -= pattern * times
+        while times > 0 and pattern.any():
+            used = pattern > 0
+            fit = min(times, int((left[used] // pattern[used]).min()))
+            if fit > 0:
+                chosen.append((pattern.copy(), fit))
+                left -= pattern * fit
+                times -= fit
+            pattern = np.minimum(pattern, left)  # a class with more slots than pieces: the others go on
     return chosen + _best_fit(left, lengths, capacity)
 
 

@@ -174,6 +174,20 @@ def test_plan_covers_demand(pairs):
     assert sum(n for _, n in patterns) <= 11 / 9 * best * 1.35 + 4
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_plan_leaves_a_few_pieces_to_best_fit(seed, monkeypatch):
+    """However large the table, and where patterns hold more slots of a class than its pieces."""
+    rng = np.random.default_rng(seed)
+    m = int(rng.integers(5, 30))
+    lengths = np.sort(rng.choice(np.arange(1, 65), m, replace=False)).astype(np.int64)
+    demand = (rng.pareto(1.0, m) * 10_000 + 1).astype(np.int64)
+    left, best_fit = [], P._best_fit
+    monkeypatch.setattr(P, "_best_fit", lambda rest, *a: left.append(int(rest.sum())) or best_fit(rest, *a))
+    patterns = P.plan(demand, lengths, 64)
+    assert (sum(p * n for p, n in patterns) == demand).all()
+    assert left[0] <= m * (64 // int(lengths[0]))
+
+
 def test_best_pattern_is_best():
     lengths, value = np.array([3, 5, 7, 11]), np.array([0.21, 0.4, 0.55, 0.95])
     best = max(((a, b, c, d) for a in range(8) for b in range(5) for c in range(4) for d in range(3)
