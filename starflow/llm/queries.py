@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cotrain, langid, mix, mtree, omh, pack, secrets, simhash, tokenfiles, urls, variants
+from . import align, cotrain, disclosure, langid, mix, mtree, omh, pack, secrets, simhash, tokenfiles, urls, variants
 
 QUERIES = {
     "op1_mix_sources": mix.op1,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_language_spans": langid.op8,
     "op9_secret_scan": secrets.op9,
     "op10_pack_sequences": pack.op10,
+    "op11_token_alignment": align.op11,
+    "op12_disclosure": disclosure.op12,
     "op13_spelling_variants": variants.op13,
 }
 
