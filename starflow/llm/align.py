@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -43,33 +44,45 @@ STEPS = 1 << 15
 #: (document, id pair) entries in a block, about.
 BLOCK_PAIRS = 1_000_000
 #: Words in a generation of each tokenizer's cache in a worker; there are two generations.
-CACHE_WORDS = 120_000
+CACHE_WORDS = 200_000
 #: An id pair as one number: A id * PAIR + B id.
 PAIR = 1 << 20
 
 
 # ------------------------------------------------------------------ tokenizers
 
-class _Words(dict):
-    """Word (with the blank before it) -> its B ids as bytes, None if their bytes are not its own."""
-
-    def __init__(self, encode, raw: list[bytes], most: int):
-        super().__init__()
-        self.encode, self.raw, self.most = encode, raw, most
-        self.older: dict = {}
-
-    def __missing__(self, word: str) -> bytes | None:
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        if word in self.older:
-            known = self.older[word]
-        else:
-            ids = self.encode(word)
-            same = b"".join([self.raw[i] for i in ids]) == b" " + word.encode()
-            known = np.array(ids, dtype=np.uint32).tobytes() if same else None
-        self[word] = known
-        return known
+class _Words:
+    """Word (with the blank before it) -> its B ids as bytes, nothing if their bytes are not its own.
+    The words of a text that are not known yet are encoded in one call."""
+
+    def __init__(self, model, raw: list[bytes], most: int):
+        self.model, self.raw, self.most = model, raw, most
+        self.new: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, in order."""
+        if len(self.new) >= self.most:
+            self.older, self.new = self.new, {}
+        new, older = self.new, self.older
+        out = list(map(new.get, words))
+        if None in out:
+            for w in {w for w, known in zip(words, out) if known is None}:
+                if (known := older.get(w)) is not None:
+                    new[w] = known
+            self._learn(list({w for w, known in zip(words, out) if known is None and w not in new}))
+            out = [new[w] for w in words]
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        ids = self.model.encode(words, num_threads=1) if words else []
+        raw = self.raw
+        same = b"".join([raw[i] for each in ids for i in each]) == b" " + " ".join(words).encode()
+        for word, each in zip(words, ids):
+            if same or b"".join([raw[i] for i in each]) == b" " + word.encode():
+                self.new[word] = array("I", each).tobytes()
+            else:
+                self.new[word] = b""
 
 
 class Tokenizers:
@@ -87,7 +100,7 @@ class Tokenizers:
         raw = [bytes([int(b_model.id_to_piece(i)[3:5], 16)]) if b_model.is_byte(i)
                else b_model.id_to_piece(i).replace("▁", " ").encode() for i in range(b_model.get_piece_size())]
         self.b_len = np.array(list(map(len, raw)))
-        self.words = _Words(b_model.encode, raw, cache)
+        self.words = _Words(b_model, raw, cache)
         ids = np.arange(max(size, len(raw))).astype(np.bytes_)
         self.marked = {m: np.char.add(ids, m.encode()) for m in ",|;"}
 
@@ -98,8 +111,8 @@ class Tokenizers:
         # a piece of B never reaches over a blank between two other characters
         odd = text[0].isspace() or text[-1].isspace() or _TWO_BLANKS.search(text)
         words = _SAFE_BLANK.split(text) if odd else text.split(" ")
-        ids = [self.words[w] for w in words]
-        if None in ids:
+        ids = self.words.ids(words)
+        if b"" in ids:
             return None
         a, b = np.frombuffer(self.a.encode(" " + text), dtype=np.uint32), np.frombuffer(b"".join(ids), dtype=np.uint32)
         return (a, b) if self.a_len[a].sum() == self.b_len[b].sum() else None
@@ -155,11 +168,17 @@ def _listed(tok: Tokenizers, a, a_group, b, b_group, groups: int) -> bytes:
     last = np.zeros(len(b), dtype=bool)
     last[np.cumsum(of_b) - 1] = True
     out[np.arange(len(b)) + np.cumsum(of_a)[b_group]] = np.where(last, tok.marked[";"][b], tok.marked[","][b])
-    return out.tobytes().replace(b"\0", b"")[:-1]
+    return _unpadded(out)[:-1]
+
+
+def _unpadded(out: np.ndarray) -> bytes:
+    """The texts of an array, one after the other."""
+    chars = out.view(np.uint8)
+    return chars[chars != 0].tobytes()
 
 
 def _plain(tok: Tokenizers, ids) -> bytes:
-    return tok.marked[","][ids].tobytes().replace(b"\0", b"")
+    return _unpadded(tok.marked[","][ids])
 
 
 def align_piece(tok: Tokenizers, a, b, a_own: int, b_own: int, a_start: int, b_start: int) -> dict:
