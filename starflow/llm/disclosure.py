@@ -186,41 +186,57 @@ def _near_entities(docs: DataFrame, id_col: str, text_col: str, window: int) ->
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(go, ddl)
 
 
-def _corpus_terms(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
-    """(t, df): number of documents that hold each of ``terms`` (words, or general forms ending in *).
-
-    A text's words are made distinct in the row, and counted with partial aggregation. Where Spark
-    finds the table of terms small enough to broadcast, it drops other words before they are counted.
-    """
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(r"(?U)\w{4,}"), F.lit(0)))
-    forms = F.array_distinct(F.transform(words, lambda w: F.concat(F.substring(w, 1, KEPT_CHARS), F.lit("*"))))
-    each = docs.select(F.explode(F.concat(words, forms)).alias("t"))
+def _words_of(text_col: str):
+    """The distinct words of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(r"(?U)\w{4,}"), F.lit(0)))
+
+
+def _corpus_words(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
+    """(t, df): number of documents that hold each of the words ``terms``. Where Spark finds that
+    table small enough to broadcast, it drops other words before they are counted."""
+    each = docs.select(F.explode(_words_of(text_col)).alias("t"))
     return each.groupBy("t").agg(F.count(F.lit(1)).alias("df")).join(terms, "t", "left_semi")
 
 
+def _corpus_forms(docs: DataFrame, text_col: str) -> DataFrame:
+    """(t, df): number of documents that hold a word of each general form; there are few forms."""
+    forms = F.array_distinct(F.transform(_words_of(text_col), _form))
+    return docs.select(F.explode(forms).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _form(word):
+    return F.concat(F.substring(word, 1, KEPT_CHARS), F.lit("*"))
+
+
 def disclosing(docs: DataFrame, near: DataFrame, text_col: str = "text", share: float = SHARE,
                contexts: int = CONTEXTS) -> DataFrame:
     """(e, t, kind) of the terms that disclose an entity, kind ``general`` or ``remove``.
 
-    ``near`` is (uid, e, t, c): document, entity, term and context of every occurrence."""
+    ``near`` is (uid, e, t, c): document, entity, term and context of every occurrence. A word is
+    counted over the corpus only if it could reach ``share`` were it in no document but those where it
+    stands near an entity: ``df`` can only be higher, and the share lower."""
     total = F.lit(docs.count())
-    both = near.unionByName(near.withColumn("t", F.concat(F.substring("t", 1, KEPT_CHARS), F.lit("*"))))
-    # first distinct contexts and documents of a pair, then their numbers: partial counts at both steps
-    seen = both.groupBy("e", "t", "c").agg(F.lit(1).alias("x")).groupBy("e", "t").agg(F.count(F.lit(1)).alias("contexts"))
-    seen = seen.filter(F.col("contexts") >= contexts)
-    held = both.groupBy("e", "t", "uid").agg(F.lit(1).alias("x")).groupBy("e", "t").agg(F.count(F.lit(1)).alias("df_et"))
-    pairs = staged(held.join(seen, ["e", "t"]), "pairs")
-    df_e = near.groupBy("e", "uid").agg(F.lit(1).alias("x")).groupBy("e").agg(F.count(F.lit(1)).alias("df_e"))
-    terms = staged(pairs.select("t").distinct(), "terms")
-    df_t = staged(_corpus_terms(docs, text_col, terms), "term-counts")
-    told = pairs.join(df_e, "e").join(df_t, "t")
-    pmi = F.log2(total * F.col("df_et") / (F.col("df_e") * F.col("df")))
-    # an entity that every document holds has no information to disclose: null
-    told = told.withColumn("share", F.try_divide(pmi, F.log2(total / F.col("df_e")))).select("e", "t", "share")
-    told = staged(told, "shares")
-    words = told.filter(~F.col("t").endswith("*") & (F.col("share") >= share))
-    forms = told.filter(F.col("t").endswith("*")).select("e", F.col("t").alias("form"), F.col("share").alias("form_share"))
-    words = words.withColumn("form", F.concat(F.substring("t", 1, KEPT_CHARS), F.lit("*")))
+
+    def told(pairs: DataFrame, df: str):
+        """Share of the entity's information: null for one that every document holds."""
+        pmi = F.log2(total * F.col("df_et") / (F.col("df_e") * F.col(df)))
+        return pairs.withColumn("share", F.try_divide(pmi, F.log2(total / F.col("df_e"))))
+
+    def distinct_count(rows: DataFrame, by: list[str], what: str, name: str):
+        # distinct first, then counted: partial aggregation at both steps
+        return rows.groupBy(*by, what).agg(F.lit(1).alias("x")).groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+
+    both = near.unionByName(near.withColumn("t", _form(F.col("t"))))
+    seen = distinct_count(both, ["e", "t"], "c", "contexts").filter(F.col("contexts") >= contexts)
+    df_e = distinct_count(near, ["e"], "uid", "df_e")
+    pairs = staged(distinct_count(both, ["e", "t"], "uid", "df_et").join(seen, ["e", "t"]).join(df_e, "e"), "pairs")
+    is_form = F.col("t").endswith("*")
+    least = distinct_count(near, ["t"], "uid", "df_near")
+    words = staged(told(pairs.filter(~is_form).join(least, "t"), "df_near").filter(F.col("share") >= share).drop("share"), "words")
+    df_w = staged(_corpus_words(docs, text_col, staged(words.select("t").distinct(), "terms")), "word-counts")
+    words = told(words.join(df_w, "t"), "df").filter(F.col("share") >= share).select("e", "t", _form(F.col("t")).alias("form"))
+    forms = told(pairs.filter(is_form).join(_corpus_forms(docs, text_col), "t"), "df").select(
+        "e", F.col("t").alias("form"), F.col("share").alias("form_share"))
     kind = F.when(F.col("form_share") < share, "general").otherwise("remove")
     return words.join(forms, ["e", "form"]).select("e", "t", kind.alias("kind"))
 
