@@ -206,6 +206,9 @@ ORDERS_SPEC = TableSpec(
     key=("o_orderkey",),
 )
 
+# The same columns without a declared key: what is appended may repeat.
+ORDERS_LOG_SPEC = TableSpec("orders_log", ORDERS_SPEC.columns)
+
 # The upsert target: a json column, and partitions that move and may be null.
 NOTED_SPEC = TableSpec("orders_noted", (*ORDERS_SPEC.columns, Column("note", "json")), key=("o_orderkey",))
 

@@ -1,7 +1,7 @@
 """Load operations: truncate-load, append, replace, keyed upsert, incremental.
 
-Targets are parquet folders (optionally partitioned). Parquet has no MERGE: the
-upsert stages the batch, finds the target rows of its keys in one join, rebuilds
+Targets are published tables in buckets of their key (:mod:`.tables`), or parquet folders, optionally
+partitioned. Parquet has no MERGE: the upsert of a folder stages the batch, finds the target rows of its keys in one join, rebuilds
 only the partitions that hold a changed key and swaps them in, then appends the
 rest. The swap is not atomic across partitions: after a failed run, running the
 same batch again gives the whole table.
@@ -20,7 +20,8 @@ from ..functions.casts import schema_cast
 from ..schemas import TableSpec
 from ..session import remove_folder, workspace
 from ..sources.csv import read_positional_csv
-from .checks import assert_keys
+from . import tables
+from .checks import KeyViolation, assert_keys
 
 OPERATIONS = ("append", "replace", "upsert")
 
@@ -66,13 +67,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 def truncate_load(spark: SparkSession, csv_path: str | list[str], spec: TableSpec,
                   target_path: str, **options) -> str:
-    """Empty the ingress table and load CSV files into it, columns by position.
+    """Empty the ingress table and load CSV files into it, columns by position, as one step.
 
-    ``options`` go to the reader, e.g. ``multiLine=False`` where no cell holds a line break (files
-    are then read in splits).
+    The rows are written aside and published (:mod:`.tables`): readers (``tables.read``) see the old
+    rows until all new ones are there. Columns declared NOT NULL are checked on the way. ``options``
+    go to the reader, e.g. ``multiLine=False`` where no cell holds a line break (files are then
+    read in splits).
     """
     df = read_positional_csv(spark, csv_path, spec, text=True, **options)
-    return write_table(df, target_path, "overwrite")
+    tables.replace(spark, df, target_path, spec, key=(), cast_mode=None)
+    return target_path
 
 
 def _same(a: str, b: str, cols: Iterable[str]) -> Column:
@@ -240,24 +244,31 @@ def merge_table(source: DataFrame, table: str, spec: TableSpec,
 
 def load(spark: SparkSession, operation: str, source: DataFrame, target_path: str,
          spec: TableSpec, key=None, partition_by=None, cast_mode: str = "strict",
-         check: bool = False) -> str:
+         check: bool = True, buckets: int | None = None) -> str:
     """Move an ingress table into the typed layer by ``append``, ``replace`` or ``upsert``.
 
-    ``check`` holds the rows of an append or replace against the declared key and NOT NULL columns
-    before anything is written (an append: against the key of what is stored, too). An upsert
-    always checks its batch.
+    The target is a published table in buckets of its key (:mod:`.tables`; read it with
+    ``tables.read``), or, with ``partition_by``, a parquet folder in those partitions. Unless
+    ``check`` is off, rows are held against the declared key and NOT NULL columns, an append also
+    against the keys that are stored; a batch that breaks them leaves the target as it was.
     """
     if operation not in OPERATIONS:
         raise ValueError(f"invalid operation {operation!r}: must be 'append', 'replace' or 'upsert'")
+    if not partition_by:
+        how = {"append": tables.append, "replace": tables.replace, "upsert": tables.merge}[operation]
+        how(spark, source, target_path, spec, key, cast_mode, check=check, buckets=buckets)
+        return target_path
     if operation == "upsert":
-        return upsert(spark, source, target_path, spec, key, partition_by, cast_mode=cast_mode)
+        return upsert(spark, source, target_path, spec, key, partition_by, check, cast_mode)
     df = schema_cast(source, spec, cast_mode)
+    key = list(key or spec.key)
     if check:
-        checked = df
-        stored = open_table(spark, target_path, df.schema) if operation == "append" else None
+        assert_keys(df, key, spec.not_null)
+        stored = open_table(spark, target_path, df.schema) if operation == "append" and key else None
         if stored is not None:
-            checked = df.unionByName(stored)
-        assert_keys(checked, list(key or spec.key), spec.not_null)
+            known = stored.select(*key).join(df.select(*key), key, "left_semi").count()
+            if known:
+                raise KeyViolation(f"key {key} violated: {known} stored rows have a key of the batch")
     return write_table(df, target_path, "append" if operation == "append" else "overwrite", partition_by)
 
 

@@ -8,6 +8,8 @@ single join on its symbol, so that AQE's skew join can split a hot symbol.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,32 +44,51 @@ def _slice_number(df: DataFrame, order_col: str):
     return oc.cast("double")
 
 
+#: Values drawn: for each cut (a slice's share then varies by about a third), and at least.
+DRAWN_A_CUT, LEAST_DRAWN = 8, 100_000
+
+
 def slice_cuts(df: DataFrame, order_col: str, slices: int | None = None) -> list[float]:
     """Sorted cut points at quantiles of ``order_col``, ``slices`` or one per shuffle partition.
 
-    One sampling pass over that column; only the cuts reach the driver. Nulls and NaN are left out.
+    The quantiles are those of a random draw of about ``DRAWN_A_CUT`` values a cut (30 MB for half a
+    million cuts), which is all that reaches the driver; where cuts lie matters for balance only. Nulls and NaN are
+    left out.
     """
     n = max(2, slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    probe = df.select(_slice_number(df, order_col).alias("__o")).filter(~F.isnan("__o"))
-    cuts = probe.approxQuantile("__o", [i / n for i in range(1, n)], 1.0 / (4 * n))
-    return sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
+    probe = df.select(_slice_number(df, order_col).alias("__o")).filter("__o is not null and not isnan(__o)")
+    share = max(DRAWN_A_CUT * n, LEAST_DRAWN) / max(1, probe.count())
+    drawn = probe.sample(share, seed=17) if share < 1 else probe
+    values = sorted(drawn.toArrow()["__o"].to_pylist())
+    cuts = {values[i * len(values) // n] for i in range(1, n)} if values else set()
+    return sorted(c for c in cuts if c not in (float("-inf"), float("inf")))
+
+
+#: Cuts compared at once by :func:`slice_index`.
+FAN = 64
 
 
 def slice_index(num, cuts: list[float]):
     """How many of the sorted ``cuts`` lie at or below ``num`` (null: 0; NaN: all).
 
-    Searched in two steps over about sqrt(n) cuts each, with built-in functions.
+    The cuts are one array value in the plan, however many they are, and so is every ``FAN``-th of
+    them, and so on; the search goes down through ``FAN`` values a level with built-in functions.
     """
     if not cuts:
         return F.lit(0)
     num = F.coalesce(num.cast("double"), F.lit(float("-inf")))
-    step = max(1, int(len(cuts) ** 0.5))
-    parts = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-    heads = F.array(*[F.lit(p[0]) for p in parts])
-    block = F.size(F.filter(heads, lambda c: c <= num))
-    inner = F.get(F.array(*[F.array(*[F.lit(c) for c in p]) for p in parts]), F.greatest(block - 1, F.lit(0)))
-    below = F.greatest(block - 1, F.lit(0)) * step
-    return (below + F.size(F.filter(inner, lambda c: c <= num))).cast("int")
+    levels = [cuts]
+    while len(levels[-1]) > FAN:
+        levels.append(levels[-1][::FAN])
+    found = None
+    for level in reversed(levels):
+        values = F.from_json(F.lit(json.dumps(level)), "array<double>")  # folded to one value
+        if found is None:
+            found = F.size(F.filter(values, lambda c: c <= num))
+        else:
+            start = F.greatest(found - 1, F.lit(0)) * FAN
+            found = start + F.size(F.filter(F.slice(values, start + 1, FAN), lambda c: c <= num))
+    return found.cast("int")
 
 
 def time_slices(df: DataFrame, order_col: str, slices: int | None = None,
@@ -175,7 +196,9 @@ def refresh_intervals_table(spark, path: str, new_rows: DataFrame, key: str,
 
     Rows that come in order meet only the open row of their key: it is closed, and the closed row
     goes to the partition of that day; open rows are rewritten, one a key. Only keys with a late or
-    reloaded row (not after their open row) have their whole history recomputed. Closed partitions
+    reloaded row (not after their open row) have history recomputed, from their earliest new row on:
+    intervals that end at or before it stay as they are, so only partitions from the least such day
+    on are read (none, if nothing is late). Closed partitions
     are swapped in first and open rows last, so a run that failed in between can be repeated: it
     computes the same closed rows again and replaces them. The key may be null.
     """
@@ -192,10 +215,13 @@ def refresh_intervals_table(spark, path: str, new_rows: DataFrame, key: str,
     touched = new.groupBy(key).agg(F.min(from_col).alias("__least"))
     open_rows = table.filter(F.col(CLOSED_ON).isNull())
     held = open_rows.alias("o").join(touched.alias("n"), F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")))
-    late = held.filter(F.col(f"o.{from_col}") >= F.col("n.__least")).select(F.col(f"o.{key}").alias(key))
-    closed = table.filter(F.col(CLOSED_ON).isNotNull())
-    old = held.select(*[F.col(f"o.{c}") for c in table.columns]).unionByName(
-        null_safe_join(closed, late, [key], "left_semi"))
+    late = held.filter(F.col(f"o.{from_col}") >= F.col("n.__least")).select(F.col(f"o.{key}").alias(key), "__least")
+    old = held.select(*[F.col(f"o.{c}") for c in table.columns])
+    since = late.agg(F.min(_closed_on("__least"))).first()[0]  # one value: the first day to read
+    if since is not None:
+        closed = table.filter(F.col(CLOSED_ON) >= F.lit(since)).alias("c").join(
+            late.alias("l"), F.col(f"c.{key}").eqNullSafe(F.col(f"l.{key}")) & (F.col(f"c.{to_col}") > F.col("l.__least")))
+        old = old.unionByName(closed.select(*[F.col(f"c.{c}") for c in table.columns]))
     was = workspace(spark, "old-intervals")
     write_table(old, was)
     old = spark.read.schema(old.schema).parquet(was)

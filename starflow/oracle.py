@@ -174,13 +174,13 @@ SCD_REFRESH = (SCD_INTERVALS.replace("SELECT c.company_id", "SELECT w.symbol, c.
                + " AND c.company_id % 5 <> 0")
 DIM_COMPANIES = """SELECT c_custkey AS company_id, CAST(c_custkey AS VARCHAR) AS company_symbol, c_name AS company_name
 FROM customer"""
-DIM_INDUSTRIES = "SELECT CAST(n_nationkey AS BIGINT) AS industry_id, n_name AS industry_name FROM nation"
+DIM_INDUSTRIES = "SELECT CAST(s_suppkey AS BIGINT) AS industry_id, s_name AS industry_name FROM supplier"
 FACT_VIEW = f"SELECT * FROM ({STAR_FACT}) WHERE company_id IS NOT NULL"
 
-DIM_MARTS = """SELECT n_nationkey AS state_id, 'N' || CAST(n_nationkey AS VARCHAR) AS state_symbol,
-       n_name AS state_name FROM nation"""
+DIM_MARTS = """SELECT CAST(c_custkey AS INTEGER) AS state_id, 'N' || CAST(c_nationkey AS VARCHAR) AS state_symbol,
+       c_name AS state_name FROM customer"""
 
-SEED_DIMENSION = "SELECT r_regionkey AS sector_id, r_name AS sector_name FROM region"
+SEED_DIMENSION = "SELECT CAST(p_partkey AS INTEGER) AS sector_id, trim(p_name) AS sector_name FROM part"
 
 STG_DAILY = f"WITH {DAILY_LI} {stg_daily_sql('daily_li')}"
 STG_DAILY_INCREMENTAL = f"""SELECT * FROM ({STG_DAILY}) WHERE load_timestamp_utc >
@@ -254,6 +254,7 @@ ORDERS_TYPED = """SELECT o_orderkey, o_custkey, o_orderstatus,
 FROM orders"""
 
 LOAD_APPEND = f"{ORDERS_TYPED} WHERE o_orderkey % 2 = 0 UNION ALL {ORDERS_TYPED} WHERE o_orderkey % 3 = 0"
+APPEND_KEYED = ORDERS_TYPED
 LOAD_REPLACE = """SELECT o_orderkey, o_custkey, o_orderstatus,
        CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderkey % 2 = 1"""
@@ -419,8 +420,10 @@ ORACLE: dict[str, str] = {
     "csv_positional_scan": CSV_POSITIONAL_SCAN,
     "truncate_load": TRUNCATE_LOAD,
     "load_append": LOAD_APPEND,
+    "append_keyed": APPEND_KEYED,
     "load_replace": LOAD_REPLACE,
     "upsert_merge": UPSERT_MERGE,
+    "upsert_partitioned": UPSERT_MERGE,
     "incremental_append": INCREMENTAL_APPEND,
     "high_water_filter": HIGH_WATER_FILTER,
     "symbol_subset": SYMBOL_SUBSET,
@@ -444,7 +447,7 @@ ORACLE: dict[str, str] = {
     "stg_daily_incremental": STG_DAILY_INCREMENTAL,
     "symbol_list": SYMBOL_LIST,
     "archive_load": ARCHIVE_LOAD,
-    "newest_snapshot": DIM_MARTS,
+    "newest_snapshot": TRUNCATE_LOAD,
     "refusals": REFUSALS,
     "quote_rules": QUOTE_RULES,
     "profile_rules": PROFILE_RULES,

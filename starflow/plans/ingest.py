@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import snapshot_stamp
+from ..operators import tables
 from ..operators.load import materialize, truncate_load, upsert
 from ..schemas import TableSpec
 from ..session import workspace
@@ -68,7 +69,7 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule], s
     folder, rejects = extract_to_snapshot(pages, rules, spec, root, scope, run_ts, F.col("__sym"))
     truncate_load(spark, folder, spec, ingress_path)
     derive = {LOAD_DATE: F.to_date(F.col(spec.names[1]))} if by_load_day else None
-    upsert(spark, spark.read.parquet(ingress_path), ods_path, spec,
+    upsert(spark, tables.read(spark, ingress_path), ods_path, spec,
            partition_by=[LOAD_DATE] if by_load_day else None, derive=derive)
     return ods_path, rejects
 

@@ -17,7 +17,7 @@ from . import fixtures as fx
 from .functions import text as X
 from .functions.casts import load_day, load_day_text, schema_cast
 from .functions.frames import PayloadSchema, encode_frame, split_frames
-from .operators import checks, load, star
+from .operators import checks, load, star, tables
 from .plans import ingest, marts, staging
 from .schemas import SEED_SECTORS, SEED_STATES, Column, TableSpec
 from .session import apply_defaults, workspace
@@ -74,24 +74,24 @@ def scd_intervals(spark, sf):
 
 
 def dim_marts(spark, sf):
-    """Nation → seed CSV → states dimension mart."""
+    """Customer → seed CSV with stray blanks → states dimension mart."""
     apply_defaults(spark)
     seed_dir = workspace(spark, "seed-states")
-    n = fx.table(spark, sf, "nation")
-    seed = n.select(F.col("n_nationkey").alias("state_id"),
-                    F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("state_symbol"),
-                    F.concat(F.col("n_name"), F.lit(" ")).alias("state_name"))
+    c = fx.table(spark, sf, "customer")
+    seed = c.select(F.col("c_custkey").alias("state_id"),
+                    F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("state_symbol"),
+                    F.concat(F.col("c_name"), F.lit(" ")).alias("state_name"))
     write_csv_snapshot(seed, seed_dir)
     return marts.dim_states(read_seed(spark, seed_dir, SEED_STATES))
 
 
 def seed_dimension(spark, sf):
-    """Region → seed CSV with stray blanks → sectors dimension."""
+    """Part → seed CSV with stray blanks → sectors dimension."""
     apply_defaults(spark)
     seed_dir = workspace(spark, "seed-sectors")
-    r = fx.table(spark, sf, "region")
-    write_csv_snapshot(r.select(F.col("r_regionkey").alias("sector_id"),
-                                F.concat(F.lit(" "), F.col("r_name")).alias("sector_name")),
+    p = fx.table(spark, sf, "part")
+    write_csv_snapshot(p.select(F.col("p_partkey").alias("sector_id"),
+                                F.concat(F.lit(" "), F.col("p_name")).alias("sector_name")),
                        seed_dir)
     return marts.dim_sectors(read_seed(spark, seed_dir, SEED_SECTORS))
 
@@ -110,8 +110,8 @@ def dim_companies(spark, sf):
 
 
 def dim_industries(spark, sf):
-    """Nation → seed CSV → industries dimension mart."""
-    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("industry_id"), F.col("n_name").alias("industry_name"))
+    """Supplier → seed CSV → industries dimension mart."""
+    n = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("industry_id"), F.col("s_name").alias("industry_name"))
     return marts.dim_industries(_through_seed(spark, n, T.StructType([
         T.StructField("industry_id", T.LongType()), T.StructField("industry_name", T.StringType())])))
 
@@ -211,10 +211,13 @@ def schema_cast_q(spark, sf):
 # ------------------------------------------------------------------ loads
 
 
-def _typed_orders_path(spark, sf, name, pred, op="replace", path=None):
-    path = path or workspace(spark, name)
-    src = fx.orders_text(spark, sf).filter(pred)
-    load.load(spark, op, src, path, fx.ORDERS_SPEC)
+#: Buckets of the published tables in these queries.
+BUCKETS = 16
+
+
+def _typed_orders_path(spark, sf, name, pred, spec=fx.ORDERS_SPEC):
+    path = workspace(spark, name)
+    load.load(spark, "replace", fx.orders_text(spark, sf).filter(pred), path, spec, buckets=BUCKETS)
     return path
 
 
@@ -250,16 +253,27 @@ def truncate_load(spark, sf):
     target = workspace(spark, "ingress-orders")
     load.truncate_load(spark, a, fx.ORDERS_SPEC, target, multiLine=False)
     load.truncate_load(spark, b, fx.ORDERS_SPEC, target, multiLine=False)
-    return spark.read.parquet(target)
+    return tables.read(spark, target)
 
 
 def load_append(spark, sf):
-    """Even keys, then keys divisible by 3 appended: keys in both stay twice."""
+    """Even keys, then keys divisible by 3 appended to a table without a declared key: keys in both
+    stay twice."""
     apply_defaults(spark)
     key = F.col("o_orderkey").cast("bigint")
-    path = _typed_orders_path(spark, sf, "append", key % 2 == 0)
-    load.load(spark, "append", fx.orders_text(spark, sf).filter(key % 3 == 0), path, fx.ORDERS_SPEC)
-    return spark.read.parquet(path)
+    path = _typed_orders_path(spark, sf, "append", key % 2 == 0, fx.ORDERS_LOG_SPEC)
+    load.load(spark, "append", fx.orders_text(spark, sf).filter(key % 3 == 0), path, fx.ORDERS_LOG_SPEC)
+    return tables.read(spark, path)
+
+
+def append_keyed(spark, sf):
+    """Odd keys appended to the even ones: the declared key is held against the stored keys of the
+    buckets that the batch falls in."""
+    apply_defaults(spark)
+    key = F.col("o_orderkey").cast("bigint")
+    path = _typed_orders_path(spark, sf, "append-keyed", key % 2 == 0)
+    load.load(spark, "append", fx.orders_text(spark, sf).filter(key % 2 == 1), path, fx.ORDERS_SPEC)
+    return tables.read(spark, path)
 
 
 def load_replace(spark, sf):
@@ -267,25 +281,46 @@ def load_replace(spark, sf):
     apply_defaults(spark)
     path = _typed_orders_path(spark, sf, "replace", F.lit(True))
     odd = fx.orders_text(spark, sf, price_bump=lambda p: p + 1).filter(F.col("o_orderkey").cast("bigint") % 2 == 1)
-    load.load(spark, "replace", odd, path, fx.ORDERS_SPEC, check=True)
-    return spark.read.parquet(path)
+    load.load(spark, "replace", odd, path, fx.ORDERS_SPEC, buckets=BUCKETS)
+    return tables.read(spark, path)
+
+
+def _upsert_batches(spark, sf):
+    key = F.col("o_orderkey").cast("bigint")
+    first = fx.noted(fx.orders_text(spark, sf).filter(key % 2 == 0))
+    raised = fx.orders_text(spark, sf, price_bump=lambda p: p + 1).filter(key % 4 == 0)
+    second = fx.noted(fx.orders_text(spark, sf).filter((key % 2 == 1) | (key % 12 == 2))).unionByName(fx.noted(raised, days=400))
+    return first, second
+
+
+def _order_year():
+    return {"order_year": F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate"))}
+
+
+def _noted_rows(t):
+    return t.select(*fx.ORDERS_SPEC.names, F.to_json("note").alias("note"), F.col("order_year").cast("int").alias("order_year"))
 
 
 def upsert_merge(spark, sf):
     """Target: even keys. Source: odd keys (inserts), keys divisible by 4 with the price raised by 1
-    (updates), of these keys divisible by 8 moved by 400 days to another partition, and keys with
-    remainder 2 by 12 unchanged. Partitioned by order year, null for status P; one json column."""
+    (updates), of these keys divisible by 8 moved by 400 days, and keys with remainder 2 by 12
+    unchanged. The table lies in buckets of its key; one json column."""
     apply_defaults(spark)
-    key = F.col("o_orderkey").cast("bigint")
-    derive = {"order_year": F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate"))}
+    first, second = _upsert_batches(spark, sf)
     path = workspace(spark, "upsert")
-    load.upsert(spark, fx.noted(fx.orders_text(spark, sf).filter(key % 2 == 0)), path, fx.NOTED_SPEC,
-                partition_by=["order_year"], derive=derive)
-    src = (fx.noted(fx.orders_text(spark, sf).filter((key % 2 == 1) | (key % 12 == 2)))
-           .unionByName(fx.noted(fx.orders_text(spark, sf, price_bump=lambda p: p + 1).filter(key % 4 == 0), days=400)))
-    load.upsert(spark, src, path, fx.NOTED_SPEC, partition_by=["order_year"], derive=derive)
-    t = spark.read.parquet(path)
-    return t.select(*fx.ORDERS_SPEC.names, F.to_json("note").alias("note"), F.col("order_year").cast("int").alias("order_year"))
+    tables.replace(spark, first, path, fx.NOTED_SPEC, derive=_order_year(), buckets=BUCKETS)
+    tables.merge(spark, second, path, fx.NOTED_SPEC, derive=_order_year())
+    return _noted_rows(tables.read(spark, path))
+
+
+def upsert_partitioned(spark, sf):
+    """The same merge into a parquet folder partitioned by order year, null for status P: rows move
+    between partitions."""
+    apply_defaults(spark)
+    path = workspace(spark, "upsert-years")
+    for batch in _upsert_batches(spark, sf):
+        load.upsert(spark, batch, path, fx.NOTED_SPEC, partition_by=["order_year"], derive=_order_year())
+    return _noted_rows(spark.read.parquet(path))
 
 
 CUTOFF = "2000-01-01 00:00:00"
@@ -315,15 +350,16 @@ def archive_load(spark, sf):
 
 
 def newest_snapshot(spark, sf):
-    """Two snapshots of nation under one prefix; the newest file is the one that is loaded."""
+    """Snapshots of orders under one prefix, each of several parts: an older one, the newest whole
+    one, and a newer one that was not finished. The newest whole one is loaded, with all its parts."""
     apply_defaults(spark)
-    root = workspace(spark, "nation-snapshots")
-    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("state_id"),
-                                            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("state_symbol"),
-                                            F.col("n_name").alias("state_name"))
-    write_csv_snapshot(n.filter("state_id < 10"), files.snapshot_folder(root, "daily", "20240101-190000"))
-    write_csv_snapshot(n, files.snapshot_folder(root, "daily", "20240102-190000"))
-    return read_seed(spark, files.newest_file(spark, root, "*.csv"), SEED_STATES)
+    root = workspace(spark, "order-snapshots")
+    txt, key = fx.orders_text(spark, sf), F.col("o_orderkey").cast("bigint")
+    spread = lambda df: df.repartition(4, "o_orderkey")  # noqa: E731 - several parts
+    write_csv_snapshot(spread(txt.filter(key % 5 == 0)), files.snapshot_folder(root, "daily", "20240101-190000"))
+    write_csv_snapshot(spread(txt.filter(key % 3 != 0)), files.snapshot_folder(root, "daily", "20240102-190000"))
+    spread(txt).write.option("header", "true").csv(files.snapshot_folder(root, "daily", "20240103-190000"))  # no marker
+    return read_positional_csv(spark, files.newest_snapshot(spark, root), fx.ORDERS_SPEC, multiLine=False)
 
 
 def refusals(spark, sf):
@@ -340,13 +376,13 @@ def refusals(spark, sf):
             outcome = "written"
         except (ValueError, checks.KeyViolation) as e:
             outcome = type(e).__name__
-        return name, outcome, spark.read.parquet(path).count()
+        return name, outcome, tables.read(spark, path).count()
 
     spec = fx.ORDERS_SPEC
-    out = [run("append of stored keys", lambda: load.load(spark, "append", txt, path, spec, check=True)),
-           run("replace by doubled keys", lambda: load.load(spark, "replace", doubled, path, spec, check=True)),
+    out = [run("append of stored keys", lambda: load.load(spark, "append", txt, path, spec)),
+           run("replace by doubled keys", lambda: load.load(spark, "replace", doubled, path, spec)),
            run("upsert of doubled keys", lambda: load.load(spark, "upsert", doubled, path, spec)),
-           run("append of null keys", lambda: load.load(spark, "append", null_key, path, spec, check=True)),
+           run("append of null keys", lambda: load.load(spark, "append", null_key, path, spec)),
            run("unknown operation", lambda: load.load(spark, "update", txt, path, spec)),
            run("unknown scope", lambda: files.check_scope("monthly"))]
     return spark.createDataFrame(out, "case string, outcome string, rows_after long")
@@ -610,8 +646,10 @@ _QUERIES: dict[str, Query] = {
     "csv_positional_scan": csv_positional_scan,
     "truncate_load": truncate_load,
     "load_append": load_append,
+    "append_keyed": append_keyed,
     "load_replace": load_replace,
     "upsert_merge": upsert_merge,
+    "upsert_partitioned": upsert_partitioned,
     "incremental_append": incremental_append,
     "high_water_filter": high_water_filter,
     "symbol_subset": symbol_subset,

@@ -8,7 +8,7 @@ inside a quoted cell is an escaped quote; quoted cells may span lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,9 +61,16 @@ def read_seed(spark: SparkSession, path: str | list[str], schema: T.StructType)
 def write_csv_snapshot(df: DataFrame, folder: str) -> str:
     """Timestamped CSV snapshot with a header and no index column.
 
-    Every task writes its own parts, of a bounded number of rows; readers take the folder.
+    Every task writes its own parts, of a bounded number of rows; readers take the folder. When all
+    parts are there a marker beside the folder says so, with their number and the rows counted on
+    their way (``files.newest_snapshot`` takes only snapshots with a marker that fits).
     """
-    (df.write.mode("errorifexists").option("header", "true").option("maxRecordsPerFile", "1000000")
-        .option("quote", '"').option("escape", '"').option("emptyValue", "")
-        .csv(folder))
+    from .files import mark_complete
+
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"))
+       .write.mode("errorifexists").option("header", "true").option("maxRecordsPerFile", "1000000")
+       .option("quote", '"').option("escape", '"').option("emptyValue", "")
+       .csv(folder))
+    mark_complete(df.sparkSession, folder, seen.get["rows"])
     return folder

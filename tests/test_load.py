@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starflow.operators import load
+from starflow.operators import load, tables
 from starflow.operators.checks import KeyViolation
 from starflow.schemas import Column, TableSpec
 from conftest import rows
@@ -58,12 +58,15 @@ def test_upsert_rejects_bad_keys(spark, tmp_path):
 
 
 def test_append_replace_and_invalid(spark, tmp_path):
-    path = str(tmp_path / "t")
-    load.load(spark, "append", src(spark, [("A", D1, "1")]), path, SPEC)
-    load.load(spark, "append", src(spark, [("A", D1, "1")]), path, SPEC)
-    assert len(read(spark, path)) == 2
-    load.load(spark, "replace", src(spark, [("B", D2, "5")]), path, SPEC)
-    assert read(spark, path) == [("B", T2, Decimal("5.00"))]
+    path, log = str(tmp_path / "t"), TableSpec("log", SPEC.columns)  # no key: rows may repeat
+    one = src(spark, [("A", D1, "1")])
+    for _ in range(2):
+        load.load(spark, "append", one, path, log, buckets=3)
+    assert tables.read(spark, path).count() == 2
+    load.load(spark, "replace", src(spark, [("B", D2, "5")]), path, SPEC, buckets=3)
+    assert rows(tables.read(spark, path)) == [("B", T2, Decimal("5.00"))]
+    load.load(spark, "upsert", src(spark, [("B", D2, "6"), ("A", D1, "1")]), path, SPEC)
+    assert rows(tables.read(spark, path), ["k"]) == [("A", T1, Decimal("1.00")), ("B", T2, Decimal("6.00"))]
     with pytest.raises(ValueError):
         load.load(spark, "update", src(spark, []), path, SPEC)
 
@@ -90,7 +93,11 @@ def test_truncate_load(spark, tmp_path):
     target = str(tmp_path / "ingress")
     load.truncate_load(spark, str(a), SPEC, target)
     load.truncate_load(spark, str(b), SPEC, target)
-    assert rows(spark.read.parquet(target)) == [("C", "2025-01-02 00:00:00", "3")]
+    assert rows(tables.read(spark, target)) == [("C", "2025-01-02 00:00:00", "3")]
+    b.write_text("x,y,z\nD,,3\n")  # a key column declared NOT NULL is empty: the table stays
+    with pytest.raises(KeyViolation):
+        load.truncate_load(spark, str(b), SPEC, target)
+    assert rows(tables.read(spark, target)) == [("C", "2025-01-02 00:00:00", "3")]
 
 
 def test_upsert_derived_partition(spark, tmp_path):
@@ -247,14 +254,20 @@ def test_upsert_newer_wins(spark, tmp_path):
     assert read(spark, path) == [("A", T2, Decimal("1.00")), ("B", T2, Decimal("7.00")), ("C", T1, Decimal("1.00"))]
 
 
-def test_checked_append_and_replace(spark, tmp_path):
+@pytest.mark.parametrize("partition_by", [None, ["day"]])
+def test_appends_and_replaces_are_checked(spark, tmp_path, partition_by):
     path = str(tmp_path / "t")
-    load.load(spark, "append", src(spark, [("A", D1, "1")]), path, SPEC, check=True)
-    with pytest.raises(KeyViolation):
-        load.load(spark, "append", src(spark, [("A", D1, "2")]), path, SPEC, check=True)
-    with pytest.raises(KeyViolation):
-        load.load(spark, "replace", src(spark, [("B", D1, "2"), ("B", D1, "3")]), path, SPEC, check=True)
-    assert read(spark, path) == [("A", T1, Decimal("1.00"))]
+    how = {"partition_by": partition_by}
+    load.load(spark, "append", src(spark, [("A", D1, "1")]), path, SPEC, **how)
+    for op, data in (("append", [("A", D1, "2")]), ("append", [(None, D1, "2")]), ("append", [("B", D1, "2"), ("B", D1, "2")]),
+                     ("replace", [("B", D1, "2"), ("B", D1, "3")])):
+        with pytest.raises(KeyViolation):
+            load.load(spark, op, src(spark, data), path, SPEC, **how)
+    if partition_by:
+        load.load(spark, "append", src(spark, [("A", D1, "2")]), path, SPEC, check=False, **how)
+        assert len(read(spark, path)) == 2
+    else:
+        assert rows(tables.read(spark, path)) == [("A", T1, Decimal("1.00"))]
 
 
 def test_incremental_on_an_empty_table(spark, tmp_path):

@@ -1,3 +1,4 @@
+import glob
 import os
 import time
 
@@ -5,8 +6,9 @@ import pytest
 from pyspark.sql import types as T
 
 from starflow.schemas import COMPANIES_DAILY
-from starflow.sources.csv import read_positional_csv, read_seed
-from starflow.sources.files import archive_load, check_scope, newest_file, read_loaded, snapshot_folder
+from starflow.sources.csv import read_positional_csv, read_seed, write_csv_snapshot
+from starflow.sources.files import (archive_load, check_scope, newest_file, newest_snapshot, read_loaded, snapshot_folder,
+                                    snapshot_runs)
 from starflow.sources.tables import parse_keys, subset
 from conftest import rows
 
@@ -105,35 +107,83 @@ def test_archive_load(spark, tmp_path):
     assert "one.csv" in moved
 
 
-def test_archive_load_resumes_after_a_failed_batch(spark, tmp_path, monkeypatch):
-    from starflow.operators import load
+@pytest.mark.parametrize("step", ["open_table", "publish", "remove_folder", "prune"])
+def test_archive_load_stopped_at_any_step(spark, tmp_path, monkeypatch, step):
+    """Stopped after the stream has drained, before or after publishing: readers see the old rows or
+    the new ones, and the next arrival is all that is left after the next load."""
+    from starflow import session
+    from starflow.operators import load, tables
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    landing.mkdir()
+    ck, target = str(tmp_path / "ck"), str(tmp_path / "ingress")
+    run = lambda: archive_load(spark, str(landing), str(archive), ck, SCHEMA, target)
+    kept = lambda: sorted(r.c for r in read_loaded(spark, target, SCHEMA).collect())
+    write(landing / "old.csv", "h1,h2,h3\nx,y,0\n")
+    run()
+    write(landing / "a.csv", "h1,h2,h3\na,b,1\n")
+    place = {"open_table": load, "publish": tables, "remove_folder": session, "prune": tables}[step]
+    whole, calls = getattr(place, step), []
+
+    def fails(*a, **k):
+        calls.append(a)
+        if step == "open_table" and (len(a) < 2 or not a[1].startswith(f"{target}/data/")):
+            return whole(*a, **k)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(place, step, fails)
+    with pytest.raises(RuntimeError, match="lost"):
+        run()
+    monkeypatch.setattr(place, step, whole)
+    published = step in ("remove_folder", "prune")
+    assert kept() == ([1] if published else [0])
+    write(landing / "b.csv", "h1,h2,h3\na,b,2\n")
+    run()
+    # a load that was not published is resumed with what came since; one that was is replaced
+    assert kept() == ([2] if published else [1, 2])
+    write(landing / "c.csv", "h1,h2,h3\na,b,3\n")
+    run()
+    assert kept() == [3]
+
+
+def test_archive_load_resumes_after_a_failed_batch(spark, tmp_path):
     landing, archive = tmp_path / "landing", tmp_path / "archive"
     landing.mkdir()
     ck, target = str(tmp_path / "ck"), str(tmp_path / "ingress")
     write(landing / "old.csv", "h1,h2,h3\nx,y,0\n")
     archive_load(spark, str(landing), str(archive), ck, SCHEMA, target)
     now = os.path.getmtime(landing) - 60
-    for i in (1, 2, 3):
-        write(landing / f"f{i}.csv", f"h1,h2,h3\na,b,{i}\n")
+    for i in (1, 2, 3):  # the second of three batches cannot be read
+        write(landing / f"f{i}.csv", f"h1,h2,h3\na,b,{i}\n" if i != 2 else "h1,h2,h3\na,b,no\n")
         os.utime(landing / f"f{i}.csv", (now + i, now + i))
-    real, calls = load.write_table, []
-
-    def failing(*a, **k):
-        calls.append(1)
-        if len(calls) == 2:
-            raise RuntimeError("store is down")
-        return real(*a, **k)
-
-    monkeypatch.setattr(load, "write_table", failing)
+    strict = {"mode": "FAILFAST"}
     with pytest.raises(Exception):
-        archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, files_per_batch=1)
-    monkeypatch.setattr(load, "write_table", real)
-    write(landing / "f5.csv", "h1,h2,h3\na,b,5\n")
-    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, files_per_batch=1)
-    assert sorted(r.c for r in read_loaded(spark, target, SCHEMA).collect()) == [1, 2, 3, 5]
+        archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, files_per_batch=1, options=strict)
+    assert [r.c for r in read_loaded(spark, target, SCHEMA).collect()] == [0]  # nothing of it is seen yet
+    write(landing / "f2.csv", "h1,h2,h3\na,b,2\n")
+    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, files_per_batch=1, options=strict)
+    assert sorted(r.c for r in read_loaded(spark, target, SCHEMA).collect()) == [1, 2, 3]
     write(landing / "f6.csv", "h1,h2,h3\na,b,6\n")
-    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target)
-    assert [r.c for r in read_loaded(spark, target, SCHEMA).collect()] == [6]
+    archive_load(spark, str(landing), str(archive), ck, SCHEMA, target, mode="append")
+    assert sorted(r.c for r in read_loaded(spark, target, SCHEMA).collect()) == [1, 2, 3, 6]
+
+
+def test_newest_snapshot(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.range(100).select("id").repartition(4)
+    with pytest.raises(FileNotFoundError):
+        write_csv_snapshot(df, f"{root}/daily/1")
+        os.remove(glob.glob(f"{root}/daily/1.done/*.json")[0])
+        newest_snapshot(spark, root)
+    write_csv_snapshot(df, f"{root}/daily/2")
+    df.write.csv(f"{root}/daily/3")                              # unfinished: no marker
+    write_csv_snapshot(df, f"{root}/daily/4 b")
+    os.remove(sorted(glob.glob(f"{root}/daily/4 b/part*.csv"))[0])  # copied in part
+    assert newest_snapshot(spark, root).endswith("/daily/2")
+    assert read_positional_csv(spark, newest_snapshot(spark, root), T.StructType([T.StructField("id", T.LongType())])).count() == 100
+    write_csv_snapshot(df.limit(7).repartition(2), f"{root}/daily/5 %20x")
+    assert spark.read.option("header", True).csv(newest_snapshot(spark, root)).count() == 7
+    runs = {r.folder.rsplit("/", 1)[1]: (r.parts, r.complete) for r in snapshot_runs(spark, root).collect()}
+    assert runs["2"] == (4, True) and runs["3"][1] is False and runs["4 b"] == (3, False)
 
 
 def test_scale_conf_for_100tb():

@@ -190,3 +190,48 @@ def test_fact_join_splits_a_hot_symbol(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_half_a_million_cuts_are_planned_in_seconds(spark):
+    """120,000 shuffle partitions, four slices each: the cuts are one value in the plan."""
+    import time
+
+    n = 480_000
+    cuts = [float(i) for i in range(n)]
+    t0 = time.perf_counter()
+    df = spark.range(0, 2 * n, 7919).select("id", star.slice_index(F.col("id") - F.lit(1000.5), cuts).alias("s"))
+    got = rows(df)
+    assert time.perf_counter() - t0 < 20
+    assert all(s == min(n, max(0, int(i - 1000.5) + 1 if i > 1000 else 0)) for i, s in got)
+
+
+def test_slice_index_equals_a_count(spark):
+    import random
+
+    rng = random.Random(3)
+    df = spark.createDataFrame([(float(i) / 2,) for i in range(-3, 900)] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    for size in (1, 5, 63, 64, 65, 130, 4096, 5000):
+        cuts = sorted(rng.sample(range(6000), size))
+        cuts = [c / 13 for c in cuts]
+        for x, s in rows(df.select("x", star.slice_index(F.col("x"), cuts))):
+            assert s == (0 if x is None else size if x != x else sum(c <= x for c in cuts)), (size, x)
+
+
+def test_refresh_reads_only_days_from_the_late_rows_on(spark, tmp_path):
+    """Closed days before the earliest late row are not read: they may be unreadable."""
+    import glob
+
+    path = str(tmp_path / "iv")
+    at = lambda d, h=0: dt.datetime(2025, 1, d, h)
+    first = spark.createDataFrame([(k, at(d), d) for k in ("A", "B") for d in range(1, 11)], "k string, load_timestamp_utc_from timestamp_ntz, v int")
+    full = lambda rows_: star.next_in_key(rows_, "k", "load_timestamp_utc_from", "load_timestamp_utc_to")
+    star.write_intervals(full(first), path)
+    new = spark.createDataFrame([("A", at(6, 5), 60), ("A", at(11), 11), ("B", at(12), 12)], first.schema)
+    for f in glob.glob(f"{path}/closed_on=2025-01-0[2-5]/*.parquet"):
+        with open(f, "wb") as out:
+            out.write(b"PAR1 not a footer")
+    star.refresh_intervals_table(spark, path, new, "k")
+    want = [r for r in rows(full(first.unionByName(new))) if r[3] is None or r[3] >= at(6)]
+    table = star._interval_table(spark, path, full(first).schema)
+    assert sorted(rows(table.filter("closed_on is null or closed_on >= '2025-01-06'").drop("closed_on")), key=str) == sorted(
+        want, key=str)
