@@ -25,9 +25,8 @@ null id is kept. Other columns are not read. An empty table gives an empty resul
 
 from __future__ import annotations
 
-import gc
+import base64
 import hashlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -36,95 +35,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import read, ship_package, staged
-from .tokens import _SAFE_BLANK, _TWO_BLANKS, Encoder, _byte_chars
+from .tokens import _byte_chars
 
-VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+VOCABULARY_A, RANKS_A, VOCABULARY_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+LONG_RUN = 2_000
 #: Merged ends in a piece.
 STEPS = 1 << 15
 #: (document, id pair) entries in a block, about.
 BLOCK_PAIRS = 1_000_000
-#: Words in a generation of each tokenizer's cache in a worker; there are two generations.
-CACHE_WORDS = 200_000
 #: An id pair as one number: A id * PAIR + B id.
 PAIR = 1 << 20
 
 
 # ------------------------------------------------------------------ tokenizers
 
-class _Words:
-    """Word (with the blank before it) -> its B ids as bytes, nothing if their bytes are not its own.
-    The words of a text that are not known yet are encoded in one call."""
-
-    def __init__(self, model, raw: list[bytes], most: int):
-        self.model, self.raw, self.most = model, raw, most
-        self.new: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, in order."""
-        if len(self.new) >= self.most:
-            self.older, self.new = self.new, {}
-        new, older = self.new, self.older
-        out = list(map(new.get, words))
-        if None in out:
-            for w in {w for w, known in zip(words, out) if known is None}:
-                if (known := older.get(w)) is not None:
-                    new[w] = known
-            self._learn(list({w for w, known in zip(words, out) if known is None and w not in new}))
-            out = [new[w] for w in words]
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        ids = self.model.encode(words, num_threads=1) if words else []
-        raw = self.raw
-        same = b"".join([raw[i] for each in ids for i in each]) == b" " + " ".join(words).encode()
-        for word, each in zip(words, ids):
-            if same or b"".join([raw[i] for i in each]) == b" " + word.encode():
-                self.new[word] = array("I", each).tobytes()
-            else:
-                self.new[word] = b""
-
-
 class Tokenizers:
-    """Both tokenizers, the byte lengths of their ids, and the ids in decimal with each mark."""
+    """Both tokenizers, the byte lengths of their ids, and the ids in decimal with each mark.
+
+    A's vocabulary is also there as ranks, which give the same ids faster; a text with a run of more
+    than ``LONG_RUN`` characters between blanks is left to the vocabulary's own library."""
 
-    def __init__(self, a: str = VOCABULARY_A, b: str = VOCABULARY_B, cache: int = CACHE_WORDS):
+    def __init__(self, a: str = VOCABULARY_A, ranks: str = RANKS_A, b: str = VOCABULARY_B):
         import public_tokenizers
         import sentencepiece
-
-        self.a = Encoder(a, cache)  # special tokens' strings are text
-        byte_of = {c: i for i, c in _byte_chars().items()}
-        size = self.a.tokenizer.get_vocab_size()
-        self.a_len = np.array([sum(c in byte_of for c in self.a.tokenizer.id_to_token(i)) for i in range(size)])
-        b_model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(b))
-        raw = [bytes([int(b_model.id_to_piece(i)[3:5], 16)]) if b_model.is_byte(i)
-               else b_model.id_to_piece(i).replace("▁", " ").encode() for i in range(b_model.get_piece_size())]
-        self.b_len = np.array(list(map(len, raw)))
-        self.words = _Words(b_model, raw, cache)
-        ids = np.arange(max(size, len(raw))).astype(np.bytes_)
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(public_tokenizers.path(a))
+        self.whole.encode_special_tokens = True  # their strings in a text are text
+        chars = set(_byte_chars().values())  # one a byte
+        size = self.whole.get_vocab_size()
+        self.a_len = np.array([sum(c in chars for c in self.whole.id_to_token(i)) for i in range(size)])
+        with open(public_tokenizers.path(ranks), "rb") as f:
+            merges = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(b))
+        self.raw = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
+                    else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
+        self.b_len = np.array(list(map(len, self.raw)))
+        ids = np.arange(max(size, len(self.raw))).astype(np.bytes_)
         self.marked = {m: np.char.add(ids, m.encode()) for m in ",|;"}
 
     def encode(self, text: str | None):
         """(A ids, B ids) as unsigned 32-bit numbers, or None for a text without tokens."""
-        if not text or "▁" in text:
+        if not text:
             return None
-        # a piece of B never reaches over a blank between two other characters
-        odd = text[0].isspace() or text[-1].isspace() or _TWO_BLANKS.search(text)
-        words = _SAFE_BLANK.split(text) if odd else text.split(" ")
-        ids = self.words.ids(words)
-        if b"" in ids:
+        b = self.b.encode(text, num_threads=1) if "▁" not in text else []
+        blank = " " + text
+        if b"".join(map(self.raw.__getitem__, b)) != blank.encode():
             return None
-        a, b = np.frombuffer(self.a.encode(" " + text), dtype=np.uint32), np.frombuffer(b"".join(ids), dtype=np.uint32)
+        if max(map(len, text.split()), default=0) > LONG_RUN:
+            a = self.whole.encode(blank, add_special_tokens=False).ids
+        else:
+            a = self.fast.encode_ordinary(blank)
+        a, b = np.array(a, dtype=np.uint32), np.array(b, dtype=np.uint32)
         return (a, b) if self.a_len[a].sum() == self.b_len[b].sum() else None
 
 
 @lru_cache(maxsize=1)
 def tokenizers() -> Tokenizers:
-    """One pair a Python worker; the caches make no reference cycles."""
-    found = Tokenizers()
-    gc.freeze()
-    gc.set_threshold(100_000, 50, 1000)
-    return found
+    """One pair a Python worker."""
+    return Tokenizers()
 
 
 # ------------------------------------------------------------------ merge path

@@ -16,7 +16,7 @@ B_TOK = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.mo
 BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_OF = {chr(b): b for b in BYTES} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in BYTES)}
 ODD_TEXTS = ["", " ", "  a", "a  b ", "x ", " x", "<|endoftext|> a<|endoftext|>", "</s><s><unk>", "<0x41>", "a▁b", "\x00\x01",
-             "tab\there\r\nnext", "\U0001f600‍\U0001f468 　 x", "éé ﬁ", "\n\n a\n b", "ab" * 300, "1234567890 " * 30]
+             "tab\there\r\nnext", "\U0001f600‍\U0001f468 　 x", "éé ﬁ", "\n\n a\n b", "ab" * 300, "xy" * 3000 + " z", "1234567890 " * 30]
 
 
 def plain(text):
