@@ -6,20 +6,24 @@ Two views of a document are scored by two logistic regressions:
 * metadata: what is known of the page without reading it: language, source, length, line layout.
 
 Both are fitted on a bounded sample of labelled documents. Then, over ``ROUNDS`` rounds, each view
-marks the documents of a bounded unlabelled pool it is surest of, in the classes' proportions, and
-these pseudo-labels are added to the other view's training rows. Each view is calibrated on
+scores all unlabelled documents and marks those it is surest of, a share ``STEP`` of them in the
+classes' proportions; these pseudo-labels are added to the other view's training rows. Where the
+share ends is read from a histogram of all scores. A mark is a function of the models and limits so
+far, so no state is kept a document. Each view is calibrated on
 labelled documents that were held back (logistic calibration). A document's score is the
 probability of good quality from both calibrated views, weighed by a third, two-input regression
 on the documents held back.
 
-Bounds: at most about ``LABELLED`` labelled and ``POOL`` unlabelled documents are used to fit; they
-are drawn by a hash of the id, so the draw is the same on every run and does not depend on the
-order of rows. Their features (some 100 numbers a row) are all that reaches the driver. Every
-document is scored, from its whole text.
+Bounds: a fit uses at most about ``LABELLED`` labelled documents and ``POOL`` pseudo-labelled ones a
+view; they are drawn by a hash over its full range, so the draw is the same on every run, does not
+depend on the order of rows, and is as large on a table of any size. One row an id, and one of equal
+rows, is drawn. Their features (some 100 numbers a row) and the histograms are all that reaches the
+driver. Features are computed once, from whole texts, and written; every document is scored.
 
 Edge cases: a null text counts as empty; null metadata is a value of its own; a repeated label row
 counts once, with the lowest label; null labels and ids are left out of the fit. Without labelled
-rows of both classes nothing can be learned: every document then gets score 1. Repeated rows get
+documents of both classes nothing can be learned: every document then gets score 1 (labelled
+documents of which none was drawn are an error). Repeated rows get
 equal scores; an empty table gives an empty result. Other columns are not read.
 """
 
@@ -33,16 +37,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import named, numbered, read, ship_package
+from .common import named, numbered, read, ship_package, staged
 
 LABELLED = 12_000
 POOL = 12_000
 ROUNDS = 5
-#: Share of the pool that a view marks for the other one in a round.
+#: Share of the unlabelled documents that a view marks for the other one in a round.
 STEP = 0.04
+#: Bins of the score histogram: their width, and the scores from which all lie in the last ones.
+BIN, FARTHEST = 1 / 64, 512.0
 #: Documents below this probability of good quality are rejected.
 KEEP_FROM = 0.5
 LANG_SLOTS, SOURCE_SLOTS = 8, 32
@@ -200,40 +207,103 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (c, m, both))
 
 
+@dataclass
+class Mark:
+    """What a view marks in a round, for the other view: raw scores up to ``low`` as bad, from
+    ``high`` on as good."""
+
+    view: int
+    model: Logistic
+    low: float
+    high: float
+
+
+def marks_of(marks: list[Mark], content: np.ndarray, metadata: np.ndarray) -> list[np.ndarray]:
+    """Pseudo-labels (0, 1, or nan) of some rows for each view; the first mark of a row holds."""
+    views_of = (content, metadata)
+    out = [np.full(len(content), np.nan), np.full(len(content), np.nan)]
+    for m in marks:
+        raw, mine = m.model.raw(views_of[m.view]), out[1 - m.view]
+        free = np.isnan(mine)
+        mine[free & (raw <= m.low)] = 0.0
+        mine[free & (raw >= m.high)] = 1.0
+    return out
+
+
+def bins_of(raw: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(raw, -FARTHEST, FARTHEST) / BIN).astype(np.int64)
+
+
+def limits(bins: dict[int, int], total: int, share: float, step: float) -> tuple[float, float, int]:
+    """(low, high, rows marked) from a histogram of the scores of rows without a mark: about ``step``
+    of all rows, ``share`` of them good; only what lies on its own side of even odds."""
+    n = max(1, int(step * total))
+    low, high, marked = -math.inf, math.inf, 0
+    left = max(1, round(n * (1 - share)))
+    for b in sorted(x for x in bins if x < 0):
+        if left <= 0:
+            break
+        low, left, marked = np.nextafter((b + 1) * BIN, -math.inf), left - bins[b], marked + bins[b]
+    left = max(1, round(n * share))
+    for b in sorted((x for x in bins if x >= 0), reverse=True):
+        if left <= 0:
+            break
+        high, left, marked = max(b * BIN, np.nextafter(0.0, 1.0)), left - bins[b], marked + bins[b]
+    return low, high, marked
+
+
+class ArrayPool:
+    """Unlabelled rows in memory (what :class:`SparkPool` does over a table)."""
+
+    def __init__(self, content: np.ndarray, metadata: np.ndarray):
+        self.views, self.total = (content, metadata), len(content)
+
+    def histograms(self, marks: list[Mark], models: list[Logistic]) -> list[dict[int, int]]:
+        marked, out = marks_of(marks, *self.views), []
+        for v in (0, 1):
+            free = np.isnan(marked[1 - v])
+            b, n = np.unique(bins_of(models[v].raw(self.views[v][free])), return_counts=True)
+            out.append(dict(zip(b.tolist(), n.tolist())))
+        return out
+
+    def rows(self, marks: list[Mark], sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        marked = marks_of(marks, *self.views)
+        return [(x[~np.isnan(t)], t[~np.isnan(t)]) for x, t in zip(self.views, marked)]
+
+
 def co_train(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, held: np.ndarray,
              pool_content: np.ndarray, pool_metadata: np.ndarray, rounds: int = ROUNDS,
              step: float = STEP) -> CoTrained:
-    """Fit both views; ``held`` marks the labelled rows kept back for calibration."""
+    """Fit both views on arrays; ``held`` marks the labelled rows kept back for calibration."""
+    return co_train_over(ArrayPool(pool_content, pool_metadata), content, metadata, y, held, rounds, step)
+
+
+def co_train_over(pool, content: np.ndarray, metadata: np.ndarray, y: np.ndarray, held: np.ndarray,
+                  rounds: int = ROUNDS, step: float = STEP) -> CoTrained:
+    """Fit both views, exchanging pseudo-labels of the rows of ``pool``."""
     if not 0 < y.sum() < len(y):
         return CoTrained(None, None)
     if not 0 < y[~held].sum() < (~held).sum():
         held = np.zeros(len(y), dtype=bool)
     xs = [content[~held], metadata[~held]]
-    pools = [pool_content, pool_metadata]
     labels = y[~held].astype(float)
     share = labels.mean()
-    marked = [np.full(len(pool_content), np.nan), np.full(len(pool_content), np.nan)]  # for each view
-    models = []
+    marks: list[Mark] = []
+    sizes = [0, 0]  # rows marked for each view
+    models: list[Logistic] = []
     for r in range(rounds + 1):
+        marked = pool.rows(marks, sizes) if marks else [(x[:0], labels[:0]) for x in xs]
         models = []
         for v in (0, 1):
-            got = ~np.isnan(marked[v])
-            x = np.vstack([xs[v], pools[v][got]])
-            t = np.concatenate([labels, marked[v][got]])
-            sure = np.concatenate([np.ones(len(labels)), np.full(int(got.sum()), 0.5)])
+            x, t = np.vstack([xs[v], marked[v][0]]), np.concatenate([labels, marked[v][1]])
+            sure = np.concatenate([np.ones(len(labels)), np.full(len(marked[v][1]), 0.5)])
             models.append(fit_logistic(x, t, sure))
-        if r == rounds or not len(pool_content):
+        if r == rounds or not pool.total:
             break
-        for v in (0, 1):
-            raw = models[v].raw(pools[v])
-            free = np.flatnonzero(np.isnan(marked[1 - v]))
-            order = free[np.argsort(raw[free], kind="stable")]
-            n = max(1, int(step * len(raw)))
-            low = order[:max(1, round(n * (1 - share)))]
-            high = order[::-1][:max(1, round(n * share))]
-            # only what the view is sure of: on its own side of even odds
-            marked[1 - v][low[raw[low] < 0]] = 0.0
-            marked[1 - v][high[raw[high] > 0]] = 1.0
+        for v, bins in enumerate(pool.histograms(marks, models)):
+            low, high, n = limits(bins, pool.total, share, step)
+            marks = [*marks, Mark(v, models[v], low, high)]
+            sizes[1 - v] += n
     back = held if held.any() else np.ones(len(y), dtype=bool)
     full = (content, metadata)
     models = [calibrate(m, full[v][back], y[back].astype(float)) for v, m in enumerate(models)]
@@ -244,62 +314,120 @@ def co_train(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, held: np.
 
 # ------------------------------------------------------------------ Spark
 
-_FEATURES = "id string, y int, content array<float>, metadata array<float>"
+def threshold(n: int, most: int) -> int:
+    """Rows whose 63-bit hash lies below it are a draw of about ``most`` of ``n`` rows."""
+    return (1 << 63) - 1 if n <= most else max(1, (most << 63) // n)
 
 
-def _drawn(id_col, n: int, most: int):
-    """Is the id in a draw of about ``most`` of ``n`` rows, by hash."""
-    share = min(1.0, most / max(1, n))
-    return F.pmod(F.xxhash64(id_col.cast("string")), F.lit(1_000_000)) < int(share * 1_000_000)
+def _hash63(*cols):
+    return F.shiftrightunsigned(F.xxhash64(*cols), 1)
 
 
-def _sampled_features(rows: DataFrame) -> DataFrame:
+def _unpacked(column) -> np.ndarray:
+    """Feature rows, kept as bytes, as a matrix."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), dtype=np.float32).reshape(len(rows), -1).astype(float) if rows else np.zeros((0, 0))
+
+
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             source_col: str = "source") -> DataFrame:
+    """(doc, id, h, content, metadata) of every row, written: the id as it is and as text, a hash of
+    the row, and both views as float32 bytes."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    ship_package(docs.sparkSession)
+    kind = docs.schema[id_col].dataType
+    arrow = to_arrow_type(kind)
+
     def go(batches):
         for batch in batches:
-            ids, ys, texts, langs, sources = (c.to_pylist() for c in batch.columns)
-            pairs = [views(*x) for x in zip(texts, langs, sources)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.string()), pa.array(ys, pa.int32()),
-                 pa.array([c for c, _ in pairs], pa.list_(pa.float32())),
-                 pa.array([m for _, m in pairs], pa.list_(pa.float32()))],
-                ["id", "y", "content", "metadata"])
-
-    return rows.mapInArrow(go, _FEATURES)
+            pairs = [views(*x) for x in zip(*(c.to_pylist() for c in batch.columns[1:]))]
+            packed = [[np.array(p[v], dtype=np.float32).tobytes() for p in pairs] for v in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow), *[pa.array(x, pa.binary()) for x in packed]],
+                                             ["doc", "content", "metadata"])
+
+    rows = docs.select(F.col(id_col), *[F.col(c).cast("string") for c in (text_col, lang_col, source_col)])
+    out = rows.mapInArrow(go, f"doc {kind.simpleString()}, content binary, metadata binary")
+    key = F.col("doc").cast("string")
+    return staged(out.select("doc", key.alias("id"), _hash63(key, "content", "metadata").alias("h"), "content", "metadata"),
+                  "features", compression="zstd")
+
+
+class SparkPool:
+    """All unlabelled documents: their features, scored by a Spark job each round."""
+
+    def __init__(self, rows: DataFrame, most: int):
+        self.df, self.total, self.most = rows.select("h", "content", "metadata"), rows.count(), most
+
+    def histograms(self, marks: list[Mark], models: list[Logistic]) -> list[dict[int, int]]:
+        def go(batches):
+            for batch in batches:
+                both = [_unpacked(batch.column(i)) for i in (1, 2)]
+                if not len(both[0]):
+                    continue
+                marked = marks_of(marks, *both)
+                for v in (0, 1):
+                    b, n = np.unique(bins_of(models[v].raw(both[v])[np.isnan(marked[1 - v])]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), v)), pa.array(b), pa.array(n)], ["v", "b", "n"])
+
+        counted = self.df.mapInArrow(go, "v long, b long, n long").groupBy("v", "b").agg(F.sum("n").alias("n"))
+        out: list[dict[int, int]] = [{}, {}]
+        for r in counted.collect():  # a row a bin
+            out[r.v][r.b] = r.n
+        return out
+
+    def rows(self, marks: list[Mark], sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        below = [threshold(n, self.most) for n in sizes]
+
+        def go(batches):
+            for batch in batches:
+                h = batch.column(0).to_numpy()
+                near = np.flatnonzero(h < max(below))
+                if not len(near):
+                    continue
+                part = batch.take(pa.array(near))
+                both = [_unpacked(part.column(i)) for i in (1, 2)]
+                for v, t in enumerate(marks_of(marks, *both)):
+                    hit = np.flatnonzero(~np.isnan(t) & (h[near] < below[v]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(hit), v)), pa.array(h[near][hit]), pa.array(t[hit]),
+                         part.column(1 + v).take(pa.array(hit))], ["v", "h", "t", "x"])
+
+        drawn = self.df.mapInArrow(go, "v long, h long, t double, x binary").dropDuplicates(["v", "h"]).toArrow()
+        out = []
+        for v, width in enumerate(map(len, views("", None, None))):
+            mine = drawn.filter(pa.compute.equal(drawn["v"], v)).sort_by("h")
+            x = _unpacked(mine["x"]) if len(mine) else np.zeros((0, width))
+            out.append((x, mine["t"].to_numpy().astype(float)))
+        return out
+
+
+def _fit(docs: DataFrame, labels: DataFrame, label_col: str, labelled: int, pool: int, rounds: int,
+         id_col: str, text_col: str, lang_col: str, source_col: str) -> tuple[CoTrained, DataFrame]:
+    every = features(docs, id_col, text_col, lang_col, source_col)
+    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    known = known.groupBy(F.col(id_col).cast("string").alias("id")).agg(F.min(label_col).cast("int").alias("y"))
+    drawn = known.filter(_hash63("id") < threshold(known.count(), labelled))  # about `labelled` rows
+    rows = every.join(drawn, "id").groupBy("id").agg(  # one row an id: any of them, the same on every run
+        F.first("y").alias("y"), F.min_by(F.struct("content", "metadata"), "h").alias("x"))
+    t = rows.select("id", "y", "x.content", "x.metadata").toArrow().sort_by("id")
+    if not len(t):
+        if not every.join(known, "id", "left_semi").isEmpty():
+            raise RuntimeError("there are labelled documents, but none was drawn")
+        return CoTrained(None, None), every
+    held = np.array([zlib.crc32(b"held:" + i.encode()) % 4 == 0 for i in t["id"].to_pylist()], dtype=bool)
+    y = (np.array(t["y"].to_pylist()) > 0).astype(int)
+    free = every.filter("id is not null").join(known, "id", "left_anti")
+    model = co_train_over(SparkPool(staged(free, "unlabelled", compression="zstd"), pool), _unpacked(t["content"]),
+                          _unpacked(t["metadata"]), y, held, rounds)
+    return model, every
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labelled: int = LABELLED,
         pool: int = POOL, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang", source_col: str = "source") -> CoTrained:
-    """Co-train on a bounded draw of labelled documents and a bounded unlabelled pool."""
-    ship_package(docs.sparkSession)
-    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    known = known.groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("int").alias("y"))
-    d = docs.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("t"),
-        F.col(lang_col).cast("string").alias("l"), F.col(source_col).cast("string").alias("s"))
-    n_known, n_docs = known.count(), d.count()
-    drawn = known.filter(_drawn(F.col("__id"), n_known, labelled))  # about `labelled` rows at most
-    rows = d.join(F.broadcast(drawn), "__id").select(F.col("__id").cast("string"), "y", "t", "l", "s")
-    a = _arrays(_sampled_features(rows))
-    free = d.filter(_drawn(F.concat(F.lit("pool:"), F.col("__id").cast("string")), n_docs, pool))
-    features = _sampled_features(free.select(F.col("__id").cast("string"), F.lit(0), "t", "l", "s")).drop("y")
-    free = features.join(known.select(F.col("__id").cast("string").alias("id")), "id", "left_anti")
-    b = _arrays(free.select("id", F.lit(0).alias("y"), "content", "metadata"))
-    held = np.array([zlib.crc32(b"held:" + str(i).encode()) % 4 == 0 for i in a[0]], dtype=bool)
-    return co_train(a[2], a[3], (a[1] > 0).astype(int), held, b[2], b[3], rounds)
-
-
-def _arrays(df: DataFrame):
-    """A bounded draw on the driver, in the order of its ids, then of its features."""
-    t = df.toArrow()
-    ids, ys = np.array(t["id"].to_pylist(), dtype=object), np.array(t["y"].to_pylist(), dtype=int)
-    found = []
-    for name, width in zip(("content", "metadata"), map(len, views("", None, None))):
-        flat = t[name].combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(t) else np.zeros(0)
-        found.append(flat.reshape(-1, width).astype(float))
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], ys[i], found[0][i].tobytes(), found[1][i].tobytes()))
-    order = np.array(order, dtype=int)
-    return ids[order], ys[order], found[0][order], found[1][order]
+    """Co-train on a bounded draw of labelled documents and all unlabelled ones."""
+    return _fit(docs, labels, label_col, labelled, pool, rounds, id_col, text_col, lang_col, source_col)[0]
 
 
 def score(model: CoTrained, text_col: str = "text", lang_col: str = "lang", source_col: str = "source"):
@@ -316,12 +444,22 @@ def score(model: CoTrained, text_col: str = "text", lang_col: str = "lang", sour
     return go(*(F.col(c).cast("string") for c in (text_col, lang_col, source_col)))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """(doc_id, content_score, metadata_score, score, keep) for every document."""
-    model = fit(docs, labels)
-    s = docs.select("doc_id", score(model).alias("s"))
-    return s.select("doc_id", F.col("s.content").alias("content_score"), F.col("s.metadata").alias("metadata_score"),
-                    F.col("s.score").alias("score"), (F.col("s.score") >= KEEP_FROM).alias("keep"))
+    how = {"label_col": "quality", "labelled": LABELLED, "pool": POOL, "rounds": ROUNDS, "id_col": "doc_id",
+           "text_col": "text", "lang_col": "lang", "source_col": "source"} | how
+    model, every = _fit(docs, labels, **how)
+    kind = every.schema["doc"].dataType.simpleString()
+
+    def go(batches):
+        for batch in batches:
+            if batch.num_rows:
+                found = model.scores(_unpacked(batch.column(1)), _unpacked(batch.column(2)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found), pa.array(found[2] >= KEEP_FROM)],
+                                                 ["doc_id", "content_score", "metadata_score", "score", "keep"])
+
+    return every.select("doc", "content", "metadata").mapInArrow(
+        go, f"doc_id {kind}, content_score double, metadata_score double, score double, keep boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

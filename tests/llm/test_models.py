@@ -53,6 +53,66 @@ def test_cotraining_odd_rows(odd, none, spark):
     assert sorted(tuples(C.classify(odd, labels)), key=str) == sorted(tuples(C.classify(odd.repartition(3), labels)), key=str)
 
 
+def test_draws_are_as_large_on_any_table():
+    for n in (1, 12_000, 10**7, 2 * 10**10, 10**11, 10**15):
+        drawn = C.threshold(n, 12_000) / 2**63 * n
+        assert 0.99 * min(n, 12_000) <= drawn <= 1.01 * 12_000
+
+
+def test_spark_rounds_equal_rounds_in_memory(spark):
+    """The same marks, limits and scores as co-training over all unlabelled rows in memory."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    y = dict(tuples(labels.groupBy("doc_id").min("quality")))
+    rows = sorted((str(r.doc_id), r) for r in docs.collect())
+    both = [np.array(x, dtype=np.float32).astype(float) for x in zip(*(C.views(r.text, r.lang, r.source) for _, r in rows))]
+    known = np.array([r.doc_id in y for _, r in rows])
+    held = np.array([zlib.crc32(b"held:" + i.encode()) % 4 == 0 for i, r in rows if r.doc_id in y])
+    m = C.co_train(both[0][known], both[1][known], np.array([int(y[r.doc_id] > 0) for _, r in rows if r.doc_id in y]), held,
+                   both[0][~known], both[1][~known])
+    want = dict(zip([r.doc_id for _, r in rows], zip(*m.scores(*both))))
+    got = {r[0]: r[1:4] for r in tuples(C.classify(docs, labels))}
+    assert got.keys() == want.keys()
+    for i, three in want.items():
+        assert np.allclose(got[i], three, atol=1e-6), i
+
+
+def test_every_unlabelled_document_can_be_marked(spark):
+    """A source of a few documents among many, far from any draw's size, gets its pseudo-labels."""
+    rng = np.random.default_rng(8)
+    n, rare = 6000, 6
+    content, meta = rng.normal(size=(n, 3)), rng.normal(size=(n, 2))
+    content[:rare] += 6
+    packed = [(int(h), c.astype(np.float32).tobytes(), d.astype(np.float32).tobytes())
+              for h, c, d in zip(rng.integers(0, (1 << 63) - 1, n), content, meta)]
+    pool = C.SparkPool(spark.createDataFrame(packed, "h long, content binary, metadata binary"), 100)
+    model = C.Logistic(np.zeros(3), np.ones(3), np.array([1.0, 1.0, 1.0, 0.0]))
+    other = C.Logistic(np.zeros(2), np.ones(2), np.array([1.0, 0.0, 0.0]))
+    bins = pool.histograms([], [model, other])
+    assert sum(bins[0].values()) == sum(bins[1].values()) == n
+    low, high, marked = C.limits(bins[0], n, 0.5, 0.04)
+    marks = [C.Mark(0, model, low, high)]
+    assert 0.03 * n < marked < 0.06 * n
+    assert (C.marks_of(marks, content, meta)[1][:rare] == 1).all()
+    (_, none_), (x, t) = pool.rows(marks, [0, marked])
+    assert len(none_) == 0 and 50 < len(x) < 200 and set(t) == {0.0, 1.0}
+
+
+def test_labelled_documents_that_cannot_be_drawn_are_an_error(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    monkeypatch.setattr(C, "threshold", lambda n, most: 0)
+    with pytest.raises(RuntimeError, match="none was drawn"):
+        C.fit(docs, labels)
+
+
+def test_one_row_of_an_id_is_drawn(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    text = lambda i: "word " * (i + 1) if i % 2 else "!! ## " * (i + 1)
+    docs = spark.createDataFrame([(i, text(i), "en", "a") for i in range(40)] + [(7, f"copy {j} of it", "en", "a") for j in range(500)],
+                                 "doc_id long, text string, lang string, source string")
+    got = tuples(C.classify(docs, labels))
+    assert len(got) == 540 and sorted(got, key=str) == sorted(tuples(C.classify(docs.repartition(7), labels)), key=str)
+
+
 # ------------------------------------------------------------------ language
 
 def test_languages_on_held_out_documents(spark):
