@@ -84,7 +84,9 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 64) -> DataFr
     Alternates the large-star and small-star steps (Kiveris and others, 2014): each node's
     neighbours are hung on the smallest one, so that a component becomes a star after about
     log(n) rounds. Rounds are written to the shared folder. Only a count reaches the driver.
-    A node's neighbours are aggregated (``min``) and joined, never collected into a list.
+    A node's neighbours are aggregated (``min``) and joined, never collected into a list; both sides
+    of every join are read from files, so that adaptive execution splits the node in the middle of a
+    large component over several tasks.
     """
     spark = links.sparkSession
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter(F.col("u") != F.col("v"))
@@ -92,13 +94,15 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 64) -> DataFr
     last = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written first: a join with an aggregate on its own key has no shuffle that could be split
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         # large star: larger neighbours of u move to u's least neighbour
         large = (both.filter(F.col("v") > F.col("u")).join(least, "u")
                      .select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = large.filter(F.col("u") != F.col("v")).distinct()
         # small star: smaller neighbours of u, and u itself, move to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large, "large-star")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u")
         e2 = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                    .unionByName(low.select("u", F.col("m").alias("v"))))

@@ -19,18 +19,28 @@ share a key are candidates and are verified on all 64 bits.
 
 Large buckets. Equal fingerprints are one row from the start. In a bucket every member is held
 against one pivot (the least member, an aggregate), not against every other. Components of those
-links are found; only buckets that still hold more than one component go on, and there the members
-outside the bucket's largest component are held against the bucket. So a dense bucket of n members
-costs n comparisons and no link between different components is lost.
+links are found; only buckets that still hold more than one component go on. There the members
+outside the bucket's largest component are held against the bucket, directly where it has at most
+``DIRECT`` members. A larger one is parted by further exact keys: its members share 16 or 32 bits,
+and of the other six bytes two, or of the other eight half bytes four, are equal in any link, which
+gives 15 or 70 keys of 16 more bits. So a dense bucket of n near members costs n comparisons, one
+of n members far from each other at most 70 n key rows and the few that meet on 16 more bits, and no
+link between different components is lost.
+
+Aggregates are written before they are joined back on their own key, so that both sides of such a
+join are shuffled and adaptive execution can split a key that many rows share.
 
 Edge cases: null, empty or blank text has fingerprint zero, linked like any other; fewer than four
 words are one shingle; repeated rows and ids are linked as their fingerprints are equal; a null id
 takes part and is its component's id only if the component has no other. Columns besides id and
-text are not read. An empty table gives an empty result.
+text are not read; :func:`deduplicate` breaks ties between rows of one id by a hash of all their
+columns, whatever the partitions. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -45,6 +55,8 @@ MAX_BITS = 4
 GENERATOR = 0b110001110101
 SEGMENT = 16
 WINDOW = 23
+#: Members up to which a bucket of several components is compared directly.
+DIRECT = 64
 
 
 # ------------------------------------------------------------------ fingerprints
@@ -164,13 +176,46 @@ def _with_keys(batches):
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[rows])], ["key", "fp"])
 
 
+def part_keys(key: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, part) by which the members of a large bucket meet: which of the bits that the bucket's
+    key leaves open are taken (two of six bytes, or four of eight half bytes), and those 16 bits."""
+    kind, fps = key >> 40, fps.astype(np.uint64)
+    rows, parts = [], []
+    for k in np.unique(kind).tolist():
+        at = np.flatnonzero(kind == k)
+        if k < 8:  # one segment of the four is shared
+            units = [8 * u for u in range(8) if u // 2 != 3 - k // 2]
+            width, take = 8, 2
+        else:  # a half of each segment is shared
+            low = [16 * (3 - i) + (0 if ((k - 8) >> i) & 1 else 8) for i in range(4)]
+            units = [x + h for x in low for h in (0, 4)]
+            width, take = 4, 4
+        value = {u: ((fps[at] >> np.uint64(u)) & np.uint64((1 << width) - 1)).astype(np.int64) for u in units}
+        for n, chosen in enumerate(itertools.combinations(units, take)):
+            part = np.full(len(at), n, dtype=np.int64)
+            for u in chosen:
+                part = (part << width) | value[u]
+            rows.append(at)
+            parts.append(part)
+    return (np.concatenate(rows), np.concatenate(parts)) if rows else (np.zeros(0, int), np.zeros(0, np.int64))
+
+
+def _parted(batches):
+    for batch in batches:
+        for i in range(0, batch.num_rows, 10_000):
+            some = batch.slice(i, 10_000)
+            rows, part = part_keys(some.column(0).to_numpy(), some.column(1).to_numpy().view(np.uint64))
+            t = some.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*t.columns, pa.array(part)], ["key", "fp", "c", "other", "part"])
+
+
 # ------------------------------------------------------------------ links and components
 
 def _near(a: str, b: str, max_bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
 
 
-def links_of(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links_of(fps: DataFrame, max_bits: int = MAX_BITS, direct: int = DIRECT) -> DataFrame:
     """Component of every fingerprint that is linked: (node, component).
 
     ``fps`` has one column ``fp`` without repeats. ``max_bits`` may be at most 4, which the keys
@@ -182,55 +227,64 @@ def links_of(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = fps.repartition(parts, "fp").mapInArrow(_with_keys, "key long, fp long")
     pivots = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.count(F.lit(1)).alias("n"))
-    buckets = staged(keyed.join(pivots.filter("n > 1"), "key"), "buckets")
+    pivots = staged(pivots.filter("n > 1"), "pivots")
+    buckets = staged(keyed.join(pivots, "key"), "buckets")
     to_pivot = buckets.filter((F.col("fp") != F.col("pivot")) & _near("fp", "pivot", max_bits))
     first = staged(to_pivot.select("fp", "pivot").distinct(), "pivot-links")
     comp = components(first, "fp", "pivot")
     # a bucket of two was checked in full; so was one whose members all hang on one component
     named = (buckets.filter("n > 2").join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("key", "fp", "pivot", F.coalesce("component", "fp").alias("c")))
+             .select("key", "fp", "n", F.coalesce("component", "fp").alias("c")))
+    named = staged(named, "named")
     per = named.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
-    main = per.groupBy("key").agg(F.max_by("c", "m").alias("main"), F.count(F.lit(1)).alias("cs"))
-    split = staged(named.join(main.filter("cs > 1"), "key"), "split-buckets")
-    others = split.filter("c <> main").select("key", F.col("fp").alias("x"), F.col("c").alias("cx"))
-    more = (others.join(split.select("key", "fp", "c"), "key")
-                  .filter((F.col("cx") != F.col("c")) & _near("x", "fp", max_bits))
-                  .select(F.col("x").alias("fp"), F.col("fp").alias("pivot")).distinct())
-    more = staged(more, "cross-links")
+    main = per.groupBy("key").agg(F.max(F.struct("m", "c")).alias("main"), F.count(F.lit(1)).alias("cs"))
+    main = staged(main.filter("cs > 1").select("key", F.col("main.c").alias("main")), "main")
+    split = staged(named.join(main, "key").select("key", "fp", "c", "n", (F.col("c") != F.col("main")).alias("other")), "split-buckets")
+    small = split.filter(F.col("n") <= direct).withColumn("part", F.lit(0).cast("long")).drop("n")
+    large = split.filter(F.col("n") > direct).drop("n").mapInArrow(_parted, "key long, fp long, c long, other boolean, part long")
+    links = []
+    for rows in (small, staged(large, "parted")):
+        mine = rows.filter("other").select("key", "part", F.col("fp").alias("x"), F.col("c").alias("cx"))
+        links.append(mine.join(rows.select("key", "part", "fp", "c"), ["key", "part"])
+                     .filter((F.col("cx") != F.col("c")) & _near("x", "fp", max_bits))
+                     .select(F.col("x").alias("fp"), F.col("fp").alias("pivot")))
+    more = staged(links[0].unionByName(links[1]).distinct(), "cross-links")
     if more.isEmpty():
         return comp
     return components(first.unionByName(more), "fp", "pivot")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, fingerprint long, component_id) for every row, and the columns named in ``keep``."""
+                    shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, keep: list[str] | None = None,
+                    component: str | None = None) -> DataFrame:
+    """(doc_id, fingerprint long, component_id) for every row, and the columns named in ``keep``;
+    ``component`` names a column for the component itself (its least fingerprint), which is there
+    even if all its ids are null."""
     cols = [F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *[F.col(c) for c in keep or []]]
     fp = staged(with_fingerprint(docs.select(*cols), "__text", "__fp", shingle), "fingerprints")
-    by_fp = fp.groupBy("__fp").agg(F.min("__id").alias("least"))
+    by_fp = staged(fp.groupBy("__fp").agg(F.min("__id").alias("least")), "by-fingerprint")
     comp = links_of(by_fp.select(F.col("__fp").alias("fp")), max_bits)
-    named = by_fp.join(comp, F.col("__fp") == F.col("node"), "left").select(
-        "__fp", "least", F.coalesce("component", "__fp").alias("c"))
-    ids = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    of_fp = named.join(ids, "c").select("__fp", "component_id")
+    named = staged(by_fp.join(comp, F.col("__fp") == F.col("node"), "left").select(
+        "__fp", "least", F.coalesce("component", "__fp").alias("__c")), "by-component")
+    ids = staged(named.groupBy("__c").agg(F.min("least").alias("component_id")), "component-ids")
+    of_fp = staged(named.join(ids, "__c").select("__fp", "__c", "component_id"), "of-fingerprint")
     out = fp.join(of_fp, "__fp")
-    return out.select(F.col("__id").alias("doc_id"), F.col("__fp").alias("fingerprint"), "component_id", *(keep or []))
+    return out.select(F.col("__id").alias("doc_id"), F.col("__fp").alias("fingerprint"), "component_id",
+                      *(keep or []), *([F.col("__c").alias(component)] if component else []))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component: the one with the least id, of rows with that id one."""
+    """One document of each component: the one with the least id (null last), of rows with that id
+    the one with the least hash of all columns, of equal rows one."""
     d, names = numbered(docs)
     id_col, text_col = names[id_col], names[text_col]
-    # rows of one id and text are told apart by nothing that matters here
-    tagged = d.withColumn("__tag", F.xxhash64(F.col(id_col), F.col(text_col)))
-    near = near_duplicates(tagged, id_col, text_col, keep=["__tag"])
-    group = F.struct(F.col("component_id").isNull().alias("a"), F.col("component_id").alias("b"),
-                     F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("c"))
-    best = near.groupBy(group.alias("g")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__tag").alias("t"))).alias("m"))
+    tagged = d.withColumn("__tag", F.xxhash64(*names.values()))
+    near = near_duplicates(tagged, id_col, text_col, keep=["__tag"], component="__component")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__tag").alias("t"))
+    best = near.groupBy("__component").agg(F.min(order).alias("m"))
     best = best.select(F.col("m.b").alias("__id"), F.col("m.t").alias("__t"))
     kept = tagged.join(best, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__tag") == F.col("__t")), "left_semi")
-    one = Window.partitionBy(id_col, "__tag").orderBy(F.lit(0))
+    one = Window.partitionBy(id_col, "__tag").orderBy(F.lit(0))  # equal rows
     return kept.withColumn("__row", F.row_number().over(one)).filter("__row = 1").select(*named(names))
 
 
