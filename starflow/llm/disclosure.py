@@ -192,10 +192,10 @@ def _words_of(text_col: str):
 
 
 def _corpus_words(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
-    """(t, df): number of documents that hold each of the words ``terms``. Where Spark finds that
-    table small enough to broadcast, it drops other words before they are counted."""
+    """(t, df): number of documents that hold each of the words ``terms``. All words are counted, with
+    partial aggregation, and the counts, not the words, meet the table of terms."""
     each = docs.select(F.explode(_words_of(text_col)).alias("t"))
-    return each.groupBy("t").agg(F.count(F.lit(1)).alias("df")).join(terms, "t", "left_semi")
+    return each.groupBy("t").agg(F.count(F.lit(1)).alias("df")).join(terms, "t")
 
 
 def _corpus_forms(docs: DataFrame, text_col: str) -> DataFrame:
