@@ -604,15 +604,14 @@ def stream_decode(spark, sf):
 
 
 def stream_upsert(spark, sf):
-    """Stream → keyed trades table; the topic is sent again with corrections, older copies and
-    unchanged rows."""
+    """Stream → keyed trades table; the query is stopped, the topic is sent again with corrections,
+    older copies and unchanged rows, and the query is started from its checkpoint."""
     apply_defaults(spark)
     topic, table_path, rej, ck = (workspace(spark, "topic"), workspace(spark, "trades"),
                                   workspace(spark, "rejects"), workspace(spark, "ck-trades"))
-    _write_topic(spark, sf, topic)
-    trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table_path, rej, ck)
-    _write_topic(spark, sf, topic, change=fx.replayed)
-    trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table_path, rej, ck)
+    for change in (None, fx.replayed):
+        _write_topic(spark, sf, topic, change=change)
+        trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table_path, rej, ck, buckets=BUCKETS)
     return trades.read_trades(spark, table_path)
 
 

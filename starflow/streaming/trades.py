@@ -1,10 +1,10 @@
 """Trade stream: framed messages from a topic into a keyed table.
 
-``source → split frames → decode by schema id → cast → keyed upsert`` runs as
-a Structured Streaming query; each micro-batch is merged into the table by
-``foreachBatch`` (idempotent: a replayed message updates its own row), bad
-frames go to a reject table instead of stopping the query, and progress is
-checkpointed under the shared checkpoint folder.
+``source → split frames → decode by schema id → cast → newest copy → keyed merge`` runs as a
+Structured Streaming query. The newest copy of each trade is kept in the state store, so older copies
+never reach the table; what is left of a micro-batch is merged by ``foreachBatch`` (idempotent) into
+the buckets of its keys. Bad frames and failed casts go to reject files instead of stopping the
+query. Progress and state are checkpointed under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casts import schema_cast, split_rejects
+from ..functions.casts import schema_cast
 from ..functions.frames import FRAME_ERROR, PayloadSchema, decode_frames, record_json
-from ..operators.load import upsert, write_table
+from ..operators import tables
 from ..schemas import TRADE_VALUE_SCHEMA, TRANSACTIONS, TableSpec
 from ..session import task_slots
 
@@ -77,6 +77,25 @@ def decode_trades(records: DataFrame, registry: dict[int, PayloadSchema]) -> Dat
         "partition", "offset", err.alias(FRAME_ERROR))
 
 
+def cast_trades(decoded: DataFrame, spec: TableSpec = TRANSACTIONS) -> DataFrame:
+    """Typed trade fields beside the text that arrived (``raw``), ``partition``, ``offset`` and
+    ``reason``: why the record is rejected, or null."""
+    raw = F.struct(*[F.col(c) for c in TEXT_COLUMNS]).alias("raw")
+    cast = schema_cast(decoded.withColumn("raw", raw), spec, "lenient", keep_extra=("partition", "offset", "raw", FRAME_ERROR))
+    null_key = F.lit(False)
+    for c in spec.not_null:
+        null_key = null_key | F.col(c).isNull()
+    reason = (F.when(F.col(FRAME_ERROR).isNotNull(), F.col(FRAME_ERROR))
+              .when(F.size("_cast_errors") > 0, F.concat(F.lit("cast failed: "), F.array_join("_cast_errors", ",")))
+              .when(null_key, F.lit("null key or required column")))
+    return cast.withColumn("reason", reason).select(*spec.names, "raw", "partition", "offset", "reason")
+
+
+def rejects_of(cast: DataFrame) -> DataFrame:
+    """The rejected records as they arrived, and why."""
+    return cast.filter("reason is not null").select(*[F.col(f"raw.{c}").alias(c) for c in TEXT_COLUMNS], "reason")
+
+
 def newest_per_key(df: DataFrame, key: str, order_cols=("partition", "offset")) -> DataFrame:
     """One row per key, the one with the greatest ``order_cols`` (partial-aggregated)."""
     cols = [c for c in df.columns if c != key]
@@ -84,77 +103,73 @@ def newest_per_key(df: DataFrame, key: str, order_cols=("partition", "offset"))
     return df.groupBy(key).agg(best.alias("__r")).select(key, "__r.*").select(*df.columns)
 
 
-def merge_batch_fn(spark: SparkSession, target_path: str, rejects_path: str,
-                   spec: TableSpec = TRANSACTIONS, partition_col: str | None = "transaction_date"):
-    """A ``foreachBatch`` function merging one micro-batch into ``target_path``.
+EVENT_TIME = "transaction_timestamp_utc"
+
+
+def newest_state(cast: DataFrame, spec: TableSpec = TRANSACTIONS, event_time: str = EVENT_TIME) -> DataFrame:
+    """Good records that are the newest copy of their key so far: by event time, then micro-batch (of
+    copies of one time the one that came later), then offset.
 
-    The table is partitioned by transaction day so a batch rewrites only the days that hold an
-    older version of its trades; ids are matched across all days, as a corrected time moves a
-    trade. The newest copy is the one with the latest event time, then offset. Rejects are
-    partitioned by micro-batch (one reject folder per checkpoint).
+    Of a stream this keeps one row a key in the state store (checkpointed with the query): a copy that
+    is older than what was seen before is dropped here, in whatever micro-batch it comes, and reaches
+    no table (a replay of equal time goes on, and the merge finds it unchanged). Each row is stamped with the time of its micro-batch; a key comes out of a batch (update
+    mode) only if the newest copy carries that batch's stamp. A retried batch has the same stamp.
     """
     key = list(spec.key)
-    ts = "transaction_timestamp_utc"
-
+    rest = [c for c in spec.names if c not in key]
+    good = cast.filter("reason is null").withColumn("__at", F.current_timestamp())
+    order = F.struct(F.col(event_time).isNotNull().alias("known"), event_time, "__at", "partition", "offset")
+    best = good.groupBy(*key).agg(F.max_by(F.struct(*rest, "__at"), order).alias("r"))
+    return best.filter(F.col("r.__at") == F.current_timestamp()).select(
+        *[F.col(c) if c in key else F.col(f"r.{c}").alias(c) for c in spec.names])
+
+
+def merge_batch_fn(spark: SparkSession, target_path: str, spec: TableSpec = TRANSACTIONS,
+                   event_time: str = EVENT_TIME, buckets: int | None = None):
+    """A ``foreachBatch`` function merging newest copies into the published table ``target_path``.
+
+    The table lies in buckets of the key, so a batch reads and rewrites only the buckets of its
+    trades, and a corrected time moves nothing. Keys are unique and non-null by construction. A batch
+    that is tried again changes nothing; where the state of an earlier query is gone, the table's own
+    copy decides (``newer``).
+    """
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # the batch feeds several writes; keep it instead of re-reading the source
-        # (lost blocks are recomputed from the source files)
-        batch = batch.persist()
-        try:
-            _merge(batch, epoch_id)
-        finally:
-            batch.unpersist()
-
-    def _merge(batch: DataFrame, epoch_id: int) -> None:
-        bad_frames = batch.filter(F.col(FRAME_ERROR).isNotNull())
-        good = batch.filter(F.col(FRAME_ERROR).isNull())
-        # keep the text next to the typed value, so a reject shows what arrived
-        raw = [f"__raw_{c}" for c in TEXT_COLUMNS]
-        good = good.withColumns({r: F.col(c) for r, c in zip(raw, TEXT_COLUMNS)})
-        cast = schema_cast(good, spec, "lenient", keep_extra=("partition", "offset", *raw))
-        ok, bad_cast = split_rejects(cast)
-        null_key = F.lit(False)
-        for c in spec.not_null:
-            null_key = null_key | F.col(c).isNull()
-        bad_null = ok.filter(null_key)
-        ok = ok.filter(~null_key).drop(*raw)
-        as_text = [F.col(r).alias(c) for r, c in zip(raw, TEXT_COLUMNS)]
-        rejects = (bad_frames.select(*TEXT_COLUMNS, F.col(FRAME_ERROR).alias("reason"))
-                   .unionByName(bad_cast.select(
-                       *as_text,
-                       F.concat(F.lit("cast failed: "),
-                                F.array_join(F.col("_cast_errors"), ",")).alias("reason")))
-                   .unionByName(bad_null.select(
-                       *as_text, F.lit("null key or required column").alias("reason")))
-                   .withColumn("epoch_id", F.lit(epoch_id).cast(T.LongType())))
-        # a batch that is tried again replaces its own rejects
-        write_table(rejects, rejects_path, "overwrite", ["epoch_id"], only_present_partitions=True)
-        # newest copy per key: keys are unique and non-null by construction, so the
-        # upsert's own key check is skipped
-        order = (F.col(ts).isNotNull().alias("__known"), ts, "partition", "offset")
-        latest = newest_per_key(ok, key[0], order) if len(key) == 1 else ok
-        derive = {partition_col: F.to_date(F.col(ts))} if partition_col else None
-        # an older copy that arrives later leaves the stored row as it is
-        upsert(spark, latest.drop("partition", "offset"), target_path, spec,
-               partition_by=[partition_col] if partition_col else None, derive=derive,
-               check=len(key) != 1, newer=ts)
+        tables.merge(spark, batch, target_path, spec, check=False, newer=event_time, buckets=buckets)
 
     return run
 
 
+#: Keeps state on the executors' disks: it may outgrow their memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
 def run_trades(spark: SparkSession, records: DataFrame, target_path: str, rejects_path: str,
                checkpoint: str, registry: dict[int, PayloadSchema] | None = None,
-               available_now: bool = True):
-    """Start the stream → table query; with ``available_now`` it drains and stops."""
-    decoded = decode_trades(records, registry or default_registry())
-    w = (decoded.writeStream.foreachBatch(merge_batch_fn(spark, target_path, rejects_path))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    q = w.start()
+               available_now: bool = True, buckets: int | None = None, state_store: str = ROCKSDB):
+    """Start the stream → table query; with ``available_now`` it drains and stops.
+
+    Two queries read the source, each with its own checkpoint under ``checkpoint``: good records go
+    through the state of newest copies into the table, rejects into files (``rejects_path``), once
+    each. Returns the first query.
+    """
+    cast = cast_trades(decode_trades(records, registry or default_registry()))
+    bad = rejects_of(cast).writeStream.format("parquet").option("path", rejects_path).option(
+        "checkpointLocation", f"{checkpoint}/rejects")
+    good = (newest_state(cast).writeStream.outputMode("update").foreachBatch(merge_batch_fn(spark, target_path, buckets=buckets))
+            .option("checkpointLocation", f"{checkpoint}/trades"))
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, state_store)  # a query keeps the settings it was started with
+    try:
+        queries = [w.trigger(availableNow=True).start() if available_now else w.trigger(processingTime="5 seconds").start()
+                   for w in (good, bad)]
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
     if available_now:
-        q.awaitTermination()
-    return q
+        for q in queries:
+            q.awaitTermination()
+    return queries[0]
 
 
 def read_trades(spark: SparkSession, target_path: str, spec: TableSpec = TRANSACTIONS) -> DataFrame:
-    return spark.read.parquet(target_path).select(*spec.names)
+    return tables.read(spark, target_path).select(*spec.names)

@@ -1,6 +1,7 @@
 import json
 
 from starflow.functions import frames
+from starflow.operators import tables
 from starflow.streaming import trades
 from conftest import rows
 
@@ -86,27 +87,56 @@ def test_cast_reject_keeps_text(spark, tmp_path):
 
 
 def test_retried_batch_and_older_copies(spark, tmp_path):
-    """A retried batch leaves one set of rejects; a later-arriving older copy changes nothing."""
-    table, rej = str(tmp_path / "table"), str(tmp_path / "rej")
-    run = trades.merge_batch_fn(spark, table, rej)
+    """A retried batch changes nothing; without state, the table's own copy decides."""
+    table = str(tmp_path / "table")
+    run = trades.merge_batch_fn(spark, table, buckets=4)
 
-    def batch(*recs, bad=()):
+    def batch(*recs):
         data = [(None, frame(1, json.dumps(r).encode()), "t", 0, i, None) for i, r in enumerate(recs)]
-        data += [(None, b, "t", 0, 100 + i, None) for i, b in enumerate(bad)]
-        return trades.decode_trades(spark.createDataFrame(data, trades.TOPIC_RECORD_SCHEMA), trades.default_registry())
+        records = spark.createDataFrame(data, trades.TOPIC_RECORD_SCHEMA)
+        return trades.newest_state(trades.cast_trades(trades.decode_trades(records, trades.default_registry())))
 
-    first = batch(REC, bad=[b"\x05zzzzz"])
-    run(first, 0)
-    run(first, 0)
-    assert spark.read.parquet(rej).count() == 1
+    run(batch(REC, dict(REC, transaction_timestamp_utc="2025-03-01T10:00:00", volume_traded=1)), 0)
+    run(batch(REC), 0)
+    assert tables.current(spark, table).seq == 0
     day2 = dict(REC, transaction_timestamp_utc="2025-04-02T10:00:00", volume_traded=8)
-    run(batch(day2), 1)                                                  # a corrected time moves the row
+    run(batch(day2), 1)                                                  # a corrected time
     run(batch(dict(REC, volume_traded=99)), 2)                           # an older copy
     run(batch(dict(REC, transaction_timestamp_utc=None, volume_traded=5)), 3)
     got = [(r.transaction_id, r.volume_traded) for r in trades.read_trades(spark, table).collect()]
     assert got == [("t1", 8)]
 
 
+def test_older_copies_are_dropped_before_the_table_is_read(spark, tmp_path):
+    """Stopped and started from its checkpoint, the query knows the newest copies: a batch of older
+    ones and replays publishes nothing and reads no file of the table (they may be unreadable)."""
+    import glob
+
+    topic, table, rej, ck = (str(tmp_path / x) for x in ("topic", "table", "rej", "ck"))
+    go = lambda: trades.run_trades(spark, trades.trade_source(spark, "parquet", topic), table, rej, ck, buckets=4)
+    recs = [dict(REC, transaction_id=f"t{i}", volume_traded=i) for i in range(9)]
+    _write_topic(spark, topic, recs, bad=[b"\x05zzzzz"])
+    go()
+    seq = tables.current(spark, table).seq
+    files = glob.glob(f"{table}/data/*/*/*.parquet")
+    whole = {f: open(f, "rb").read() for f in files}
+    for f in files:
+        with open(f, "wb") as out:
+            out.write(b"PAR1 not a footer")
+    old = [dict(r, transaction_timestamp_utc="2025-03-01T10:00:00", volume_traded=-1) for r in recs]
+    _write_topic(spark, topic, old + [dict(recs[0], transaction_timestamp_utc=None)])
+    go()
+    assert tables.current(spark, table).seq == seq
+    for f, data in whole.items():
+        with open(f, "wb") as out:
+            out.write(data)
+    _write_topic(spark, topic, [dict(recs[4], transaction_timestamp_utc="2025-05-01T10:00:00", volume_traded=44)])
+    go()
+    got = dict(rows(trades.read_trades(spark, table).select("transaction_id", "volume_traded")))
+    assert got == {f"t{i}": 44 if i == 4 else i for i in range(9)}
+    assert spark.read.parquet(rej).count() == 1
+
+
 def test_registry_with_two_record_shapes(spark):
     from starflow.fixtures import VENUE_SCHEMA
     from starflow.functions.frames import PayloadSchema
