@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.casts import schema_cast
 from ..schemas import TableSpec
 from ..session import remove_folder, workspace
-from ..sources.csv import read_positional_csv
+from ..sources.csv import read_positional_csv, read_quoted_csv
 from . import tables
 from .checks import KeyViolation, assert_keys
 
@@ -71,10 +71,15 @@ def truncate_load(spark: SparkSession, csv_path: str | list[str], spec: TableSpe
 
     The rows are written aside and published (:mod:`.tables`): readers (``tables.read``) see the old
     rows until all new ones are there. Columns declared NOT NULL are checked on the way. ``options``
-    go to the reader, e.g. ``multiLine=False`` where no cell holds a line break (files are then
-    read in splits).
+    go to the reader, e.g. ``multiLine=False`` where no cell holds a line break; otherwise quoted
+    line breaks are found over blocks of the files (``csv.read_quoted_csv``).
     """
-    df = read_positional_csv(spark, csv_path, spec, text=True, **options)
+    plain = str(options.get("multiLine", True)).lower() == "false"
+    options = {k: v for k, v in options.items() if k != "multiLine"}
+    if plain:
+        df = read_positional_csv(spark, csv_path, spec, text=True, multiLine=False, **options)
+    else:
+        df = read_quoted_csv(spark, csv_path, spec, text=True, **options)
     tables.replace(spark, df, target_path, spec, key=(), cast_mode=None)
     return target_path
 

@@ -243,6 +243,8 @@ CSV_POSITIONAL_SCAN = """SELECT o_orderkey AS orderkey, o_custkey AS custkey, o_
        o_orderpriority || ', "' || o_orderstatus || '"' AS priority_note
 FROM orders"""
 
+CSV_QUOTED_SCAN = """SELECT o_orderkey AS orderkey, o_orderpriority || chr(10) || '"' || o_orderstatus || '",' ||
+       chr(10) || chr(10) || CAST(o_custkey AS VARCHAR) AS note, o_orderstatus AS status FROM orders"""
 TRUNCATE_LOAD = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
@@ -418,6 +420,7 @@ ORACLE: dict[str, str] = {
     "load_day": LOAD_DAY,
     "schema_cast": SCHEMA_CAST,
     "csv_positional_scan": CSV_POSITIONAL_SCAN,
+    "csv_quoted_scan": CSV_QUOTED_SCAN,
     "truncate_load": TRUNCATE_LOAD,
     "load_append": LOAD_APPEND,
     "append_keyed": APPEND_KEYED,

@@ -23,7 +23,7 @@ from .schemas import SEED_SECTORS, SEED_STATES, Column, TableSpec
 from .session import apply_defaults, workspace
 from .sources import files
 from .sources import pages as P
-from .sources.csv import read_positional_csv, read_seed, write_csv_snapshot
+from .sources.csv import read_positional_csv, read_quoted_csv, read_seed, write_csv_snapshot
 from .sources.tables import subset
 from .streaming import trades
 
@@ -243,6 +243,17 @@ def csv_positional_scan(spark, sf):
                                multiLine=False)  # no cell holds a line break
 
 
+def csv_quoted_scan(spark, sf):
+    """Orders → CSV with quotes and line breaks in its cells → read by blocks of the files."""
+    folder = workspace(spark, "csv-quoted")
+    o = fx.table(spark, sf, "orders")
+    note = F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('",\n\n'), F.col("o_custkey").cast("string"))
+    write_csv_snapshot(o.select("o_orderkey", note.alias("note"), "o_orderstatus"), folder)
+    schema = T.StructType([T.StructField("orderkey", T.LongType()), T.StructField("note", T.StringType()),
+                           T.StructField("status", T.StringType())])
+    return read_quoted_csv(spark, folder, schema)
+
+
 def truncate_load(spark, sf):
     """Load CSV A (every order), then truncate-load CSV B (keys not divisible by 3): only B remains."""
     apply_defaults(spark)
@@ -643,6 +654,7 @@ _QUERIES: dict[str, Query] = {
     "load_day": load_day_q,
     "schema_cast": schema_cast_q,
     "csv_positional_scan": csv_positional_scan,
+    "csv_quoted_scan": csv_quoted_scan,
     "truncate_load": truncate_load,
     "load_append": load_append,
     "append_keyed": append_keyed,

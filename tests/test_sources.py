@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from starflow.schemas import COMPANIES_DAILY
-from starflow.sources.csv import read_positional_csv, read_seed, write_csv_snapshot
+from starflow.sources.csv import read_positional_csv, read_quoted_csv, read_seed, write_csv_snapshot
 from starflow.sources.files import (archive_load, check_scope, newest_file, newest_snapshot, read_loaded, snapshot_folder,
                                     snapshot_runs)
 from starflow.sources.tables import parse_keys, subset
@@ -167,6 +167,34 @@ def test_archive_load_resumes_after_a_failed_batch(spark, tmp_path):
     assert sorted(r.c for r in read_loaded(spark, target, SCHEMA).collect()) == [1, 2, 3, 6]
 
 
+def test_quoted_csv_in_blocks(spark, tmp_path):
+    """One file with line breaks in cells, read by many tasks: the rows of the one-task reader."""
+    import random
+
+    rng = random.Random(9)
+    cell = lambda: rng.choice(["plain", "", '"two\nlines"', '"a ""quoted"", cell"', '"\n\n"', '"x\r\ny"', '"' + "long " * 40 + '\nend"', "é"])
+    lines = [f"{cell()},{cell()},{i}" for i in range(3000)]
+    lines.insert(700, "")
+    lines[1200] = '"' + "\n".join(f"line {i}" for i in range(3000)) + '",over many blocks,1200'
+    write(tmp_path / "one.csv", "h1,h2,h3\n" + "\n".join(lines) + "\n", bom=True)
+    write(tmp_path / "two.csv", "h1,h2,h3\r\nq,\"w\r\ne\",7\r\nlast,row,8")
+    write(tmp_path / "three.csv", "h1,h2,h3\n")
+    with_blocks = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = sorted(map(tuple, read_positional_csv(spark, str(tmp_path), SCHEMA).collect()), key=str)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        df = read_quoted_csv(spark, str(tmp_path), SCHEMA)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        got = sorted(map(tuple, df.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", with_blocks)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # the one-task reader turns a line break in a cell into \n where the file's lines end in \r\n
+    got = [tuple(c.replace("w\r\ne", "w\ne") if isinstance(c, str) else c for c in r) for r in got]
+    assert len(got) == 3002 and got == want
+
+
 def test_newest_snapshot(spark, tmp_path):
     root = str(tmp_path)
     df = spark.range(100).select("id").repartition(4)
