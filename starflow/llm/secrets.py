@@ -1,11 +1,13 @@
 """Secret scan by assignment-aware lexing.
 
 A text is read as source code or configuration. A lexer finds assignments ``name = literal``
-(also ``:``, ``:=``, ``=>``, quoted names, ``export``, literals in quotes, bare words, other names,
-and joins of these by ``+``). Constants are propagated: a name used as a value stands for the
-literals it was assigned, however many names lie between. A literal's score is the sensitivity of
-the most telling name it reaches, plus what its form shows (length, mixed character classes,
-entropy); from ``THRESHOLD`` on its span is reported as kind ``named``.
+(also ``:``, ``:=``, ``=>``, quoted names, ``export``, literals in quotes or back quotes, bare words,
+other names, and joins of these by ``+``), ``<name>literal</name>`` and ``setName("literal")``.
+Constants are propagated: a name used as a value stands for the literals it was assigned, however
+many names lie between. A literal's score is the sensitivity of the most telling name it reaches,
+plus what its form shows (length, mixed character classes, entropy); from ``THRESHOLD`` on its span is
+reported as kind ``named``. A value that is joined from several literals, constants among them, is
+also scored as a whole; if it reaches the threshold the spans of all its parts are reported.
 
 Three fixed patterns are reported in any case: ``assign``, ``access`` and ``hex`` (see ``BASE``).
 
@@ -45,13 +47,21 @@ SENSITIVE = {
 HARMLESS = {"name": -2.0, "file": -2.0, "path": -2.0, "url": -1.5, "id": -1.0, "count": -2.0, "length": -2.0,
             "type": -2.0, "field": -2.0, "max": -2.0, "min": -2.0, "public": -2.0, "label": -2.0, "limit": -2.0}
 STAND_IN = re.compile(r"(?i)^(?:x{3,}|\*{3,}|<.*>|\$\{.*\}|changeme|example.*|your[-_ ].*|none|null|true|false|todo|n/?a)$")
+#: Words that tell at the end of a longer lower-case name, too (dbpassword, userpwd).
+ENDINGS = ("password", "passwd", "passphrase", "secret", "token", "apikey", "pwd", "credential", "credentials")
+#: Calls that ask for a thing rather than set it.
+ASKING = ("get", "find", "is", "has", "read", "load", "fetch", "print", "log", "check")
 THRESHOLD = 4.0
+#: A value joined from more literals than this is scored literal by literal only.
+MOST_PARTS = 64
 LEAST_CHARS = 8
 
 #: name, optional quote after it, operator, then the value's first token.
 _NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
-_ASSIGNMENT = re.compile(rf"(?<![A-Za-z0-9_.\-])([\"']?)({_NAME})\1[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=[\"'A-Za-z0-9_+/$])")
-_TERM = re.compile(rf"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z0-9_+/=.$\-]+)")
+_ASSIGNMENT = re.compile(rf"(?<![A-Za-z0-9_.\-])([\"']?)({_NAME})\1[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?=[\"'`A-Za-z0-9_+/$])")
+_TERM = re.compile(rf"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z0-9_+/=.$\-]+)")
+_ELEMENT = re.compile(rf"<({_NAME})>([^<>\s]+)</\1>")
+_CALL = re.compile(rf"(?<![A-Za-z0-9_.\-])({_NAME})\([ \t]*(?:\"([^\"\n]*)\"|'([^'\n]*)')[ \t]*\)")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _WORDS = re.compile(rf"^{_NAME}$")
@@ -61,7 +71,8 @@ def name_score(name: str) -> float:
     """How far a target name points to a secret, by its parts (camelCase and _ split)."""
     parts = [p.lower() for p in _PARTS.findall(name)]
     joined = "".join(parts)
-    score = max([SENSITIVE.get(p, 0.0) for p in parts] + [3.0 if "apikey" in joined else 0.0], default=0.0)
+    found = [SENSITIVE.get(p, 0.0) for p in parts] + [SENSITIVE.get(e, 0.0) for p in parts for e in ENDINGS if p.endswith(e)]
+    score = max([*found, 3.0 if "apikey" in joined else 0.0], default=0.0)
     return score + min([HARMLESS.get(p, 0.0) for p in parts[-1:]], default=0.0) if score > 0 else 0.0
 
 
@@ -83,7 +94,7 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]
         terms, pos = [], m.end()
         while (t := _TERM.match(text, pos)) is not None:
             group = t.lastindex
-            terms.append((t[group], t.start(group), t.end(group), group == 3))
+            terms.append((t[group], t.start(group), t.end(group), group == 4))
             plus = _PLUS.match(text, t.end())
             pos = t.end()
             if plus is None:
@@ -93,9 +104,35 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]
             found.append((m[2], terms))
         # a bare value may itself be the next assignment's name (a: b = c)
         at = max(m.end(), terms[0][1] if terms and terms[0][3] else pos)
+    if "</" in text:
+        found += [(m[1], [(m[2], m.start(2), m.end(2), False)]) for m in _ELEMENT.finditer(text)]
+    if "(" in text:
+        for m in _CALL.finditer(text):
+            g = m.lastindex
+            if (_PARTS.findall(m[1].rsplit(".", 1)[-1]) or [""])[0].lower() not in ASKING:
+                found.append((m[1], [(m[g], m.start(g), m.end(g), False)]))
     return found
 
 
+def literals_of(terms, by_name: dict, seen: set) -> list[tuple[str, int, int]] | None:
+    """The literals that terms are joined from, constants replaced by theirs; None for too many.
+    ``seen`` are the names being replaced: a name within its own value stands for itself."""
+    out = []
+    if len(seen) > MOST_PARTS:
+        return None
+    for value, start, end, bare in terms:
+        if bare and value in by_name and value not in seen:
+            inner = literals_of(by_name[value], by_name, seen | {value})
+            if inner is None:
+                return None
+            out += inner
+        else:
+            out.append((value, start, end))
+        if len(out) > MOST_PARTS:
+            return None
+    return out
+
+
 def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
     """(start, end, score) of the literals that reach a sensitive name.
 
@@ -116,7 +153,10 @@ def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int,
                 if value not in used:
                     used[value] = score
                     todo.append(value)
-    assigned = {name for name, _ in pairs}
+    constants = {}  # name -> the terms of its first assignment
+    for name, terms in pairs:
+        constants.setdefault(name, terms)
+    assigned = set(constants)
     out = {}
     for name, terms in pairs:
         score = max(name_score(name), used.get(name, 0.0))
@@ -128,6 +168,13 @@ def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int,
             total = score + literal_score(value)
             if total >= threshold:
                 out[start, end] = max(total, out.get((start, end), 0.0))
+        if (len(terms) > 1 or terms[0][3]) and name_score(name) > 0:
+            parts = literals_of(terms, constants, {name})
+            total = score + literal_score("".join(v for v, _, _ in parts)) if parts and len(parts) > 1 else 0.0
+            if total >= threshold:
+                for value, start, end in parts:
+                    if value:
+                        out[start, end] = max(total, out.get((start, end), 0.0))
     return [(s, e, v) for (s, e), v in sorted(out.items())]
 
 
@@ -148,7 +195,7 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     if not text:
         return [], []
     base = base_spans(text)
-    added = [(s, e, "named") for s, e, _ in named_spans(text)] if "=" in text or ":" in text else []
+    added = [(s, e, "named") for s, e, _ in named_spans(text)] if any(c in text for c in "=:(<") else []
     every = sorted([*base, *added], key=lambda x: (x[0], KINDS.index(x[2])))
     return base, every
 

@@ -14,6 +14,44 @@ from starflow.llm import urls as U
 SF, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
+# ------------------------------------------------------------------ joined and other secrets
+
+def _named(text):
+    return [text[s:e] for s, e, _ in S.named_spans(text)]
+
+
+def test_joined_literals_are_scored_as_a_whole():
+    assert _named("a='AbC12x'; b='Zz9Qw8'; secret = a + b") == ["AbC12x", "Zz9Qw8"]
+    assert _named("api_key = 'aB3d' + 'E5gH' + '7jK9mN1p2'") == ["aB3d", "E5gH", "7jK9mN1p2"]
+    assert _named("p = 'xY7'\nq = p + 'kL2mN9'\npassword = q") == ["xY7", "kL2mN9"]
+    assert _named("x = y + 'aB3dE5gH'\ny = x + '7jK9mN1p2'\nsecret = x")  # names in a circle
+    assert _named("label = 'aB3d' + 'E5gH7jK9'") == []
+    assert _named("secret = 'no' + 'pe'") == []
+
+
+def test_names_that_end_in_a_telling_word():
+    for name in ("dbpassword", "userpwd", "authtoken", "DB_PASSWORD", "clientsecret"):
+        assert _named(f"{name}: 'q8Zk2LmX9vT4'") == ["q8Zk2LmX9vT4"], name
+    for name in ("monkey", "compass", "keyword_count", "secretary"):
+        assert _named(f"{name}: 'q8Zk2LmX9vT4'") == [], name
+
+
+def test_back_quotes_elements_and_calls():
+    assert _named("token = `q8Zk2LmX9vT4`") == ["q8Zk2LmX9vT4"]
+    assert _named("<password>q8Zk2LmX9vT4</password><user>q8Zk2LmX9vT4</user>") == ["q8Zk2LmX9vT4"]
+    assert _named('conn.setPassword("q8Zk2LmX9vT4")') == ["q8Zk2LmX9vT4"]
+    assert _named('conn.getPassword("q8Zk2LmX9vT4")') == [] and _named('f("q8Zk2LmX9vT4")') == []
+
+
+def test_many_joined_names_take_bounded_time():
+    import time
+
+    chain = "\n".join(f"n{i} = n{i + 1} + n{i + 1}" for i in range(3000)) + "\n"
+    t0 = time.perf_counter()
+    S.scan(chain + "\n".join(f"secret{i} = n0 + n{i}" for i in range(300)))
+    assert time.perf_counter() - t0 < 10
+
+
 # ------------------------------------------------------------------ co-training
 
 def test_cotraining_on_held_out_labels(spark):
