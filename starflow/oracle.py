@@ -187,6 +187,18 @@ STG_DAILY_INCREMENTAL = f"""SELECT * FROM ({STG_DAILY}) WHERE load_timestamp_utc
   (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01 00:00:00')"""
 STG_WEEKLY = f"WITH {WEEKLY_CUST} {stg_weekly_sql('weekly_c')}"
 
+
+def _second_run(rows: str, before: str, at: str = "") -> str:
+    """Rows that two runs of a model leave: the even symbols' before a time, then those past the newest."""
+    early = f"load_timestamp_utc < TIMESTAMP '{before}' AND CAST(symbol AS INTEGER) % 2 = 0"
+    mine = early.replace("load_timestamp_utc", f"{at}load_timestamp_utc").replace("(symbol", f"({at}symbol")
+    return f"({mine}) OR {at}load_timestamp_utc > (SELECT max(load_timestamp_utc) FROM {rows} WHERE {early})"
+
+
+STG_WEEKLY_INCREMENTAL = f"""WITH {WEEKLY_ORD}
+SELECT * FROM ({stg_weekly_sql('weekly_o')}) WHERE {_second_run('weekly_o', '1997-01-01 00:00:00')}"""
+FACT_INCREMENTAL = f"{STAR_FACT}\nWHERE {_second_run('sd', '2024-01-20 00:00:00', 'd.')}"
+
 SPLIT_PAIR = f"""WITH {DAILY_LI}
 SELECT symbol, trim(split_part(bid, 'x', 1)) AS bid_price, trim(split_part(bid, 'x', 2)) AS bid_size,
        trim(split_part(ask, 'x', 1)) AS ask_price, trim(split_part(ask, 'x', 2)) AS ask_size,
@@ -448,6 +460,8 @@ ORACLE: dict[str, str] = {
     "dim_employees": SCD_INTERVALS,
     "fact_view": FACT_VIEW,
     "stg_daily_incremental": STG_DAILY_INCREMENTAL,
+    "stg_weekly_incremental": STG_WEEKLY_INCREMENTAL,
+    "fact_incremental": FACT_INCREMENTAL,
     "symbol_list": SYMBOL_LIST,
     "archive_load": ARCHIVE_LOAD,
     "newest_snapshot": TRUNCATE_LOAD,
