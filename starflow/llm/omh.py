@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.star import slice_cuts, slice_index
+from ..operators.star import _slice_number, slice_cuts, slice_index
 from .common import read
 
 K = 5
@@ -119,7 +119,7 @@ def with_next(df: DataFrame, id_col: str, tie: str, carry: list[str], prepare=la
     """
     cuts = slice_cuts(df, id_col, SLICES_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cols = df.columns
-    d = df.withColumns({"__slot": slice_index(F.col(f"`{id_col}`"), cuts), "__known": F.col(f"`{id_col}`").isNotNull()})
+    d = df.withColumns({"__slot": slice_index(_slice_number(df, id_col), cuts), "__known": F.col(f"`{id_col}`").isNotNull()})
     key = F.struct(F.col("__known"), F.col(f"`{id_col}`").alias("__id"), F.col(tie).alias("__tie"))
     firsts = d.groupBy("__slot").agg(F.max(key).alias("f"))
     every = Window.partitionBy().orderBy(F.desc("__slot"))

@@ -93,3 +93,12 @@ def test_odd_rows(odd, none, spark):
     assert tuples(O.with_next(docs.filter("doc_id = 3"), "doc_id", "tie", ["text"]).select("__next_text")) == [("",)]
     f = {(r.doc_id, r.fingerprint) for r in O.fingerprints(odd).collect()}
     assert (2, "") in f and (3, "") in f and len([x for x in f if x[0] == 1]) == 2
+
+
+def test_next_by_text_ids(spark):
+    """Ids that are texts, some with the same leading bytes, some null, in many slices."""
+    ids = [f"{'doc-number-' if i % 3 else ''}{i * 7919 % 1000:04d}" for i in range(300)] + [None, None, ""]
+    df = spark.createDataFrame([(d, i, f"t{i}") for i, d in enumerate(ids)], "id string, tie int, t string")
+    got = {r.tie: r["__next_t"] for r in O.with_next(df, "id", "tie", ["t"]).collect()}
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, (ids[i] or "").encode(), i), reverse=True)
+    assert got == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
