@@ -32,6 +32,16 @@ TOPIC_RECORD_SCHEMA = T.StructType([
 TEXT_COLUMNS = [f.name for f in TRADE_VALUE_SCHEMA.fields]
 
 
+def kafka_options(spark: SparkSession, options: dict | None = None) -> dict[str, str]:
+    """Reader options of a topic: from the earliest offsets, and, as producers key by company and one
+    hot company fills one topic partition, with ``minPartitions`` at the cluster's parallelism, so that
+    Spark reads a large topic partition with several tasks. What the caller gives comes first."""
+    opts = {k: str(v) for k, v in (options or {}).items()}
+    if "kafka.bootstrap.servers" not in opts or not {"subscribe", "subscribePattern", "assign"} & set(opts):
+        raise ValueError("a topic source needs kafka.bootstrap.servers and one of subscribe, subscribePattern, assign")
+    return {"startingOffsets": "earliest", "minPartitions": str(task_slots(spark)), **opts}
+
+
 def trade_source(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
                  options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of topic records, read from the earliest offsets.
@@ -41,11 +51,7 @@ def trade_source(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     """
     opts = dict(options or {})
     if fmt == "kafka":
-        opts.setdefault("startingOffsets", "earliest")
-        # producers key by company: one hot company fills one topic partition.
-        # minPartitions lets Spark read a large topic partition with several tasks.
-        opts.setdefault("minPartitions", str(task_slots(spark)))
-        return spark.readStream.format("kafka").options(**opts).load()
+        return spark.readStream.format("kafka").options(**kafka_options(spark, opts)).load()
     r = spark.readStream.format(fmt).schema(TOPIC_RECORD_SCHEMA).options(**opts)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -68,6 +68,19 @@ def test_kafka_source_requires_connector(spark):
                                                      "subscribe": "x"})
 
 
+def test_kafka_options(spark):
+    import pytest
+
+    where = {"kafka.bootstrap.servers": "h:9092", "subscribe": "trades"}
+    got = trades.kafka_options(spark, where)
+    assert got == {**where, "startingOffsets": "earliest", "minPartitions": str(spark.sparkContext.defaultParallelism)}
+    own = trades.kafka_options(spark, {**where, "startingOffsets": "latest", "minPartitions": 3, "maxOffsetsPerTrigger": 10})
+    assert (own["startingOffsets"], own["minPartitions"], own["maxOffsetsPerTrigger"]) == ("latest", "3", "10")
+    for bad in ({}, {"subscribe": "x"}, {"kafka.bootstrap.servers": "h:1"}):
+        with pytest.raises(ValueError):
+            trades.kafka_options(spark, bad)
+
+
 def test_file_source_needs_path(spark):
     import pytest
     with pytest.raises(ValueError):
