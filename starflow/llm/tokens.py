@@ -1,31 +1,21 @@
-"""Byte-level BPE encoding inside tasks, with a bounded cache of encoded words.
+"""Byte-level BPE encoding inside tasks.
 
-The vocabulary file is found by :func:`public_tokenizers.path` in every Python
-worker. A byte-level BPE with the usual word pattern starts a token at every
-single blank between two non-blank characters, so a text is cut at such blanks
-and each piece is encoded by the ``tokenizers`` library once per worker and
-then looked up. The ids equal those of the whole text (tests compare them).
+The vocabulary files are found by :func:`public_tokenizers.path` in every Python worker. The same
+vocabulary is there twice: as a file of the ``tokenizers`` library and as ranks, from which the
+``tiktoken`` library gives the same ids faster and without a cache. Texts that hold the string of an
+added token, or a run of more than ``LONG_RUN`` characters between blanks, go to the former (tests
+compare both on whole texts).
 """
 
 from __future__ import annotations
 
-import gc
-import re
+import base64
 from array import array
 from functools import lru_cache
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Pieces in a generation of a worker's cache. When one is full it becomes the older generation,
-#: from which pieces still in use are taken over; there are never more than two.
-CACHE_PIECES = 450_000
-
-_TWO_BLANKS = re.compile(r"\s\s")
-_SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-#: A Latin word and the marks that close it: two tokens of the word pattern.
-_LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)\Z")
-
-#: The end of a line and the start of the next one.
-_TWO_LINES = re.compile(r"(\S+)\n(\S+)\Z")
+RANKS = "byte_bpe_50k.tiktoken"
+LONG_RUN = 2_000
 
 
 def _byte_chars() -> dict[int, str]:
@@ -36,77 +26,37 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
-_BYTE_CHARS = _byte_chars()
-
-
-class _Pieces(dict):
-    """Piece of a text -> its ids as bytes; fills itself. ``blank``: what stands before a piece."""
-
-    def __init__(self, tokenizer, most: int, blank: str, starts: _Pieces | None = None):
-        super().__init__()
-        self.whole, self.bpe, self.most, self.blank = tokenizer.encode, tokenizer.model.tokenize, most, blank
-        self.starts = starts if starts is not None else self  # pieces after a line break
-        self.marks: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        # U+0120 is the byte-level form of a blank, U+010A that of a line break
-        self.before, self.line = "\u0120" if blank else "", self._model("\u010a")
-
-    def _model(self, chars: str) -> bytes:
-        return array("I", [t.id for t in self.bpe(chars)]).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        if (known := self.older.get(piece)) is not None:
-            pass
-        elif piece.isascii() and piece.isalpha():
-            known = self._model(self.before + piece)
-        elif m := _LATIN.match(piece):
-            word, marks = m.groups()
-            if marks:  # they are a token of the word pattern of their own
-                if (after := self.marks.get(marks)) is None:
-                    if len(self.marks) >= 10_000:
-                        self.marks.clear()
-                    after = self.marks[marks] = self._model(marks)
-                known = self[word] + after
-            else:
-                known = self._model(self.before + word.encode().decode("latin-1").translate(_BYTE_CHARS))
-        elif m := _TWO_LINES.match(piece):
-            known = self[m[1]] + self.line + self.starts[m[2]]
-        else:
-            known = array("I", self.whole(self.blank + piece, add_special_tokens=False).ids).tobytes()
-        self[piece] = known
-        return known
-
-
 class Encoder:
     """Encode texts to little-endian unsigned 32-bit ids, as bytes. ``special_as_text``: the
     strings of added tokens (``<|endoftext|>``) in a text are ordinary text; otherwise they get the
     ids of those tokens, as the library gives them by itself."""
 
-    def __init__(self, vocabulary: str = VOCABULARY, cache_pieces: int = CACHE_PIECES, special_as_text: bool = True):
+    def __init__(self, vocabulary: str = VOCABULARY, ranks: str | None = RANKS, special_as_text: bool = True):
         import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.tokenizer.encode_special_tokens = special_as_text
-        starts = _Pieces(self.tokenizer, cache_pieces // 4, "")
-        self.ids_of = _Pieces(self.tokenizer, cache_pieces, " ", starts).__getitem__
+        self.special = () if special_as_text else tuple(
+            t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.fast = None
+        if ranks is None:  # no ranks of this vocabulary: the library encodes everything
+            return
+        with open(public_tokenizers.path(ranks), "rb") as f:
+            merges = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text (null: none)."""
         if not text:
             return b""
-        pieces = _SAFE_BLANK.split(text) if _TWO_BLANKS.search(text) else text.split(" ")
-        first = array("I", self.tokenizer.encode(pieces[0], add_special_tokens=False).ids).tobytes()
-        return first + b"".join(map(self.ids_of, pieces[1:]))
+        if self.fast is None or any(t in text for t in self.special) or max(map(len, text.split()), default=0) > LONG_RUN:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.fast.encode_ordinary(text)).tobytes()
 
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
-    """One encoder per Python worker, with the ids of the library's plain call. The cache makes no reference cycles, so the collector need
-    not walk it again and again."""
-    gc.freeze()
-    gc.set_threshold(100_000, 50, 1000)
-    return Encoder(vocabulary, special_as_text=False)
+    """One encoder per Python worker, with the ids of the library's plain call."""
+    return Encoder(vocabulary, RANKS if vocabulary == VOCABULARY else None, special_as_text=False)

@@ -25,7 +25,7 @@ def whole():
 
 @pytest.fixture(scope="module")
 def small():
-    return Encoder(cache_pieces=50)  # so that the cache is emptied now and then
+    return Encoder()
 
 
 def same(enc, whole, text):
@@ -55,7 +55,7 @@ def plain():
                                  "<|endoftext|> ", " <|endoftext|>", "\n<|endoftext|>", "x.\ny", "_"]), max_size=25))
 @settings(max_examples=400, deadline=None)
 def test_added_tokens_as_in_the_plain_call(plain, parts):
-    same(Encoder(cache_pieces=50, special_as_text=False), plain, "".join(parts))
+    same(Encoder(special_as_text=False), plain, "".join(parts))
 
 
 def test_queries_give_added_tokens_their_ids(spark, plain, tmp_path):
