@@ -301,8 +301,9 @@ def trade_topic_records(spark: SparkSession, sf_dir: str, good_id: int = 1,
     """Topic records (key, value, topic, partition, offset, timestamp) carrying
     framed trades; ``error`` events carry an id the registry does not know.
     ``change`` maps the trade fields first; with ``two_shapes`` every fourth
-    trade is sent in the second record shape."""
-    fields = trade_fields(spark, sf_dir)
+    trade is sent in the second record shape. The trades are dealt out by id, as a
+    small file of events would make one task build the topic, and one file of it."""
+    fields = trade_fields(spark, sf_dir).repartition("event_id")
     t = trade_payload_json(change(fields) if change else fields)
     sid = F.when(F.col("event_type") == "error", F.lit(unknown_id)).otherwise(F.lit(good_id))
     if two_shapes:

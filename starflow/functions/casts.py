@@ -56,7 +56,10 @@ def schema_cast(df: DataFrame, target: TableSpec | T.StructType, mode: str = "st
         return df.select(*casts, *extra)
     failed = [F.when(F.col(c.name).isNotNull() & cast_to(F.col(c.name), c, mode).isNull(),
                      F.lit(c.name)) for c in spec.columns]
-    return df.select(*casts, *extra, F.array_compact(F.array(*failed)).alias(CAST_ERRORS))
+    # dropping nulls of an array is not compiled by Spark: only for rows where something failed
+    none = F.array().cast(T.ArrayType(T.StringType(), False))
+    errors = F.when(F.concat_ws("", *failed) == "", none).otherwise(F.array_compact(F.array(*failed)))
+    return df.select(*casts, *extra, errors.alias(CAST_ERRORS))
 
 
 def split_rejects(cast_df: DataFrame) -> tuple[DataFrame, DataFrame]:

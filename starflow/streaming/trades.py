@@ -85,7 +85,12 @@ def decode_trades(records: DataFrame, registry: dict[int, PayloadSchema]) -> Dat
 
 def cast_trades(decoded: DataFrame, spec: TableSpec = TRANSACTIONS) -> DataFrame:
     """Typed trade fields beside the text that arrived (``raw``), ``partition``, ``offset`` and
-    ``reason``: why the record is rejected, or null."""
+    ``reason``: why the record is rejected, or null.
+
+    ``reason`` comes out of an ``explode`` (of one element), as Spark pushes no filter below that. A
+    filter on a projected ``reason`` is rewritten in terms of the message, and its payload is then
+    decoded dozens of times, once for each mention of a field.
+    """
     raw = F.struct(*[F.col(c) for c in TEXT_COLUMNS]).alias("raw")
     cast = schema_cast(decoded.withColumn("raw", raw), spec, "lenient", keep_extra=("partition", "offset", "raw", FRAME_ERROR))
     null_key = F.lit(False)
@@ -94,7 +99,7 @@ def cast_trades(decoded: DataFrame, spec: TableSpec = TRANSACTIONS) -> DataFrame
     reason = (F.when(F.col(FRAME_ERROR).isNotNull(), F.col(FRAME_ERROR))
               .when(F.size("_cast_errors") > 0, F.concat(F.lit("cast failed: "), F.array_join("_cast_errors", ",")))
               .when(null_key, F.lit("null key or required column")))
-    return cast.withColumn("reason", reason).select(*spec.names, "raw", "partition", "offset", "reason")
+    return cast.select(*spec.names, "raw", "partition", "offset", F.explode(F.array(reason)).alias("reason"))
 
 
 def rejects_of(cast: DataFrame) -> DataFrame:

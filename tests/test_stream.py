@@ -159,3 +159,19 @@ def test_registry_with_two_record_shapes(spark):
     out = trades.decode_trades(df, {**trades.default_registry(), 3: PayloadSchema(VENUE_SCHEMA)})
     assert rows(out.select("transaction_id", "customer_id", "volume_traded", "frame_error"), ["transaction_id"]) == [
         ("t1", "5", "-3", None), ("t2", "6", None, None)]
+
+
+def test_filters_on_the_reason_decode_a_payload_once(spark):
+    """What is kept or rejected is decided on a payload that was decoded once, in both queries."""
+    late = dict(REC, transaction_id="t2", transaction_timestamp_utc="not a time")
+    values = [frame(1, json.dumps(REC).encode()), frame(1, json.dumps(late).encode()), frame(9, b"{}"), b"", None,
+              frame(1, json.dumps(dict(REC, transaction_id=None)).encode()), frame(1, b"[")]
+    records = spark.createDataFrame([(None, v, "t", 0, i, None) for i, v in enumerate(values)], trades.TOPIC_RECORD_SCHEMA)
+    cast = trades.cast_trades(trades.decode_trades(records.repartition(2), trades.default_registry()))
+    good, bad = trades.newest_state(cast), trades.rejects_of(cast)
+    for df in (good, bad):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert rows(good.select("transaction_id", "volume_traded")) == [("t1", -3)]
+    assert sorted((r.reason, r.transaction_id) for r in bad.collect() if r.transaction_id) == [("cast failed: transaction_timestamp_utc", "t2")]
+    assert sorted(r.reason for r in bad.collect() if not r.transaction_id) == [
+        "empty message", "empty message", "null key or required column", "undecodable payload", "unknown schema id"]
